@@ -1,0 +1 @@
+"""coact.streaming."""
