@@ -98,3 +98,295 @@ def q_frequency_matrix(spark, sf_dir):
 @query("top_k_related")
 def q_top_k_related(spark, sf_dir):
     return cf.top_k_related(model(spark, sf_dir), CF_K)
+
+
+# --- COO matrix layer (on the CF frequency matrix) ---------------------------------
+
+import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402
+
+from coact.operators import matrix as mx  # noqa: E402
+from coact.operators import weighting as wt  # noqa: E402
+from coact.operators.similarity import cosine_similarity, top_k_per_row  # noqa: E402
+from coact.sources.log import read_table  # noqa: E402
+
+EPS = 1e-9
+
+
+def r6(df: DataFrame, col: str = "value") -> DataFrame:
+    return df.withColumn(col, F.round(col, 6))
+
+
+def r9(df: DataFrame, col: str = "value") -> DataFrame:
+    return df.withColumn(col, F.round(col, 9))
+
+
+def tf(spark, sf_dir) -> DataFrame:
+    return model(spark, sf_dir).matrix
+
+
+def row_vector(m: DataFrame, k: int) -> DataFrame:
+    """Row ``k`` of a matrix as a vector over its column index."""
+    return mx.row(m, k).select(F.col("j").alias("i"), "value")
+
+
+@query("matrix_transpose")
+def q_matrix_transpose(spark, sf_dir):
+    return mx.transpose(tf(spark, sf_dir))
+
+
+@query("matrix_identity")
+def q_matrix_identity(spark, sf_dir):
+    return mx.identity(tf(spark, sf_dir))
+
+
+@query("matrix_densify")
+def q_matrix_densify(spark, sf_dir):
+    return mx.densify(tf(spark, sf_dir))
+
+
+@query("vector_densify")
+def q_vector_densify(spark, sf_dir):
+    return mx.vector_densify(row_vector(tf(spark, sf_dir), 0))
+
+
+@query("matrix_from_dense")
+def q_matrix_from_dense(spark, sf_dir):
+    return r9(mx.from_dense_rows(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding"))
+
+
+@query("matrix_nnz")
+def q_matrix_nnz(spark, sf_dir):
+    return mx.nnz(tf(spark, sf_dir))
+
+
+@query("take_first_n")
+def q_take_first_n(spark, sf_dir):
+    return mx.take_first(tf(spark, sf_dir), 10)
+
+
+@query("matrix_diagonal")
+def q_matrix_diagonal(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return mx.diagonal(mx.multiply(m, mx.transpose(m)))
+
+
+@query("matrix_row")
+def q_matrix_row(spark, sf_dir):
+    return mx.row(tf(spark, sf_dir), 0)
+
+
+@query("matrix_nan_count")
+def q_matrix_nan_count(spark, sf_dir):
+    return mx.nan_count(wt.log_entropy(tf(spark, sf_dir), row_bound=CF_Q.top_n))
+
+
+@query("matrix_drop_first")
+def q_matrix_drop_first(spark, sf_dir):
+    return mx.drop_first(mx.transpose(tf(spark, sf_dir)))
+
+
+@query("matrix_add")
+def q_matrix_add(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return mx.add(m, mx.transpose(m), -2.0)
+
+
+@query("matrix_hadamard")
+def q_matrix_hadamard(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return r6(mx.hadamard(m, wt.log_frequency(m)))
+
+
+@query("matrix_row_divide")
+def q_matrix_row_divide(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return r9(mx.row_divide(m, F.broadcast(mx.row_norms(m))))
+
+
+@query("matrix_row_scale")
+def q_matrix_row_scale(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    counts = m.groupBy("i").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return mx.row_scale(m, F.broadcast(counts))
+
+
+@query("matrix_multiply")
+def q_matrix_multiply(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return mx.multiply(m, mx.transpose(m))
+
+
+@query("matrix_multiply_threshold")
+def q_matrix_multiply_threshold(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return mx.multiply(m, mx.transpose(m), zero_threshold=1000.0)
+
+
+@query("matrix_add_constant")
+def q_matrix_add_constant(spark, sf_dir):
+    return mx.add_constant(tf(spark, sf_dir), 0.5)
+
+
+@query("matrix_scalar_multiply")
+def q_matrix_scalar_multiply(spark, sf_dir):
+    return mx.scalar_multiply(tf(spark, sf_dir), -2.0)
+
+
+@query("matrix_map_values")
+def q_matrix_map_values(spark, sf_dir):
+    return r9(mx.map_values(tf(spark, sf_dir), lambda v: F.sqrt(F.abs(v))))
+
+
+def _sqrt_abs(s: pd.Series) -> pd.Series:
+    return pd.Series(np.sqrt(np.abs(s.to_numpy(dtype="float64"))))
+
+
+@query("matrix_map_values_udf")
+def q_matrix_map_values_udf(spark, sf_dir):
+    return r9(mx.map_values_udf(tf(spark, sf_dir), _sqrt_abs))
+
+
+@query("vector_map_values")
+def q_vector_map_values(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    sq = m.groupBy("i").agg(F.sum(F.col("value") * F.col("value")).alias("value"))
+    return r9(mx.vector_map_values(sq, F.sqrt))
+
+
+@query("matrix_row_sum")
+def q_matrix_row_sum(spark, sf_dir):
+    return mx.row_sum(tf(spark, sf_dir))
+
+
+@query("matrix_rows_packed")
+def q_matrix_rows_packed(spark, sf_dir):
+    packed = mx.rows_packed(mx.transpose(tf(spark, sf_dir)))
+    return packed.select("i", F.size("indices").cast("bigint").alias("size"),
+                         F.array_join(F.transform("indices", lambda x: x.cast("string")), ",").alias("indices"),
+                         F.aggregate("values", F.lit(0.0), lambda a, x: a + x).alias("val_sum"))
+
+
+@query("matrix_shape")
+def q_matrix_shape(spark, sf_dir):
+    return mx.shape(tf(spark, sf_dir))
+
+
+@query("vector_norm")
+def q_vector_norm(spark, sf_dir):
+    return r9(mx.vector_norm(row_vector(tf(spark, sf_dir), 0)), "norm")
+
+
+@query("column_std")
+def q_column_std(spark, sf_dir):
+    return r9(mx.column_std(mx.transpose(tf(spark, sf_dir))))
+
+
+@query("vector_unit_distance")
+def q_vector_unit_distance(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return r9(mx.unit_distance(row_vector(m, 0), row_vector(m, 1)), "distance")
+
+
+@query("rows_by_distance")
+def q_rows_by_distance(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return r9(mx.rows_by_distance(m, row_vector(m, 0)), "distance").orderBy("distance", "i")
+
+
+@query("row_coverage_diff")
+def q_row_coverage_diff(spark, sf_dir):
+    m = tf(spark, sf_dir)
+    return m.select(F.col("j").alias("j")).distinct().subtract(
+        mx.row(m, 0).select("j").distinct())
+
+
+@query("distinct_users")
+def q_distinct_users(spark, sf_dir):
+    return model(spark, sf_dir).pairs.where(F.col("net_votes") != 0).select("user").distinct()
+
+
+@query("distinct_item_ids")
+def q_distinct_item_ids(spark, sf_dir):
+    return q_most_active_items(spark, sf_dir).select("ordered_id").distinct()
+
+
+# --- weighting -------------------------------------------------------------------
+
+@query("global_frequency")
+def q_global_frequency(spark, sf_dir):
+    return wt.global_frequency(tf(spark, sf_dir))
+
+
+@query("relative_frequency")
+def q_relative_frequency(spark, sf_dir):
+    return r9(wt.relative_frequency(tf(spark, sf_dir), row_bound=CF_Q.top_n))
+
+
+@query("entropy_weight")
+def q_entropy_weight(spark, sf_dir):
+    return r6(wt.entropy_weight(tf(spark, sf_dir), row_bound=CF_Q.top_n))
+
+
+@query("log_frequency")
+def q_log_frequency(spark, sf_dir):
+    return r6(wt.log_frequency(tf(spark, sf_dir)))
+
+
+@query("signed_log_frequency")
+def q_signed_log_frequency(spark, sf_dir):
+    return r6(wt.signed_log_frequency(tf(spark, sf_dir)))
+
+
+@query("log_entropy_matrix")
+def q_log_entropy_matrix(spark, sf_dir):
+    return r6(wt.log_entropy(tf(spark, sf_dir), row_bound=CF_Q.top_n))
+
+
+# --- similarity variants ------------------------------------------------------------
+
+@query("cosine_similarity_items")
+def q_cosine_similarity_items(spark, sf_dir):
+    return r9(cosine_similarity(tf(spark, sf_dir), row_bound=CF_Q.top_n))
+
+
+@query("cosine_similarity_users")
+def q_cosine_similarity_users(spark, sf_dir):
+    return r9(cosine_similarity(tf(spark, sf_dir), axis="cols"))
+
+
+@query("cosine_similarity_eps")
+def q_cosine_similarity_eps(spark, sf_dir):
+    return r9(cosine_similarity(tf(spark, sf_dir), epsilon=EPS, include_diagonal=True,
+                                row_bound=CF_Q.top_n))
+
+
+def std_normalized(m: DataFrame, epsilon: float = EPS) -> DataFrame:
+    """Columns scaled to unit population std (implicit zeros counted), ``+ epsilon``."""
+    std = mx.column_std(m).select(F.col("i").alias("j"), F.col("value").alias("sd"))
+    return m.join(F.broadcast(std), "j").select(
+        "i", "j", (F.col("value") / (F.lit(epsilon) + F.col("sd"))).alias("value"))
+
+
+@query("std_normalized_matrix")
+def q_std_normalized_matrix(spark, sf_dir):
+    return r9(std_normalized(mx.transpose(tf(spark, sf_dir))))
+
+
+def _requests(md: ActivityModel, n: int) -> DataFrame:
+    """Lookup requests derived from the data: the n most active item names + one unknown name."""
+    known = md.top.where(F.col("item_id") <= n).select("item")
+    unknown = md.top.limit(1).select(F.lit("no-such-item").alias("item"))
+    return known.unionByName(unknown)
+
+
+@query("related_to_item")
+def q_related_to_item(spark, sf_dir):
+    md = model(spark, sf_dir)
+    topk = top_k_per_row(cf.item_similarity(md), 5, names=md.item_names, name_bound=CF_Q.top_n)
+    return topk.join(F.broadcast(_requests(md, 2)), "item", "left_semi")
+
+
+@query("item_dictionary")
+def q_item_dictionary(spark, sf_dir):
+    return model(spark, sf_dir).top.select((F.col("item_id") - 1).alias("i"), "item", "item_id")

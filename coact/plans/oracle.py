@@ -104,3 +104,132 @@ FROM log l JOIN top t ON l.subreddit = t.item"""
 SQL["matrix_triples"] = CF_BASE + """SELECT CAST(item_id AS BIGINT) AS item_id, CAST(uid AS BIGINT) AS uid, net_score FROM pruned"""
 SQL["frequency_matrix"] = CF_BASE + "SELECT i, j, value FROM m"
 SQL["top_k_related"] = CF_BASE + ", " + COSINE + "\n" + top_k_sql(CF_K)
+
+
+# --- COO layer ---------------------------------------------------------------------
+
+def cf(body: str, *extra: str) -> str:
+    """SQL over the CF band tables plus extra CTEs."""
+    if extra:
+        return CF_BASE + ", " + ",\n".join(extra) + "\n" + body
+    return CF_BASE + body
+
+
+V0 = "v0 AS (SELECT j AS i, value FROM m WHERE i = 0)"
+V1 = "v1 AS (SELECT j AS i, value FROM m WHERE i = 1)"
+D0 = "CAST(0 AS DOUBLE)"
+
+SQL["matrix_transpose"] = cf("SELECT j AS i, i AS j, value FROM m")
+SQL["matrix_identity"] = cf("""SELECT CAST(x AS BIGINT) AS i, CAST(x AS BIGINT) AS j, CAST(1 AS DOUBLE) AS value
+FROM (SELECT unnest(range(0, least(max(i) + 1, max(j) + 1))) AS x FROM m)""")
+SQL["matrix_densify"] = cf(f"""SELECT c.i, c.j, coalesce(s.value, {D0}) AS value FROM cells c
+LEFT JOIN (SELECT i, j, sum(value) AS value FROM m GROUP BY i, j) s ON s.i = c.i AND s.j = c.j""",
+    "dims AS (SELECT max(i) + 1 AS nr, max(j) + 1 AS nc FROM m)",
+    "cells AS (SELECT r.i, unnest(range(0, d.nc)) AS j FROM (SELECT unnest(range(0, nr)) AS i FROM dims) r, dims d)")
+SQL["vector_densify"] = cf(f"""SELECT x.i, coalesce(s.value, {D0}) AS value
+FROM (SELECT unnest(range(0, (SELECT max(i) + 1 FROM v0))) AS i) x
+LEFT JOIN (SELECT i, sum(value) AS value FROM v0 GROUP BY i) s ON s.i = x.i""", V0)
+SQL["matrix_from_dense"] = """SELECT CAST(vec_id AS BIGINT) AS i, CAST(pos - 1 AS BIGINT) AS j,
+       round(CAST(v AS DOUBLE), 9) AS value
+FROM (SELECT vec_id, unnest(embedding) AS v, unnest(generate_series(1, len(embedding))) AS pos FROM embeddings)
+WHERE v <> 0"""
+SQL["matrix_nnz"] = cf("SELECT CAST(count(*) AS BIGINT) AS nnz FROM m")
+SQL["take_first_n"] = cf("SELECT i, j, value FROM m ORDER BY i, j LIMIT 10")
+SQL["matrix_diagonal"] = cf("SELECT i, sum(value * value) AS value FROM m GROUP BY i")
+SQL["matrix_row"] = cf("SELECT CAST(0 AS BIGINT) AS i, j, value FROM m WHERE i = 0")
+
+LOG_ENTROPY = [
+    "gf AS (SELECT i, sum(abs(value)) AS gf FROM m GROUP BY i)",
+    "p AS (SELECT m.i, m.j, m.value / gf.gf AS value FROM m JOIN gf ON gf.i = m.i)",
+    "nu AS (SELECT CAST(max(j) + 1 AS DOUBLE) AS n FROM m)",
+    "w AS (SELECT i, CAST(1 AS DOUBLE) + sum(-abs(value) * ln(abs(value)) / ln((SELECT n FROM nu))) AS value "
+    "FROM p GROUP BY i)",
+    "a AS (SELECT m.i, m.j, ln(1 + abs(m.value)) * w.value AS value FROM m JOIN w ON w.i = m.i)",
+]
+SQL["matrix_nan_count"] = cf("SELECT CAST(count(*) FILTER (WHERE isnan(value)) AS BIGINT) AS nan_count FROM a",
+                             *LOG_ENTROPY)
+SQL["matrix_drop_first"] = cf("SELECT j - 1 AS i, i - 1 AS j, value FROM m WHERE j >= 1 AND i >= 1")
+SQL["matrix_add"] = cf(f"""SELECT coalesce(a.i, t.i) AS i, coalesce(a.j, t.j) AS j,
+       coalesce(a.value, {D0}) + coalesce(t.rv, {D0}) AS value
+FROM m a FULL OUTER JOIN t ON a.i = t.i AND a.j = t.j""",
+    "t AS (SELECT j AS i, i AS j, value * CAST(-2 AS DOUBLE) AS rv FROM m)")
+SQL["matrix_hadamard"] = cf("SELECT i, j, round(value * ln(1 + abs(value)), 6) AS value FROM m")
+SQL["matrix_row_divide"] = cf("""SELECT m.i, m.j, round(m.value / n.norm, 9) AS value
+FROM m JOIN (SELECT i, sqrt(sum(value * value)) AS norm FROM m GROUP BY i) n ON n.i = m.i""")
+SQL["matrix_row_scale"] = cf("""SELECT m.i, m.j, m.value * c.cnt AS value
+FROM m JOIN (SELECT i, CAST(count(*) AS DOUBLE) AS cnt FROM m GROUP BY i) c ON c.i = m.i""")
+MULT = "SELECT a.i, b.i AS j, sum(a.value * b.value) AS value FROM m a JOIN m b ON a.j = b.j GROUP BY a.i, b.i"
+SQL["matrix_multiply"] = cf(MULT)
+SQL["matrix_multiply_threshold"] = cf(MULT + " HAVING abs(sum(a.value * b.value)) >= 1000")
+SQL["matrix_add_constant"] = cf("SELECT i, j, value + CAST(0.5 AS DOUBLE) AS value FROM m")
+SQL["matrix_scalar_multiply"] = cf("SELECT i, j, value * CAST(-2 AS DOUBLE) AS value FROM m")
+SQL["matrix_map_values"] = cf("SELECT i, j, round(sqrt(abs(value)), 9) AS value FROM m")
+SQL["matrix_map_values_udf"] = SQL["matrix_map_values"]
+SQL["vector_map_values"] = cf("SELECT i, round(sqrt(sum(value * value)), 9) AS value FROM m GROUP BY i")
+SQL["matrix_row_sum"] = cf("SELECT i, sum(value) AS value FROM m GROUP BY i")
+SQL["matrix_rows_packed"] = cf("""SELECT j AS i, CAST(count(*) AS BIGINT) AS size,
+       string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS indices, sum(value) AS val_sum
+FROM m GROUP BY j""")
+SQL["matrix_shape"] = cf("""SELECT CAST(max(i) + 1 AS BIGINT) AS n_rows, CAST(max(j) + 1 AS BIGINT) AS n_cols,
+       CAST(count(*) AS BIGINT) AS nnz FROM m""")
+SQL["vector_norm"] = cf("SELECT round(sqrt(sum(value * value)), 9) AS norm FROM m WHERE i = 0")
+
+COLUMN_STD = ("sd AS (SELECT c.i, sqrt(greatest(c.s2 / nn.n - (c.s1 / nn.n) * (c.s1 / nn.n), "
+              f"{D0})) AS sd FROM (SELECT i, sum(value) AS s1, sum(value * value) AS s2 FROM m GROUP BY i) c, "
+              "(SELECT CAST(max(j) + 1 AS DOUBLE) AS n FROM m) nn)")
+SQL["column_std"] = cf("SELECT i, round(sd, 9) AS value FROM sd", COLUMN_STD)
+SQL["vector_unit_distance"] = cf(f"""SELECT round(sqrt(sum(d * d)), 9) AS distance FROM (
+  SELECT coalesce(a.value / (SELECT n FROM n0), {D0}) - coalesce(b.value / (SELECT n FROM n1), {D0}) AS d
+  FROM v0 a FULL OUTER JOIN v1 b ON a.i = b.i)""",
+    V0, V1, "n0 AS (SELECT sqrt(sum(value * value)) AS n FROM v0)",
+    "n1 AS (SELECT sqrt(sum(value * value)) AS n FROM v1)")
+SQL["rows_by_distance"] = cf(f"""SELECT r.i, round((r.rsq + (SELECT s FROM vsq) - 2 * coalesce(d.dot, {D0}))
+       / (sqrt(r.rsq) * sqrt((SELECT s FROM vsq))), 9) AS distance
+FROM (SELECT i, sum(value * value) AS rsq FROM m GROUP BY i) r
+LEFT JOIN (SELECT m.i, sum(m.value * v0.value) AS dot FROM m JOIN v0 ON m.j = v0.i GROUP BY m.i) d ON d.i = r.i""",
+    V0, "vsq AS (SELECT sum(value * value) AS s FROM v0)")
+SQL["row_coverage_diff"] = cf("SELECT DISTINCT j FROM m EXCEPT SELECT DISTINCT j FROM m WHERE i = 0")
+SQL["distinct_users"] = CF_BASE + 'SELECT DISTINCT "user" FROM pairs WHERE net_votes <> 0'
+SQL["distinct_item_ids"] = f"SELECT DISTINCT ordered_id FROM ({SQL['most_active_items']})"
+
+# --- weighting -------------------------------------------------------------------------
+
+SQL["global_frequency"] = cf("SELECT i, sum(abs(value)) AS value FROM m GROUP BY i")
+SQL["relative_frequency"] = cf("SELECT i, j, round(value, 9) AS value FROM p", *LOG_ENTROPY[:2])
+SQL["entropy_weight"] = cf("SELECT i, round(value, 6) AS value FROM w", *LOG_ENTROPY[:4])
+SQL["log_frequency"] = cf("SELECT i, j, round(ln(1 + abs(value)), 6) AS value FROM m")
+SQL["signed_log_frequency"] = cf("SELECT i, j, round(sign(value) * ln(1 + abs(value)), 6) AS value FROM m")
+SQL["log_entropy_matrix"] = cf("SELECT i, j, round(value, 6) AS value FROM a", *LOG_ENTROPY)
+
+# --- similarity variants -------------------------------------------------------------------
+
+
+def cosine_ctes(src: str, eps: str | None = None, diagonal: bool = False, prefix: str = "") -> list[str]:
+    e = f" + {eps}" if eps else ""
+    p = prefix
+    ctes = [
+        f"{p}dots AS (SELECT a.i AS a, b.i AS b, sum(a.value * b.value) AS dot FROM {src} a JOIN {src} b "
+        f"ON a.j = b.j AND a.i < b.i GROUP BY a.i, b.i)",
+        f"{p}sq AS (SELECT i, sum(value * value) AS sq FROM {src} GROUP BY i)",
+        f"{p}both_dirs AS (SELECT a AS i, b AS j, dot FROM {p}dots UNION ALL SELECT b AS i, a AS j, dot FROM {p}dots"
+        + (f" UNION ALL SELECT i, i AS j, sq AS dot FROM {p}sq)" if diagonal else ")"),
+        f"{p}sim AS (SELECT s.i, s.j, (s.dot{e}) / sqrt(ni.sq{e}) / sqrt(nj.sq{e}) AS value "
+        f"FROM {p}both_dirs s JOIN {p}sq ni ON ni.i = s.i JOIN {p}sq nj ON nj.i = s.j)",
+    ]
+    return ctes
+
+
+EPS_SQL = "CAST(1e-9 AS DOUBLE)"
+SQL["cosine_similarity_items"] = cf("SELECT i, j, round(value, 9) AS value FROM c_sim",
+                                    *cosine_ctes("m", prefix="c_"))
+SQL["cosine_similarity_users"] = cf("SELECT i, j, round(value, 9) AS value FROM c_sim",
+                                    "mt AS (SELECT j AS i, i AS j, value FROM m)",
+                                    *cosine_ctes("mt", prefix="c_"))
+SQL["cosine_similarity_eps"] = cf("SELECT i, j, round(value, 9) AS value FROM c_sim",
+                                  *cosine_ctes("m", eps=EPS_SQL, diagonal=True, prefix="c_"))
+SQL["std_normalized_matrix"] = cf(f"""SELECT m.j AS i, m.i AS j, round(m.value / ({EPS_SQL} + sd.sd), 9) AS value
+FROM m JOIN sd ON sd.i = m.i""", COLUMN_STD)
+SQL["related_to_item"] = cf(f"""SELECT * FROM ({top_k_sql(5)})
+WHERE item IN (SELECT item FROM top WHERE item_id <= 2 UNION ALL SELECT 'no-such-item')""", COSINE)
+SQL["item_dictionary"] = cf("""SELECT CAST(item_id - 1 AS BIGINT) AS i, item, CAST(item_id AS BIGINT) AS item_id
+FROM top""")
