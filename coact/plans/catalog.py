@@ -390,3 +390,185 @@ def q_related_to_item(spark, sf_dir):
 @query("item_dictionary")
 def q_item_dictionary(spark, sf_dir):
     return model(spark, sf_dir).top.select((F.col("item_id") - 1).alias("i"), "item", "item_id")
+
+
+# --- split, bias, prediction -----------------------------------------------------------
+
+from coact.operators import predict as pr  # noqa: E402
+
+TOPK_NEIGHBOURS = 40
+
+
+def ratings(spark, sf_dir) -> DataFrame:
+    """Ratings matrix: users (uid) x items (item index), the transposed frequency matrix."""
+    return mx.transpose(tf(spark, sf_dir))
+
+
+@query("split_test")
+def q_split_test(spark, sf_dir):
+    return pr.train_test_split(ratings(spark, sf_dir))[1]
+
+
+@query("split_train")
+def q_split_train(spark, sf_dir):
+    return pr.train_test_split(ratings(spark, sf_dir))[0]
+
+
+@query("rating_bias")
+def q_rating_bias(spark, sf_dir):
+    r = ratings(spark, sf_dir)
+    users = pr.row_means(r).select(F.lit("user").alias("kind"), F.col("i").alias("id"), "value")
+    items = pr.col_means(r).select(F.lit("item").alias("kind"), F.col("i").alias("id"), "value")
+    return r9(users.unionByName(items).withColumnRenamed("value", "mean"), "mean")
+
+
+@query("predict_bias_corrected_user")
+def q_predict_bias_corrected_user(spark, sf_dir):
+    r = ratings(spark, sf_dir)
+    return r6(pr.predict_bias_corrected(r, pr.similarity_for(r, "user"), "user"))
+
+
+@query("predict_bias_corrected_item")
+def q_predict_bias_corrected_item(spark, sf_dir):
+    r = ratings(spark, sf_dir)
+    s = cosine_similarity(r, axis="cols", epsilon=EPS, include_diagonal=True, row_bound=CF_Q.top_n)
+    return r6(pr.predict_bias_corrected(r, s, "item"))
+
+
+@query("predict_topk_user")
+def q_predict_topk_user(spark, sf_dir):
+    r = ratings(spark, sf_dir)
+    return r6(pr.predict_topk(r, pr.similarity_for(r, "user"), "user", TOPK_NEIGHBOURS))
+
+
+@query("predict_topk_item")
+def q_predict_topk_item(spark, sf_dir):
+    r = ratings(spark, sf_dir)
+    s = cosine_similarity(r, axis="cols", epsilon=EPS, include_diagonal=True, row_bound=CF_Q.top_n)
+    return r6(pr.predict_topk(r, s, "item", TOPK_NEIGHBOURS))
+
+
+@query("prediction_mse")
+def q_prediction_mse(spark, sf_dir):
+    train, test = pr.train_test_split(ratings(spark, sf_dir))
+    s = cosine_similarity(train, axis="cols", epsilon=EPS, include_diagonal=True, row_bound=CF_Q.top_n)
+    return r6(pr.mse(pr.predict_bias_corrected(train, s, "item"), test), "mse")
+
+
+# --- serving tables and lookups -----------------------------------------------------------
+
+from coact.functions import text as tx  # noqa: E402
+from coact.operators import serving as sv  # noqa: E402
+from coact.session import scratch_dir  # noqa: E402
+
+CF_PROFILE_K = CF_K - 1  # k related with the item itself removed
+
+
+def cf_profile(md: ActivityModel) -> DataFrame:
+    rel = top_k_per_row(cf.item_similarity(md), CF_PROFILE_K, names=md.item_names,
+                        name_bound=md.band.top_n)
+    return sv.item_profile(rel, md.top)
+
+
+def stored(spark, df: DataFrame, name: str) -> DataFrame:
+    """Write a serving table to a fresh folder under the shared checkpoint dir, read it back."""
+    path = scratch_dir(spark, name)
+    sv.write_table(df, path)
+    return sv.read_table(spark, path)
+
+
+def stored_profile(spark, sf_dir) -> DataFrame:
+    return stored(spark, cf_profile(model(spark, sf_dir)), "item_profile")
+
+
+def stored_history(spark, sf_dir) -> DataFrame:
+    return stored(spark, sv.user_history(model(spark, sf_dir).pruned), "user_history")
+
+
+@query("item_profile")
+def q_item_profile(spark, sf_dir):
+    return stored_profile(spark, sf_dir).select("item", "activity",
+                                                F.array_join("related", ",").alias("related"))
+
+
+@query("user_history")
+def q_user_history(spark, sf_dir):
+    return stored_history(spark, sf_dir).select("user", F.array_join("items", ",").alias("items"))
+
+
+@query("serving_roundtrip")
+def q_serving_roundtrip(spark, sf_dir):
+    prof, hist = stored_profile(spark, sf_dir), stored_history(spark, sf_dir)
+    visits = hist.select("user", F.explode("items").alias("item"))
+    return visits.join(prof, "item").select("user", "item", "activity",
+                                            F.size("related").cast("bigint").alias("n_related"))
+
+
+def _bag(spark, sf_dir) -> DataFrame:
+    md = model(spark, sf_dir)
+    return sv.candidate_bag(sv.user_history(md.pruned), cf_profile(md))
+
+
+@query("candidate_bag")
+def q_candidate_bag(spark, sf_dir):
+    return sv.bag_multiplicity(_bag(spark, sf_dir))
+
+
+@query("recommend_for_user_sampled")
+def q_recommend_for_user_sampled(spark, sf_dir):
+    return sv.recommend_sampled(_bag(spark, sf_dir))
+
+
+@query("recommend_for_user_ranked")
+def q_recommend_for_user_ranked(spark, sf_dir):
+    return sv.recommend_ranked(_bag(spark, sf_dir))
+
+
+def _item_requests(md: ActivityModel) -> DataFrame:
+    empty = md.top.limit(1).select(F.lit("").alias("item"))
+    return _requests(md, 2).unionByName(empty)
+
+
+@query("related_answer_text")
+def q_related_answer_text(spark, sf_dir):
+    md = model(spark, sf_dir)
+    return sv.related_answers(_item_requests(md), cf_profile(md))
+
+
+@query("recommend_answer_text")
+def q_recommend_answer_text(spark, sf_dir):
+    md = model(spark, sf_dir)
+    known = md.users.orderBy(F.desc("n_items"), F.asc("user")).limit(2).select("user")
+    extra = md.top.limit(1).select(F.lit("no-such-user").alias("user")).unionByName(
+        md.top.limit(1).select(F.lit("").alias("user")))
+    picks = sv.recommend_ranked(_bag(spark, sf_dir)).withColumnRenamed("rk", "pick")
+    return sv.recommendation_answers(known.unionByName(extra), picks)
+
+
+@query("related_as_text")
+def q_related_as_text(spark, sf_dir):
+    return cf_profile(model(spark, sf_dir)).select("item", tx.lines(F.col("related")).alias("text"))
+
+
+@query("item_link")
+def q_item_link(spark, sf_dir):
+    return model(spark, sf_dir).top.select("item", tx.item_link(F.col("item")).alias("link"))
+
+
+@query("items_of_user")
+def q_items_of_user(spark, sf_dir):
+    md = model(spark, sf_dir)
+    one = md.users.orderBy(F.desc("n_items"), F.asc("user")).limit(1)
+    return sv.items_of_user(md.occ_nonzero, one).select("user", "item", "comments")
+
+
+@query("activity_all_users")
+def q_activity_all_users(spark, sf_dir):
+    md = model(spark, sf_dir)
+    return sv.activity_all_users(md.occ_nonzero, md.pruned).select("user", "item", "comments", "item_id", "copies")
+
+
+@query("activity_all_users_semi")
+def q_activity_all_users_semi(spark, sf_dir):
+    md = model(spark, sf_dir)
+    return sv.activity_all_users_semi(md.occ_nonzero, md.pruned).select("user", "item", "comments")

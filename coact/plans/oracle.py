@@ -233,3 +233,121 @@ SQL["related_to_item"] = cf(f"""SELECT * FROM ({top_k_sql(5)})
 WHERE item IN (SELECT item FROM top WHERE item_id <= 2 UNION ALL SELECT 'no-such-item')""", COSINE)
 SQL["item_dictionary"] = cf("""SELECT CAST(item_id - 1 AS BIGINT) AS i, item, CAST(item_id AS BIGINT) AS item_id
 FROM top""")
+
+
+# --- split, bias, prediction ---------------------------------------------------------------
+
+R_CTE = "R AS (SELECT j AS i, i AS j, value FROM m)"
+SPLIT = ("ranked AS (SELECT i, j, value, row_number() OVER (PARTITION BY i ORDER BY "
+         "md5(concat_ws('|', '42', CAST(i AS VARCHAR), CAST(j AS VARCHAR))), j) AS rn FROM R WHERE value <> 0)")
+SQL["split_test"] = cf("SELECT i, j, value FROM ranked WHERE rn <= 3", R_CTE, SPLIT)
+SQL["split_train"] = cf("SELECT i, j, value FROM ranked WHERE rn > 3", R_CTE, SPLIT)
+SQL["rating_bias"] = cf("""SELECT 'user' AS kind, i AS id, round(sum(value) / (SELECT CAST(max(j) + 1 AS DOUBLE) FROM R), 9) AS mean
+FROM R GROUP BY i
+UNION ALL
+SELECT 'item' AS kind, j AS id, round(sum(value) / (SELECT CAST(max(i) + 1 AS DOUBLE) FROM R), 9) AS mean
+FROM R GROUP BY j""", R_CTE)
+
+
+def bias_pred(src: str, sim: str, p: str) -> list[str]:
+    """CTEs for the bias-corrected row prediction of ``src`` with similarity ``sim``."""
+    return [
+        f"{p}nc AS (SELECT CAST(max(j) + 1 AS DOUBLE) AS n FROM {src})",
+        f"{p}b AS (SELECT i, sum(value) / (SELECT n FROM {p}nc) AS b FROM {src} GROUP BY i)",
+        f"{p}a AS (SELECT i, sum(abs(value)) AS a FROM {sim} GROUP BY i)",
+        f"{p}sr AS (SELECT s.i, r.j, sum(s.value * r.value) AS sr FROM {sim} s JOIN {src} r ON s.j = r.i "
+        f"GROUP BY s.i, r.j)",
+        f"{p}sb AS (SELECT s.i, sum(s.value * b.b) AS sb FROM {sim} s JOIN {p}b b ON s.j = b.i GROUP BY s.i)",
+        f"{p}cells AS (SELECT i, unnest(range(0, (SELECT CAST(n AS BIGINT) FROM {p}nc))) AS j FROM {p}b)",
+        f"{p}pred AS (SELECT c.i, c.j, b.b + (coalesce(sr.sr, {D0}) - coalesce(sb.sb, {D0})) / a.a AS value "
+        f"FROM {p}cells c JOIN {p}b b ON b.i = c.i JOIN {p}a a ON a.i = c.i "
+        f"LEFT JOIN {p}sb sb ON sb.i = c.i LEFT JOIN {p}sr sr ON sr.i = c.i AND sr.j = c.j)",
+    ]
+
+
+def topk_pred(src: str, sim: str, k: int, p: str) -> list[str]:
+    return [
+        f"{p}nb AS (SELECT * FROM (SELECT i, j, value, row_number() OVER (PARTITION BY i ORDER BY "
+        f"round(value, 9) DESC, j) AS rk FROM {sim}) WHERE rk <= {k})",
+        f"{p}num AS (SELECT n.i, r.j, sum(n.value * r.value) AS num FROM {p}nb n JOIN {src} r ON n.j = r.i "
+        f"GROUP BY n.i, r.j)",
+        f"{p}den AS (SELECT i, sum(abs(value)) AS den FROM {p}nb GROUP BY i)",
+        f"{p}cells AS (SELECT i, unnest(range(0, (SELECT max(j) + 1 FROM {src}))) AS j "
+        f"FROM (SELECT DISTINCT i FROM {src}))",
+        f"{p}pred AS (SELECT c.i, c.j, coalesce(num.num, {D0}) / den.den AS value FROM {p}cells c "
+        f"JOIN {p}den den ON den.i = c.i LEFT JOIN {p}num num ON num.i = c.i AND num.j = c.j)",
+    ]
+
+
+SQL["predict_bias_corrected_user"] = cf("SELECT i, j, round(value, 6) AS value FROM u_pred",
+                                        R_CTE, *cosine_ctes("R", eps=EPS_SQL, diagonal=True, prefix="us_"),
+                                        *bias_pred("R", "us_sim", "u_"))
+SQL["predict_bias_corrected_item"] = cf("SELECT j AS i, i AS j, round(value, 6) AS value FROM i_pred",
+                                        *cosine_ctes("m", eps=EPS_SQL, diagonal=True, prefix="is_"),
+                                        *bias_pred("m", "is_sim", "i_"))
+SQL["predict_topk_user"] = cf("SELECT i, j, round(value, 6) AS value FROM u_pred",
+                              R_CTE, *cosine_ctes("R", eps=EPS_SQL, diagonal=True, prefix="us_"),
+                              *topk_pred("R", "us_sim", 40, "u_"))
+SQL["predict_topk_item"] = cf("SELECT j AS i, i AS j, round(value, 6) AS value FROM i_pred",
+                              *cosine_ctes("m", eps=EPS_SQL, diagonal=True, prefix="is_"),
+                              *topk_pred("m", "is_sim", 40, "i_"))
+SQL["prediction_mse"] = cf("""SELECT round(avg((p.value - t.value) * (p.value - t.value)), 6) AS mse
+FROM (SELECT i, j, value FROM ranked WHERE rn <= 3) t JOIN (SELECT j AS i, i AS j, value FROM t_pred) p
+  ON p.i = t.i AND p.j = t.j""", R_CTE, SPLIT,
+    "tr AS (SELECT j AS i, i AS j, value FROM ranked WHERE rn > 3)",
+    *cosine_ctes("tr", eps=EPS_SQL, diagonal=True, prefix="ts_"), *bias_pred("tr", "ts_sim", "t_"))
+
+
+# --- serving --------------------------------------------------------------------------------
+
+PROF = f"prof AS ({top_k_sql(CF_K - 1)})"
+HIST = ('hist AS (SELECT "user", item AS visited, row_number() OVER (PARTITION BY "user" ORDER BY item) - 1 AS vpos '
+        'FROM (SELECT DISTINCT "user", item FROM pruned))')
+BAG = ('bag AS (SELECT h."user", h.visited, h.vpos, p.rk - 1 AS rpos, p.related AS candidate '
+       'FROM hist h JOIN prof p ON p.item = h.visited)')
+COUNTS = 'counts AS (SELECT "user", candidate, CAST(count(*) AS BIGINT) AS copies FROM bag GROUP BY "user", candidate)'
+RANKED = ('ranked_bag AS (SELECT "user", CAST(row_number() OVER (PARTITION BY "user" ORDER BY copies DESC, candidate) '
+          'AS BIGINT) AS rk, candidate, copies FROM counts)')
+
+SQL["item_profile"] = cf("""SELECT t.item, t.activity, coalesce(string_agg(p.related, ',' ORDER BY p.rk), '') AS related
+FROM top t LEFT JOIN prof p ON p.item = t.item GROUP BY t.item, t.activity""", COSINE, PROF)
+SQL["user_history"] = cf("""SELECT "user", string_agg(item, ',' ORDER BY item) AS items
+FROM (SELECT DISTINCT "user", item FROM pruned) GROUP BY "user" """)
+SQL["serving_roundtrip"] = cf("""SELECT h."user", h.item, t.activity, CAST(count(p.related) AS BIGINT) AS n_related
+FROM (SELECT DISTINCT "user", item FROM pruned) h JOIN top t ON t.item = h.item
+LEFT JOIN prof p ON p.item = h.item GROUP BY h."user", h.item, t.activity""", COSINE, PROF)
+SQL["candidate_bag"] = cf('SELECT "user", candidate, copies FROM counts', COSINE, PROF, HIST, BAG, COUNTS)
+SQL["recommend_for_user_sampled"] = cf("""SELECT "user", pick, candidate FROM (
+  SELECT "user", candidate, CAST(row_number() OVER (PARTITION BY "user" ORDER BY
+      md5(concat_ws('|', '42', "user", visited, CAST(rpos AS VARCHAR))), vpos, rpos) AS BIGINT) AS pick
+  FROM bag) WHERE pick <= 20""", COSINE, PROF, HIST, BAG)
+SQL["recommend_for_user_ranked"] = cf('SELECT "user", rk, candidate, copies FROM ranked_bag WHERE rk <= 20',
+                                      COSINE, PROF, HIST, BAG, COUNTS, RANKED)
+
+ITEM_REQ = ("req AS (SELECT item AS request FROM top WHERE item_id <= 2 "
+            "UNION ALL SELECT 'no-such-item' UNION ALL SELECT '')")
+SQL["related_answer_text"] = cf("""SELECT r.request,
+  CASE WHEN t.item IS NOT NULL THEN 'subs related to r/' || r.request || ':' || chr(10) || coalesce(l.txt, '')
+       WHEN r.request = '' THEN '' ELSE r.request || ': no such subreddit' END AS answer
+FROM req r LEFT JOIN top t ON t.item = r.request
+LEFT JOIN (SELECT item, string_agg(related, chr(10) ORDER BY rk) AS txt FROM prof GROUP BY item) l
+  ON l.item = r.request""", COSINE, PROF, ITEM_REQ)
+SQL["recommend_answer_text"] = cf("""SELECT r.request,
+  CASE WHEN l.txt IS NOT NULL THEN 'recommended subs of u/' || r.request || ':' || chr(10) || l.txt
+       WHEN r.request = '' THEN '' ELSE r.request || ': no such user' END AS answer
+FROM req r LEFT JOIN (SELECT "user", string_agg(candidate, chr(10) ORDER BY rk) AS txt
+                      FROM ranked_bag WHERE rk <= 20 GROUP BY "user") l ON l."user" = r.request""",
+    COSINE, PROF, HIST, BAG, COUNTS, RANKED,
+    'req AS (SELECT * FROM (SELECT "user" AS request FROM usr ORDER BY n_items DESC, "user" LIMIT 2) '
+    "UNION ALL SELECT 'no-such-user' UNION ALL SELECT '')")
+SQL["related_as_text"] = cf("""SELECT t.item, coalesce(string_agg(p.related, chr(10) ORDER BY p.rk), '') AS text
+FROM top t LEFT JOIN prof p ON p.item = t.item GROUP BY t.item""", COSINE, PROF)
+SQL["item_link"] = cf("""SELECT item, '<a href="http://reddit.com/r/' || item || '"> r/' || item || ' </a> <br/>' AS link
+FROM top""")
+SQL["items_of_user"] = cf("""SELECT "user", item, comments FROM pairs
+WHERE net_votes <> 0 AND "user" = (SELECT "user" FROM usr ORDER BY n_items DESC, "user" LIMIT 1)""")
+SQL["activity_all_users"] = cf("""SELECT p."user", p.item, p.comments, CAST(c.item_id AS BIGINT) AS item_id, c.copies
+FROM pairs p JOIN (SELECT item, item_id, CAST(count(*) AS BIGINT) AS copies FROM pruned GROUP BY item, item_id) c
+  ON c.item = p.item WHERE p.net_votes <> 0""")
+SQL["activity_all_users_semi"] = cf("""SELECT "user", item, comments FROM pairs
+WHERE net_votes <> 0 AND item IN (SELECT item FROM pruned)""")
