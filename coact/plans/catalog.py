@@ -572,3 +572,103 @@ def q_activity_all_users(spark, sf_dir):
 def q_activity_all_users_semi(spark, sf_dir):
     md = model(spark, sf_dir)
     return sv.activity_all_users_semi(md.occ_nonzero, md.pruned).select("user", "item", "comments")
+
+
+# --- sources and sinks ----------------------------------------------------------------------
+
+from coact.sources import files as fs  # noqa: E402
+from coact.sources.log import log_from_events  # noqa: E402
+
+TEEN_SQL = "SELECT name FROM people WHERE age >= :lo AND age <= :hi"
+
+
+@query("scan_json_log")
+def q_scan_json_log(spark, sf_dir):
+    path = scratch_dir(spark, "json_log")
+    fs.write_json(log_from_events(spark, sf_dir), path)
+    return fs.read_json_log(spark, path)
+
+
+@query("scan_json_nested")
+def q_scan_json_nested(spark, sf_dir):
+    path = scratch_dir(spark, "json_nested")
+    od = read_table(spark, sf_dir, "orders")
+    fs.write_json(od.select(F.col("o_orderkey").alias("f1"), F.col("o_orderstatus").alias("f2"),
+                            F.struct(F.col("o_custkey").alias("field4")).alias("f3")), path)
+    return fs.read_json_inferred(spark, path).select("f1", "f2", F.col("f3.field4").alias("field4"))
+
+
+@query("rows_nested_types")
+def q_rows_nested_types(spark, sf_dir):
+    """Array, nested array, map, set and tuple columns per user, flattened by explode."""
+    pr_ = model(spark, sf_dir).pruned
+    nested = pr_.groupBy("user").agg(
+        F.sort_array(F.collect_list("item_id")).alias("f1"),
+        F.map_from_entries(F.collect_list(F.struct("item", F.col("net_score").cast("double")))).alias("f2"),
+        F.array_distinct(F.collect_list(F.signum("net_score").cast("bigint"))).alias("f_set"),
+        F.struct(F.min("item_id").alias("lo"), F.max("item_id").alias("hi")).alias("f_tuple"))
+    nested = nested.withColumn("f3", F.transform("f1", lambda x: F.array(x, x * 2)))
+    return nested.select(
+        "user", F.explode("f2").alias("item", "score"),
+        F.size("f1").cast("bigint").alias("n_items"),
+        F.size(F.flatten("f3")).cast("bigint").alias("n_nested"),
+        F.size("f_set").cast("bigint").alias("n_signs"),
+        F.col("f_tuple.lo").alias("lo"), F.col("f_tuple.hi").alias("hi"))
+
+
+def _people(spark, sf_dir) -> DataFrame:
+    path = scratch_dir(spark, "people")
+    cust = read_table(spark, sf_dir, "customer")
+    fs.write_delimited(cust.select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("age")), path)
+    return fs.read_people(spark, path)
+
+
+@query("scan_delimited_text")
+def q_scan_delimited_text(spark, sf_dir):
+    return _people(spark, sf_dir)
+
+
+def _teenagers(spark, sf_dir) -> DataFrame:
+    _people(spark, sf_dir).createOrReplaceTempView("people")
+    return spark.sql(TEEN_SQL, args={"lo": 13, "hi": 19})
+
+
+@query("sql_range_filter")
+def q_sql_range_filter(spark, sf_dir):
+    return _teenagers(spark, sf_dir)
+
+
+@query("string_projection")
+def q_string_projection(spark, sf_dir):
+    return _teenagers(spark, sf_dir).select(F.concat(F.lit("Name: "), F.col("name")).alias("text"))
+
+
+@query("scan_csv_ratings")
+def q_scan_csv_ratings(spark, sf_dir):
+    path = scratch_dir(spark, "ratings_csv")
+    r = ratings(spark, sf_dir)
+    fs.write_delimited(r.select(F.col("i").alias("user"), F.col("j").alias("item"), F.col("value").alias("rating")),
+                       path)
+    return fs.read_ratings(spark, path)
+
+
+@query("scan_csv_users")
+def q_scan_csv_users(spark, sf_dir):
+    path = scratch_dir(spark, "users_csv")
+    fs.write_delimited(q_split_test(spark, sf_dir).select(F.col("i").alias("user")), path)
+    return fs.read_target_users(spark, path)
+
+
+@query("seen_items_by_user")
+def q_seen_items_by_user(spark, sf_dir):
+    path = scratch_dir(spark, "seen_csv")
+    fs.write_delimited(q_split_train(spark, sf_dir).select(F.col("i").alias("user"), F.col("j").alias("item")), path)
+    seen = fs.read_seen_items(spark, path)
+    return seen.select("user", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
+
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "pruned_parquet")
+    fs.write_parquet(q_pruned_activity(spark, sf_dir), path)
+    return fs.read_parquet(spark, path)

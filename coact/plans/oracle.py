@@ -351,3 +351,24 @@ FROM pairs p JOIN (SELECT item, item_id, CAST(count(*) AS BIGINT) AS copies FROM
   ON c.item = p.item WHERE p.net_votes <> 0""")
 SQL["activity_all_users_semi"] = cf("""SELECT "user", item, comments FROM pairs
 WHERE net_votes <> 0 AND item IN (SELECT item FROM pruned)""")
+
+
+# --- sources and sinks ------------------------------------------------------------------------
+
+SQL["scan_json_log"] = with_ctes(LOG_EVENTS) + "SELECT author, score, subreddit FROM log"
+SQL["scan_json_nested"] = "SELECT o_orderkey AS f1, o_orderstatus AS f2, o_custkey AS field4 FROM orders"
+SQL["rows_nested_types"] = cf("""SELECT p."user", p.item, CAST(p.net_score AS DOUBLE) AS score, g.n_items,
+       g.n_items * 2 AS n_nested, g.n_signs, g.lo, g.hi
+FROM pruned p JOIN (SELECT "user", CAST(count(*) AS BIGINT) AS n_items,
+                           CAST(count(DISTINCT sign(net_score)) AS BIGINT) AS n_signs,
+                           CAST(min(item_id) AS BIGINT) AS lo, CAST(max(item_id) AS BIGINT) AS hi
+                    FROM pruned GROUP BY "user") g ON g."user" = p."user" """)
+SQL["scan_delimited_text"] = "SELECT c_name AS name, c_nationkey AS age FROM customer"
+SQL["sql_range_filter"] = "SELECT c_name AS name FROM customer WHERE c_nationkey >= 13 AND c_nationkey <= 19"
+SQL["string_projection"] = ("SELECT 'Name: ' || c_name AS text FROM customer "
+                            "WHERE c_nationkey >= 13 AND c_nationkey <= 19")
+SQL["scan_csv_ratings"] = cf("SELECT j AS i, i AS j, value FROM m")
+SQL["scan_csv_users"] = cf('SELECT DISTINCT CAST(i AS INTEGER) AS "user" FROM ranked WHERE rn <= 3', R_CTE, SPLIT)
+SQL["seen_items_by_user"] = cf("""SELECT CAST(i AS INTEGER) AS "user", string_agg(CAST(j AS VARCHAR), ',' ORDER BY j) AS items
+FROM ranked WHERE rn > 3 GROUP BY i""", R_CTE, SPLIT)
+SQL["parquet_roundtrip"] = SQL["pruned_activity"]
