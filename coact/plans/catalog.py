@@ -672,3 +672,192 @@ def q_parquet_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "pruned_parquet")
     fs.write_parquet(q_pruned_activity(spark, sf_dir), path)
     return fs.read_parquet(spark, path)
+
+
+# --- CF batch, model comparison, CF recommendations --------------------------------------------
+
+from coact.plans.cf import CF_BAND  # noqa: E402
+from coact.operators import factor as fc  # noqa: E402
+
+
+@query("cf_batch")
+def q_cf_batch(spark, sf_dir):
+    """End-to-end CF batch with the reference's CF band: log -> profile table (stored, read back)."""
+    md = model(spark, sf_dir, band=CF_BAND)
+    prof = stored(spark, cf_profile(md), "cf_profile")
+    return prof.select("item", "activity", F.array_join("related", ",").alias("related"))
+
+
+def _std_train_similarity(r: DataFrame) -> DataFrame:
+    train, _ = pr.train_test_split(std_normalized(r))
+    return cosine_similarity(train, axis="cols", epsilon=EPS, include_diagonal=True, row_bound=CF_Q.top_n)
+
+
+@query("compare_models")
+def q_compare_models(spark, sf_dir):
+    """Top 10 related of the most active item under three similarity models."""
+    md = model(spark, sf_dir)
+    m = md.matrix
+    sims = {
+        "cf": cosine_similarity(m, row_bound=CF_Q.top_n),
+        "cf_eps": cosine_similarity(m, epsilon=EPS, row_bound=CF_Q.top_n),
+        "cf_std": _std_train_similarity(mx.transpose(m)),
+    }
+    first = md.top.where(F.col("item_id") == 1).select("item")
+    out = None
+    for name, s in sims.items():
+        t = top_k_per_row(s, CF_K, names=md.item_names, name_bound=CF_Q.top_n)
+        t = t.join(F.broadcast(first), "item", "left_semi").select(F.lit(name).alias("model"), "*")
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query("recommend_unseen")
+def q_recommend_unseen(spark, sf_dir):
+    """CF scores ``R . S`` per user, top 250, minus seen items, first 5."""
+    from pyspark.sql import Window
+    md = model(spark, sf_dir)
+    r = ratings(spark, sf_dir)
+    s = cosine_similarity(md.matrix, row_bound=CF_Q.top_n)
+    scores = mx.multiply(r, s).select(F.col("i").alias("uid"), "j", F.round("value", 6).alias("score"))
+    names = F.broadcast(md.item_names.select(F.col("i").alias("j"), "item"))
+    w = Window.partitionBy("uid").orderBy(F.desc("score"), F.asc("item"))
+    top = scores.join(names, "j").withColumn("rk0", F.row_number().over(w)).where(F.col("rk0") <= 250)
+    unseen = top.join(r.select(F.col("i").alias("uid"), "j"), ["uid", "j"], "left_anti")
+    w2 = Window.partitionBy("uid").orderBy("rk0")
+    return (unseen.withColumn("rk", F.row_number().over(w2).cast("bigint")).where(F.col("rk") <= 5)
+                  .select("uid", "rk", "item", "score"))
+
+
+@query("vector_neighbors")
+def q_vector_neighbors(spark, sf_dir):
+    """Every embedding with its cosine to the query embedding (smallest vec_id), descending."""
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return fc.rank_by_cosine(emb, "vec_id", "embedding", emb.agg(F.min("vec_id")).scalar())
+
+
+# --- LSA: SVD, latent space -------------------------------------------------------------------------
+
+from coact.operators import factor as fc  # noqa: E402
+from coact.plans import lsa  # noqa: E402
+
+LSA_Q = Band(top_n=100, min_items=5, max_items=100)
+LSA_RANK_Q = 20
+LSA_K_Q = lsa.LSA_K
+
+_FACTORS: dict[tuple, fc.Factors] = {}
+
+
+def lsa_model(spark, sf_dir) -> ActivityModel:
+    return model(spark, sf_dir, band=LSA_Q)
+
+
+def lsa_factors(spark, sf_dir, rank: int | None = LSA_RANK_Q) -> fc.Factors:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), rank)
+    if key not in _FACTORS:
+        _FACTORS[key] = lsa.factors(lsa_model(spark, sf_dir), rank)
+    return _FACTORS[key]
+
+
+@query("svd_energy")
+def q_svd_energy(spark, sf_dir):
+    """Sum of squared singular values at full rank (= squared Frobenius norm)."""
+    f = lsa_factors(spark, sf_dir, None)
+    return spark.createDataFrame([(round(f.energy(), 4),)], "energy double")
+
+
+@query("svd_factors")
+def q_svd_factors(spark, sf_dir):
+    f = lsa_factors(spark, sf_dir)
+    names = lsa_model(spark, sf_dir).item_names
+    sv_ = fc.singular_values_frame(spark, f)
+    return (fc.factors_long(spark, f).join(F.broadcast(names), "i").join(F.broadcast(sv_), "d")
+              .select("item", "d", F.round("u", 9).alias("u"), F.round("s", 9).alias("s")))
+
+
+@query("svd_rank_sweep")
+def q_svd_rank_sweep(spark, sf_dir):
+    """Share of the energy kept by rank k, for the ranks tried by the reference that fit."""
+    full = lsa_factors(spark, sf_dir, None)
+    total = full.energy()
+    rows = [(k, float(np.sum(full.s[:k] ** 2)), float(np.sum(full.s[:k] ** 2) / total))
+            for k in (2, 3, 5, 10, 20, 50, 75, 100) if k <= full.k]
+    return spark.createDataFrame(rows, "k long, energy double, fraction double")
+
+
+@query("latent_similarity_topk")
+def q_latent_similarity_topk(spark, sf_dir):
+    return lsa.related(spark, lsa_model(spark, sf_dir), lsa_factors(spark, sf_dir), LSA_K_Q)
+
+
+def _user_entries(spark, sf_dir) -> DataFrame:
+    """Weighted entries of the users' rows over the item index: ``(row, i, value)``."""
+    a = lsa.weighted_matrix(lsa_model(spark, sf_dir))
+    return a.select(F.col("j").alias("row"), "i", "value")
+
+
+@query("fold_in_rows")
+def q_fold_in_rows(spark, sf_dir):
+    """Users folded into the latent space: ``(w * ln(1 + x)) . U . S^-1`` with ``S = sqrt(s)``."""
+    f = lsa_factors(spark, sf_dir)
+    folded = fc.fold_in(_user_entries(spark, sf_dir), fc.factors_long(spark, f, scale_power=-fc.LATENT_POWER))
+    return folded.select(F.col("row").alias("uid"), "d", F.round("value", 9).alias("value"))
+
+
+@query("latent_neighbors")
+def q_latent_neighbors(spark, sf_dir):
+    """For every folded-in user, the 10 items closest by cosine in the latent space."""
+    f = lsa_factors(spark, sf_dir)
+    folded = fc.fold_in(_user_entries(spark, sf_dir), fc.factors_long(spark, f, scale_power=-fc.LATENT_POWER))
+    q = fc.vectors_from_long(folded, "row")
+    top = fc.score_topk(spark, q, f, 10, 0.0, mode="cosine")
+    names = F.broadcast(lsa_model(spark, sf_dir).item_names)
+    return top.join(names, "i").select(F.col("row").alias("uid"), "rk", "item", F.col("score").alias("sim"))
+
+
+@query("svd_recommend_unseen")
+def q_svd_recommend_unseen(spark, sf_dir):
+    """Estimated ratings ``U[u] S V^T`` per user: top 250 items, minus seen, first 5."""
+    from pyspark.sql import Window
+    f = lsa_factors(spark, sf_dir)
+    entries = _user_entries(spark, sf_dir)
+    q = fc.vectors_from_long(fc.fold_in(entries, fc.factors_long(spark, f, 0.0)), "row")
+    top = fc.score_topk(spark, q, f, 250, -fc.LATENT_POWER, mode="dot")
+    unseen = top.join(entries.select("row", "i"), ["row", "i"], "left_anti")
+    w = Window.partitionBy("row").orderBy("rk")
+    names = F.broadcast(lsa_model(spark, sf_dir).item_names)
+    return (unseen.withColumn("pick", F.row_number().over(w).cast("bigint")).where(F.col("pick") <= 5)
+                  .join(names, "i").select(F.col("row").alias("uid"), F.col("pick").alias("rk"), "item", "score"))
+
+
+def lsa_profile(spark, sf_dir) -> DataFrame:
+    md = lsa_model(spark, sf_dir)
+    f = lsa_factors(spark, sf_dir)
+    return sv.item_profile(lsa.related(spark, md, f, LSA_K_Q - 1), md.top, lsa.vectors(spark, md, f))
+
+
+@query("projection_2d")
+def q_projection_2d(spark, sf_dir):
+    """2-D map from the stored LSA profile; the most active item is the excluded outlier."""
+    prof = stored(spark, lsa_profile(spark, sf_dir), "lsa_profile")
+    outlier = lsa_model(spark, sf_dir).top.where(F.col("item_id") == 1).select("item")
+    return sv.projection_2d(prof, exclude=outlier)
+
+
+@query("leading_singular_value")
+def q_leading_singular_value(spark, sf_dir):
+    return fc.leading_singular_value(lsa.weighted_matrix(lsa_model(spark, sf_dir)))
+
+
+@query("lsa_batch")
+def q_lsa_batch(spark, sf_dir):
+    """End-to-end LSA batch: log -> weighted matrix -> SVD -> profile (stored, read back)."""
+    prof = stored(spark, lsa_profile(spark, sf_dir), "lsa_profile")
+    return prof.select("item", "activity", F.array_join("related", ",").alias("related"),
+                       F.size("vector").cast("bigint").alias("dims"))
+
+
+@query("max_encoded_length")
+def q_max_encoded_length(spark, sf_dir):
+    prof = lsa_profile(spark, sf_dir)
+    return prof.agg(F.max(F.length(F.to_json("vector"))).cast("bigint").alias("max_length"))

@@ -372,3 +372,49 @@ SQL["scan_csv_users"] = cf('SELECT DISTINCT CAST(i AS INTEGER) AS "user" FROM ra
 SQL["seen_items_by_user"] = cf("""SELECT CAST(i AS INTEGER) AS "user", string_agg(CAST(j AS VARCHAR), ',' ORDER BY j) AS items
 FROM ranked WHERE rn > 3 GROUP BY i""", R_CTE, SPLIT)
 SQL["parquet_roundtrip"] = SQL["pruned_activity"]
+
+
+# --- CF batch, model comparison, CF recommendations, vector neighbours, SVD energy --------------
+
+from coact.plans.cf import CF_BAND  # noqa: E402
+from coact.plans.catalog import LSA_Q  # noqa: E402
+
+CF_BATCH_BASE = with_ctes(LOG_ORDERS, PAIRS, band_ctes(CF_BAND.top_n, CF_BAND.min_items, CF_BAND.max_items))
+SQL["cf_batch"] = CF_BATCH_BASE + ", " + ",\n".join([COSINE, PROF]) + """
+SELECT t.item, t.activity, coalesce(string_agg(p.related, ',' ORDER BY p.rk), '') AS related
+FROM top t LEFT JOIN prof p ON p.item = t.item GROUP BY t.item, t.activity"""
+
+
+def _topk_model(name: str, sim: str) -> str:
+    return f"""SELECT '{name}' AS model, * FROM ({top_k_sql(CF_K, sim)})
+WHERE item IN (SELECT item FROM top WHERE item_id = 1)"""
+
+
+STD_SPLIT = [
+    R_CTE, COLUMN_STD,
+    f"sn AS (SELECT m.j AS i, m.i AS j, m.value / ({EPS_SQL} + sd.sd) AS value FROM m JOIN sd ON sd.i = m.i)",
+    "snr AS (SELECT i, j, value, row_number() OVER (PARTITION BY i ORDER BY "
+    "md5(concat_ws('|', '42', CAST(i AS VARCHAR), CAST(j AS VARCHAR))), j) AS rn FROM sn WHERE value <> 0)",
+    "snt AS (SELECT j AS i, i AS j, value FROM snr WHERE rn > 3)",
+]
+SQL["compare_models"] = cf("\nUNION ALL\n".join([
+    _topk_model("cf", "c_sim"), _topk_model("cf_eps", "e_sim"), _topk_model("cf_std", "s_sim")]),
+    *cosine_ctes("m", prefix="c_"), *cosine_ctes("m", eps=EPS_SQL, prefix="e_"),
+    *STD_SPLIT, *cosine_ctes("snt", eps=EPS_SQL, diagonal=True, prefix="s_"))
+
+SQL["recommend_unseen"] = cf("""SELECT uid, CAST(rk AS BIGINT) AS rk, item, score FROM (
+  SELECT uid, item, score, row_number() OVER (PARTITION BY uid ORDER BY rk0) AS rk FROM r250 t
+  WHERE NOT EXISTS (SELECT 1 FROM R WHERE R.i = t.uid AND R.j = t.j)) WHERE rk <= 5""",
+    R_CTE, *cosine_ctes("m", prefix="c_"),
+    "sc AS (SELECT r.i AS uid, s.j, round(sum(r.value * s.value), 6) AS score FROM R r JOIN c_sim s ON r.j = s.i "
+    "GROUP BY r.i, s.j)",
+    "r250 AS (SELECT * FROM (SELECT sc.uid, sc.j, n.item, sc.score, row_number() OVER (PARTITION BY sc.uid "
+    "ORDER BY sc.score DESC, n.item) AS rk0 FROM sc JOIN names n ON n.i = sc.j) WHERE rk0 <= 250)")
+
+SQL["vector_neighbors"] = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+q AS (SELECT e AS q FROM e ORDER BY vec_id LIMIT 1)
+SELECT vec_id, round(list_dot_product(e, q) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(q, q))), 6) AS sim
+FROM e, q ORDER BY sim DESC, vec_id"""
+
+LSA_BASE = with_ctes(LOG_ORDERS, PAIRS, band_ctes(LSA_Q.top_n, LSA_Q.min_items, LSA_Q.max_items))
+SQL["svd_energy"] = LSA_BASE + ", " + ",\n".join(LOG_ENTROPY) + "\nSELECT round(sum(value * value), 4) AS energy FROM a"
