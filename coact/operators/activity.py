@@ -109,6 +109,13 @@ def valid_users(occ: DataFrame, top: DataFrame, band: Band) -> DataFrame:
                   .where(F.col("n_items").between(band.min_items, band.max_items)))
 
 
+def kept_pairs(pairs: DataFrame, top: DataFrame, users: DataFrame, top_n: int) -> DataFrame:
+    """Pairs of top items x valid users (before the score filter)."""
+    return (pairs.join(bounded_broadcast(top.select("item", "item_id"), top_n), "item")
+                 .join(users.select("user"), "user", "left_semi")
+                 .select("item", "user", "item_id", "net_score", "abs_score"))
+
+
 def pruned_activity(pairs: DataFrame, top: DataFrame, users: DataFrame,
                     top_n: int) -> DataFrame:
     """Pairs of top items x valid users with net score != 0.
@@ -116,13 +123,21 @@ def pruned_activity(pairs: DataFrame, top: DataFrame, users: DataFrame,
     ``uid`` = dense rank of the user, descending, over the kept pairs before
     the score filter (reference semantics).
     """
-    kept = (pairs.join(bounded_broadcast(top.select("item", "item_id"), top_n), "item")
-                 .join(users.select("user"), "user", "left_semi")
-                 .select("item", "user", "item_id", "net_score", "abs_score"))
-    ranked = attach_dense_ids(kept, "user", "uid", descending=True)
+    ranked = attach_dense_ids(kept_pairs(pairs, top, users, top_n), "user", "uid", descending=True)
     return ranked.where(F.col("net_score") != 0)
 
 
+def named_matrix(pairs: DataFrame, top: DataFrame, users: DataFrame, top_n: int) -> DataFrame:
+    """The frequency matrix keyed by user *name* (``j = user``).
+
+    Operators that only join on the column index (products, cosine, norms)
+    need no dense user ids; this form skips ranking the users entirely.
+    """
+    kept = kept_pairs(pairs, top, users, top_n).where(F.col("net_score") != 0)
+    return kept.select((F.col("item_id") - 1).cast("bigint").alias("i"), F.col("user").alias("j"),
+                       F.col("net_score").cast("double").alias("value"))
+
+
 def frequency_matrix(pruned: DataFrame) -> DataFrame:
     """Item x user matrix in coordinate form: rows ``item_id - 1``, columns ``uid``."""
     return pruned.select((F.col("item_id") - 1).cast("bigint").alias("i"),
@@ -132,28 +147,39 @@ def frequency_matrix(pruned: DataFrame) -> DataFrame:
 
 @dataclass
 class ActivityModel:
-    """All activity tables of one log and one band, built lazily and cached."""
+    """All activity tables of one log and one band, built lazily.
+
+    Only the pair table — the one aggregation over the log — is staged: its
+    consumers prune different aggregate columns, so their plans differ and
+    exchange reuse cannot share it.  With ``stage_dir`` set,
+    :meth:`materialize` writes it once as Parquet to that (shared) folder and
+    every consumer scans the written table with its own column pruning; this
+    also cuts the lineage back to the log, so a lost executor re-reads the
+    staged files instead of re-running the log scan and join.  The small
+    derived tables stay lazy: inside one query their identical exchanges are
+    run once and reused by adaptive execution.  (Caching the pair table in
+    memory instead defeats that reuse and makes concurrent stages queue on
+    half-built cache blocks.)
+    """
     log: DataFrame
     band: Band
+    stage_dir: str | None = None
 
     def __post_init__(self):
         self._cache: dict[str, DataFrame] = {}
 
-    def _get(self, name, build, persist=False):
+    def _get(self, name, build):
         if name not in self._cache:
-            df = build()
-            if persist:
-                df = df.persist()
-            self._cache[name] = df
+            self._cache[name] = build()
         return self._cache[name]
 
     @property
     def pairs(self) -> DataFrame:
-        return self._get("pairs", lambda: pair_activity(self.log), persist=True)
+        return self._get("pairs", lambda: pair_activity(self.log))
 
     @property
     def occurrences(self) -> DataFrame:
-        return self._get("occ", lambda: item_user_activity(self.pairs), persist=True)
+        return self._get("occ", lambda: item_user_activity(self.pairs))
 
     @property
     def occ_nonzero(self) -> DataFrame:
@@ -163,17 +189,22 @@ class ActivityModel:
 
     @property
     def top(self) -> DataFrame:
-        return self._get("top", lambda: top_items(self.occ_nonzero, self.band.top_n), persist=True)
+        return self._get("top", lambda: top_items(self.occ_nonzero, self.band.top_n))
 
     @property
     def users(self) -> DataFrame:
-        return self._get("users", lambda: valid_users(self.occ_nonzero, self.top, self.band),
-                         persist=True)
+        return self._get("users", lambda: valid_users(self.occ_nonzero, self.top, self.band))
 
     @property
     def pruned(self) -> DataFrame:
         return self._get("pruned", lambda: pruned_activity(self.pairs, self.top, self.users,
-                                                           self.band.top_n), persist=True)
+                                                           self.band.top_n))
+
+    @property
+    def named(self) -> DataFrame:
+        """Frequency matrix with the user name as column key (no id ranking)."""
+        return self._get("named", lambda: named_matrix(self.pairs, self.top, self.users,
+                                                       self.band.top_n))
 
     @property
     def matrix(self) -> DataFrame:
@@ -185,7 +216,14 @@ class ActivityModel:
         return self._get("names", lambda: self.top.select(
             (F.col("item_id") - 1).cast("bigint").alias("i"), "item"))
 
+    def materialize(self) -> "ActivityModel":
+        """Write the pair table to ``stage_dir`` now (one pass over the log) and
+        read every later table from it."""
+        if self.stage_dir and "pairs" not in self._cache:
+            path = f"{self.stage_dir.rstrip('/')}/pairs"
+            pair_activity(self.log).write.mode("overwrite").parquet(path)
+            self._cache["pairs"] = self.log.sparkSession.read.parquet(path)
+        return self
+
     def unpersist(self):
-        for df in self._cache.values():
-            df.unpersist()
         self._cache.clear()

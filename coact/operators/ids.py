@@ -15,9 +15,13 @@ done in parallel:
    broadcast back.
 
 Step 2's positions are only meaningful for one materialisation of the range
-shuffle, so the tagged keys are checkpointed to the shared checkpoint folder
-before they are read twice.  That also cuts lineage: a lost executor re-reads
-the checkpoint instead of re-sampling range bounds.
+shuffle, so the sorted keys are persisted while they are read twice (sizes
+and positions): both reads share one cached RDD whose lineage holds a single,
+fixed range partitioner, so a block lost with an executor is recomputed into
+the same partition with the same contents.  The finished ``(key, id)`` table
+is then written as Parquet to the shared checkpoint folder and read back:
+later plans see a deterministic leaf (ids never shift on recomputation, and
+scalar subqueries over them stay deterministic), and the lineage is cut.
 
 Ranks over a bounded candidate set (the top N items) use an ordinary window
 instead; see :func:`rank_small`.
@@ -25,10 +29,11 @@ instead; see :func:`rank_small`.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coact.session import default_parallelism, ensure_checkpoint_dir
+from coact.session import default_parallelism, scratch_dir
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -40,7 +45,7 @@ def _order(col: str, descending: bool) -> Column:
 
 
 def dense_ids(keys: DataFrame, key: str, id_col: str, descending: bool = False,
-              num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+              num_partitions: int | None = None) -> DataFrame:
     """Return ``(key, id_col)`` with ``id_col = dense_rank() over (order by key)``.
 
     ``keys`` may contain duplicates; ids start at 1 and have no gaps.
@@ -50,18 +55,22 @@ def dense_ids(keys: DataFrame, key: str, id_col: str, descending: bool = False,
     order = _order(key, descending)
     ranged = (keys.select(key).distinct()
               .repartitionByRange(n, order)
-              .sortWithinPartitions(order))
-    mid = F.monotonically_increasing_id()
-    tagged = ranged.select(key, F.shiftright(mid, _POS_BITS).alias("_part"),
-                           mid.bitwiseAND(F.lit(_POS_MASK)).alias("_pos"))
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
-        tagged = tagged.checkpoint(eager=True)
-    sizes = tagged.groupBy("_part").agg((F.max("_pos") + 1).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_part")
-                  .select(key, (F.col("_off") + F.col("_pos") + 1).cast("bigint").alias(id_col)))
+              .sortWithinPartitions(order)
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        mid = F.monotonically_increasing_id()
+        tagged = ranged.select(key, F.shiftright(mid, _POS_BITS).alias("_part"),
+                               mid.bitwiseAND(F.lit(_POS_MASK)).alias("_pos"))
+        sizes = tagged.groupBy("_part").agg((F.max("_pos") + 1).alias("_n"))
+        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+        ids = tagged.join(F.broadcast(offsets), "_part").select(
+            key, (F.col("_off") + F.col("_pos") + 1).cast("bigint").alias(id_col))
+        path = scratch_dir(spark, f"ids-{id_col}")
+        ids.write.mode("overwrite").parquet(path)
+    finally:
+        ranged.unpersist()
+    return spark.read.parquet(path)
 
 
 def attach_dense_ids(df: DataFrame, key: str, id_col: str, descending: bool = False,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from coact.operators.activity import (ActivityModel, Band, most_active_items)
 from coact.plans import cf
+from coact.session import scratch_dir
 from coact.sources.log import load_log
 
 # Parameters of the registered queries.  The reference's own
@@ -39,7 +40,8 @@ def query(name: str):
 def model(spark: SparkSession, sf_dir: str, adapter: str = "orders", band: Band = CF_Q) -> ActivityModel:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), adapter, band)
     if key not in _MODELS:
-        _MODELS[key] = ActivityModel(load_log(spark, sf_dir, adapter), band)
+        _MODELS[key] = ActivityModel(load_log(spark, sf_dir, adapter), band,
+                                     stage_dir=scratch_dir(spark, "activity")).materialize()
     return _MODELS[key]
 
 

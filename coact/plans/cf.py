@@ -18,8 +18,11 @@ CF_K = 10
 
 
 def item_similarity(model: ActivityModel) -> DataFrame:
-    """Cosine similarity of the item rows of the frequency matrix, ``(i, j, value)``."""
-    return cosine_similarity(model.matrix, axis="rows", row_bound=model.band.top_n)
+    """Cosine similarity of the item rows of the frequency matrix, ``(i, j, value)``.
+
+    Joins on the user name (``model.named``): no dense user ids are needed.
+    """
+    return cosine_similarity(model.named, axis="rows", row_bound=model.band.top_n)
 
 
 def top_k_related(model: ActivityModel, k: int = CF_K) -> DataFrame:
