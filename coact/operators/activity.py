@@ -149,17 +149,16 @@ def frequency_matrix(pruned: DataFrame) -> DataFrame:
 class ActivityModel:
     """All activity tables of one log and one band, built lazily.
 
-    Only the pair table — the one aggregation over the log — is staged: its
-    consumers prune different aggregate columns, so their plans differ and
-    exchange reuse cannot share it.  With ``stage_dir`` set,
-    :meth:`materialize` writes it once as Parquet to that (shared) folder and
-    every consumer scans the written table with its own column pruning; this
-    also cuts the lineage back to the log, so a lost executor re-reads the
-    staged files instead of re-running the log scan and join.  The small
-    derived tables stay lazy: inside one query their identical exchanges are
-    run once and reused by adaptive execution.  (Caching the pair table in
-    memory instead defeats that reuse and makes concurrent stages queue on
-    half-built cache blocks.)
+    With ``stage_dir`` (a folder under the shared checkpoint directory) every
+    table is *staged* on first use: written once as Parquet and read back.
+    A table such as the pair aggregate or the pruned matrix feeds many later
+    plans — including scalar subqueries, which never share exchanges with
+    the main plan — so without staging each consumer would re-derive it from
+    the log.  Staging also cuts lineage: after a lost executor Spark re-reads
+    the written files instead of re-running the log scan and join, and the
+    dense-id columns can never shift on recomputation.  (Caching in memory
+    instead defeats AQE's exchange reuse and makes concurrent stages queue on
+    half-built cache blocks.)  Without ``stage_dir`` the tables stay lazy.
     """
     log: DataFrame
     band: Band
@@ -168,9 +167,14 @@ class ActivityModel:
     def __post_init__(self):
         self._cache: dict[str, DataFrame] = {}
 
-    def _get(self, name, build):
+    def _get(self, name, build, stage: bool = True):
         if name not in self._cache:
-            self._cache[name] = build()
+            df = build()
+            if stage and self.stage_dir:
+                path = f"{self.stage_dir.rstrip('/')}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                df = df.sparkSession.read.parquet(path)
+            self._cache[name] = df
         return self._cache[name]
 
     @property
@@ -185,7 +189,7 @@ class ActivityModel:
     def occ_nonzero(self) -> DataFrame:
         """Pairs with net votes != 0, without the id columns (cheaper upstream)."""
         return self._get("occ_nz", lambda: self.pairs.where(F.col("net_votes") != 0)
-                         .select("item", "user", "comments"))
+                         .select("item", "user", "comments"), stage=False)
 
     @property
     def top(self) -> DataFrame:
@@ -208,21 +212,21 @@ class ActivityModel:
 
     @property
     def matrix(self) -> DataFrame:
-        return self._get("matrix", lambda: frequency_matrix(self.pruned))
+        return self._get("matrix", lambda: frequency_matrix(self.pruned), stage=False)
 
     @property
     def item_names(self) -> DataFrame:
         """Dimension table ``(i, item)`` for the matrix rows (bounded by N)."""
         return self._get("names", lambda: self.top.select(
-            (F.col("item_id") - 1).cast("bigint").alias("i"), "item"))
+            (F.col("item_id") - 1).cast("bigint").alias("i"), "item"), stage=False)
+
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Stage any derived table of this model (e.g. a weighted matrix) under ``name``."""
+        return self._get(name, lambda: df)
 
     def materialize(self) -> "ActivityModel":
-        """Write the pair table to ``stage_dir`` now (one pass over the log) and
-        read every later table from it."""
-        if self.stage_dir and "pairs" not in self._cache:
-            path = f"{self.stage_dir.rstrip('/')}/pairs"
-            pair_activity(self.log).write.mode("overwrite").parquet(path)
-            self._cache["pairs"] = self.log.sparkSession.read.parquet(path)
+        """Stage the pair table now (one pass over the log)."""
+        self.pairs
         return self
 
     def unpersist(self):

@@ -22,16 +22,13 @@ LSA_K = 20
 
 
 def weighted_matrix(model: ActivityModel) -> DataFrame:
-    """``a_ij = ln(1 + |tf_ij|) * w_i`` over the band's frequency matrix."""
-    return log_entropy(model.matrix, row_bound=model.band.top_n)
+    """``a_ij = ln(1 + |tf_ij|) * w_i`` over the band's frequency matrix (staged:
+    the SVD, the fold-in and the power iteration all read it)."""
+    return model.stage("weighted", log_entropy(model.matrix, row_bound=model.band.top_n))
 
 
 def factors(model: ActivityModel, rank: int | None = LSA_RANK) -> fc.Factors:
-    a = weighted_matrix(model).persist()
-    try:
-        return fc.truncated_svd(a, rank, model.band.top_n)
-    finally:
-        a.unpersist()
+    return fc.truncated_svd(weighted_matrix(model), rank, model.band.top_n)
 
 
 def related(spark: SparkSession, model: ActivityModel, f: fc.Factors, k: int = LSA_K) -> DataFrame:
