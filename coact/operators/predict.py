@@ -62,10 +62,19 @@ def col_means(r: DataFrame) -> DataFrame:
     return r.groupBy("j").agg((F.sum("value") / n_rows(r)).alias("value")).withColumnRenamed("j", "i")
 
 
-def similarity_for(r: DataFrame, kind: str, epsilon: float = 1e-9) -> DataFrame:
-    """Cosine similarity of users (rows) or items (columns), diagonal included."""
-    axis = "rows" if kind == "user" else "cols"
-    return cosine_similarity(r, axis=axis, epsilon=epsilon, include_diagonal=True)
+USER_PAIR_BLOCK = 2000
+
+
+def similarity_for(r: DataFrame, kind: str, epsilon: float = 1e-9, item_bound: int | None = None) -> DataFrame:
+    """Cosine similarity of users (rows) or items (columns), diagonal included.
+
+    User pairs are found through shared items, whose audiences are unbounded,
+    so the user kind uses the salted block self-join.
+    """
+    if kind == "user":
+        return cosine_similarity(r, axis="rows", epsilon=epsilon, include_diagonal=True,
+                                 block=USER_PAIR_BLOCK, key_bound=item_bound)
+    return cosine_similarity(r, axis="cols", epsilon=epsilon, include_diagonal=True, row_bound=item_bound)
 
 
 def _cells(rows: DataFrame, ncols: Column) -> DataFrame:

@@ -4,8 +4,9 @@
 pairs ``a < b`` are produced (the product is symmetric) and mirrored after the
 aggregation, halving the pair explosion.  The number of pairs a shared index
 contributes is (entries in that column)^2; for the item x user matrix that is
-bounded by the activity band's ``max_items``; AQE's skew-join split covers a
-column that is still hot.  Row norms are one row per matrix row; they are
+bounded by the activity band's ``max_items``.  For user x user similarity the
+shared column is an item, whose audience is unbounded: :func:`pair_dots`
+then splits hot columns into salted blocks (``block``).  Row norms are one row per matrix row; they are
 broadcast only when that count is bounded by a parameter (``row_bound``).
 """
 
@@ -28,12 +29,38 @@ def _orient(m: DataFrame, axis: str) -> DataFrame:
     raise ValueError(f"axis must be 'rows' or 'cols', not {axis!r}")
 
 
-def pair_dots(m: DataFrame, axis: str = "rows") -> DataFrame:
-    """``(a, b, dot)`` for every pair ``a < b`` of rows sharing a column."""
+def pair_dots(m: DataFrame, axis: str = "rows", block: int | None = None,
+              key_bound: int | None = None) -> DataFrame:
+    """``(a, b, dot)`` for every pair ``a < b`` of rows sharing a column.
+
+    Without ``block`` the self-join is a plain equi-join on the shared column
+    (right when every column holds few entries, e.g. the items of one user
+    under the activity band).  With ``block`` a column with ``n`` entries is
+    split into ``s = ceil(n / block)`` buckets by a hash of the row id; each
+    entry is copied once per bucket on either side (as row bucket / as column
+    bucket) and the join runs on ``(column, b1, b2)``.  Every pair meets in
+    exactly one task and no task sees more than about ``block^2`` pairs, so a
+    hot column (one item with a third of all users) is spread over ``s^2``
+    tasks instead of one.  ``key_bound`` bounds the number of distinct columns
+    (the per-column counts are then broadcast).
+    """
     m = _orient(m, axis)
-    left = m.select(F.col("i").alias("a"), F.col("j").alias("k"), F.col("value").alias("va"))
-    right = m.select(F.col("i").alias("b"), F.col("j").alias("k"), F.col("value").alias("vb"))
-    return (left.join(right, "k").where(F.col("a") < F.col("b"))
+    if block is None:
+        left = m.select(F.col("i").alias("a"), F.col("j").alias("k"), F.col("value").alias("va"))
+        right = m.select(F.col("i").alias("b"), F.col("j").alias("k"), F.col("value").alias("vb"))
+        return (left.join(right, "k").where(F.col("a") < F.col("b"))
+                    .groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("dot")))
+    counts = m.groupBy(F.col("j").alias("k")).agg(
+        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(float(block)))).cast("int").alias("s"))
+    counts = bounded_broadcast(counts, key_bound) if key_bound is not None else counts
+    e = (m.select(F.col("i").alias("r"), F.col("j").alias("k"), "value").join(counts, "k")
+          .withColumn("own", F.pmod(F.xxhash64("r"), F.col("s")).cast("int"))
+          .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("s") - 1))))
+    left = e.select("k", F.col("own").alias("b1"), F.col("copy").alias("b2"),
+                    F.col("r").alias("a"), F.col("value").alias("va"))
+    right = e.select("k", F.col("copy").alias("b1"), F.col("own").alias("b2"),
+                     F.col("r").alias("b"), F.col("value").alias("vb"))
+    return (left.join(right, ["k", "b1", "b2"]).where(F.col("a") < F.col("b"))
                 .groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("dot")))
 
 
@@ -50,7 +77,8 @@ def gram(m: DataFrame, axis: str = "rows", epsilon: float = 0.0) -> DataFrame:
 
 
 def cosine_similarity(m: DataFrame, axis: str = "rows", epsilon: float = 0.0,
-                      include_diagonal: bool = False, row_bound: int | None = None) -> DataFrame:
+                      include_diagonal: bool = False, row_bound: int | None = None,
+                      block: int | None = None, key_bound: int | None = None) -> DataFrame:
     """Cosine similarity ``dot / |a| / |b|`` of every pair of rows that share a column.
 
     With ``epsilon`` every dot product (the diagonal too) gets ``+ epsilon``
@@ -60,7 +88,7 @@ def cosine_similarity(m: DataFrame, axis: str = "rows", epsilon: float = 0.0,
     """
     mo = _orient(m, axis)
     eps = F.lit(float(epsilon))
-    dots = pair_dots(mo)
+    dots = pair_dots(mo, block=block, key_bound=key_bound)
     both = dots.select(F.col("a").alias("i"), F.col("b").alias("j"), "dot").unionByName(
         dots.select(F.col("b").alias("i"), F.col("a").alias("j"), "dot"))
     sq = mo.groupBy("i").agg(F.sum(F.col("value") * F.col("value")).alias("sq"))

@@ -354,7 +354,12 @@ def q_cosine_similarity_items(spark, sf_dir):
 
 @query("cosine_similarity_users")
 def q_cosine_similarity_users(spark, sf_dir):
-    return r9(cosine_similarity(tf(spark, sf_dir), axis="cols"))
+    return r9(cosine_similarity(tf(spark, sf_dir), axis="cols", block=pr_block(), key_bound=CF_Q.top_n))
+
+
+def pr_block() -> int:
+    from coact.operators.predict import USER_PAIR_BLOCK
+    return USER_PAIR_BLOCK
 
 
 @query("cosine_similarity_eps")
@@ -427,7 +432,7 @@ def q_rating_bias(spark, sf_dir):
 @query("predict_bias_corrected_user")
 def q_predict_bias_corrected_user(spark, sf_dir):
     r = ratings(spark, sf_dir)
-    return r6(pr.predict_bias_corrected(r, pr.similarity_for(r, "user"), "user"))
+    return r6(pr.predict_bias_corrected(r, pr.similarity_for(r, "user", item_bound=CF_Q.top_n), "user"))
 
 
 @query("predict_bias_corrected_item")
@@ -440,7 +445,7 @@ def q_predict_bias_corrected_item(spark, sf_dir):
 @query("predict_topk_user")
 def q_predict_topk_user(spark, sf_dir):
     r = ratings(spark, sf_dir)
-    return r6(pr.predict_topk(r, pr.similarity_for(r, "user"), "user", TOPK_NEIGHBOURS))
+    return r6(pr.predict_topk(r, pr.similarity_for(r, "user", item_bound=CF_Q.top_n), "user", TOPK_NEIGHBOURS))
 
 
 @query("predict_topk_item")
