@@ -102,6 +102,16 @@ def q_top_k_related(spark, sf_dir):
     return cf.top_k_related(model(spark, sf_dir), CF_K)
 
 
+# Band for the events adapter (its users touch 34-64 of 100 items).
+EVENTS_Q = Band(top_n=100, min_items=20, max_items=60)
+
+
+@query("top_k_related_events")
+def q_top_k_related_events(spark, sf_dir):
+    """The flagship over the events log (item = a JSON field of each event)."""
+    return cf.top_k_related(model(spark, sf_dir, adapter="events", band=EVENTS_Q), CF_K)
+
+
 # --- COO matrix layer (on the CF frequency matrix) ---------------------------------
 
 import numpy as np  # noqa: E402

@@ -418,3 +418,12 @@ FROM e, q ORDER BY sim DESC, vec_id"""
 
 LSA_BASE = with_ctes(LOG_ORDERS, PAIRS, band_ctes(LSA_Q.top_n, LSA_Q.min_items, LSA_Q.max_items))
 SQL["svd_energy"] = LSA_BASE + ", " + ",\n".join(LOG_ENTROPY) + "\nSELECT round(sum(value * value), 4) AS energy FROM a"
+
+
+# --- flagship over the events adapter ---------------------------------------------------------
+
+from coact.plans.catalog import EVENTS_Q  # noqa: E402
+
+SQL["top_k_related_events"] = (with_ctes(LOG_EVENTS, PAIRS, band_ctes(EVENTS_Q.top_n, EVENTS_Q.min_items,
+                                                                      EVENTS_Q.max_items))
+                               + ", " + COSINE + "\n" + top_k_sql(CF_K))

@@ -1 +1,7 @@
-"""coact.streaming."""
+"""coact.streaming — intentionally empty.
+
+The analytics this library rebuilds are bounded batch computations: the log
+is read once with a fixed schema that has no time field, and no operator has a
+watermark, time window, stateful step or late-data rule.  No streaming
+operator is claimed; the package exists only to keep the standard layout.
+"""
