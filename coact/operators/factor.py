@@ -133,6 +133,12 @@ def singular_values_frame(spark: SparkSession, f: Factors) -> DataFrame:
     return spark.createDataFrame(pdf, "d long, s double")
 
 
+def _chunk_rows(n_items: int, budget: int = 1 << 24) -> int:
+    """Rows per block product so one ``rows x n_items`` score block stays near
+    ``budget`` doubles (128 MB), whatever the Arrow batch size."""
+    return max(1, budget // max(1, n_items))
+
+
 def _topk_order(key: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k largest finite keys, ties by id asc (exact: all ties at the
     k-th value are candidates before the final sort)."""
@@ -151,9 +157,9 @@ def latent_similarity_topk(spark: SparkSession, f: Factors, k: int, normalize: b
 
     ``sim = L L^T`` (optionally divided by ``sqrt|diag|`` on both sides).  The
     factor matrix is broadcast once; each task multiplies its block of rows
-    by ``L^T`` with BLAS and keeps only k per row, so the items x items matrix
-    is never materialised.  Ties: rounded similarity desc, then index asc.
-    Zero-norm items are left out.
+    by ``L^T`` with BLAS (in chunks of bounded size) and keeps only k per row,
+    so the items x items matrix is never materialised.  Ties: rounded
+    similarity desc, then index asc.  Zero-norm items are left out.
     """
     lat = f.latent(power)
     norms = np.sqrt(np.abs(np.einsum("ij,ij->i", lat, lat)))
@@ -163,28 +169,31 @@ def latent_similarity_topk(spark: SparkSession, f: Factors, k: int, normalize: b
     n = len(idx)
     nb = blocks or max(1, min(n, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
+    def top_of(rows: np.ndarray, lat_, idx_, norms_) -> pd.DataFrame:
+        sims = lat_[rows] @ lat_.T
+        if normalize:
+            sims = sims / norms_[rows][:, None] / norms_[None, :]
+        out_i, out_j, out_rk, out_s = [], [], [], []
+        for r, row in zip(rows, sims):
+            row[r] = -np.inf                      # never the item itself
+            order = _topk_order(np.round(row, SIM_DIGITS), idx_, k)
+            out_i.append(np.full(len(order), idx_[r]))
+            out_j.append(idx_[order])
+            out_rk.append(np.arange(1, len(order) + 1))
+            out_s.append(np.round(row[order], SIM_DIGITS))
+        return pd.DataFrame({"i": np.concatenate(out_i), "j": np.concatenate(out_j),
+                             "rk": np.concatenate(out_rk).astype("int64"),
+                             "sim": np.concatenate(out_s)})
+
     def block_topk(batches):
         lat_, idx_, norms_ = bc.value
+        step = _chunk_rows(len(idx_))
         for pdf in batches:
-            rows = pdf["p"].to_numpy()
-            if len(rows) == 0:
-                continue
-            sims = lat_[rows] @ lat_.T
-            if normalize:
-                sims = sims / norms_[rows][:, None] / norms_[None, :]
-            out_i, out_j, out_rk, out_s = [], [], [], []
-            for r, row in zip(rows, sims):
-                row = row.copy()
-                row[r] = -np.inf                      # never the item itself
-                order = _topk_order(np.round(row, SIM_DIGITS), idx_, k)
-                out_i.append(np.full(len(order), idx_[r]))
-                out_j.append(idx_[order])
-                out_rk.append(np.arange(1, len(order) + 1))
-                out_s.append(np.round(row[order], SIM_DIGITS))
-            if out_i:
-                yield pd.DataFrame({"i": np.concatenate(out_i), "j": np.concatenate(out_j),
-                                    "rk": np.concatenate(out_rk).astype("int64"),
-                                    "sim": np.concatenate(out_s)})
+            positions = pdf["p"].to_numpy()
+            for c0 in range(0, len(positions), step):
+                rows = positions[c0:c0 + step]
+                if len(rows):
+                    yield top_of(rows, lat_, idx_, norms_)
 
     positions = spark.range(n).withColumnRenamed("id", "p").repartition(nb)
     return positions.mapInPandas(block_topk, "i long, j long, rk long, sim double")
@@ -237,8 +246,9 @@ def score_topk(spark: SparkSession, queries: DataFrame, f: Factors, k: int, scal
     """For every query vector ``(row, vector)`` the ``k`` best items, ``(row, rk, i, score)``.
 
     ``mode='dot'``: ``score = q . (U * s**scale_power)[i]``; ``mode='cosine'``:
-    cosine between ``q`` and the latent rows ``L[i]``.  Arrow batches, BLAS,
-    top-k per row inside the task; the factors are broadcast once.
+    cosine between ``q`` and the latent rows ``L[i]``.  Arrow batches, BLAS in
+    chunks of bounded size, top-k per row inside the task; the factors are
+    broadcast once.
     """
     if mode == "dot":
         mat = f.u * np.power(f.s, scale_power)[None, :]
@@ -246,28 +256,32 @@ def score_topk(spark: SparkSession, queries: DataFrame, f: Factors, k: int, scal
         mat = f.latent(LATENT_POWER)
     bc = spark.sparkContext.broadcast((mat, f.index.astype("int64")))
 
+    def top_of(pdf: pd.DataFrame, mat_, idx_, mnorm) -> pd.DataFrame:
+        q = np.vstack(pdf["vector"].to_numpy())
+        sc = q @ mat_.T
+        if mode == "cosine":
+            qn = np.sqrt(np.einsum("ij,ij->i", q, q))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                sc = sc / qn[:, None] / mnorm[None, :]
+        rows, rks, items, scores = [], [], [], []
+        for r, row in zip(pdf["row"].to_numpy(), sc):
+            order = _topk_order(np.round(row, SIM_DIGITS), idx_, k)
+            rows.append(np.full(len(order), r))
+            rks.append(np.arange(1, len(order) + 1))
+            items.append(idx_[order])
+            scores.append(np.round(row[order], SIM_DIGITS))
+        return pd.DataFrame({"row": np.concatenate(rows), "rk": np.concatenate(rks).astype("int64"),
+                             "i": np.concatenate(items), "score": np.concatenate(scores)})
+
     def run(batches):
         mat_, idx_ = bc.value
         mnorm = np.sqrt(np.einsum("ij,ij->i", mat_, mat_))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            q = np.vstack(pdf["vector"].to_numpy())
-            sc = q @ mat_.T
-            if mode == "cosine":
-                qn = np.sqrt(np.einsum("ij,ij->i", q, q))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    sc = sc / qn[:, None] / mnorm[None, :]
-            rows, rks, items, scores = [], [], [], []
-            for r, row in zip(pdf["row"].to_numpy(), sc):
-                order = _topk_order(np.round(row, SIM_DIGITS), idx_, k)
-                rows.append(np.full(len(order), r))
-                rks.append(np.arange(1, len(order) + 1))
-                items.append(idx_[order])
-                scores.append(np.round(row[order], SIM_DIGITS))
-            if rows:
-                yield pd.DataFrame({"row": np.concatenate(rows), "rk": np.concatenate(rks).astype("int64"),
-                                    "i": np.concatenate(items), "score": np.concatenate(scores)})
+        step = _chunk_rows(len(idx_))
+        for whole in batches:
+            for c0 in range(0, len(whole), step):
+                part = whole.iloc[c0:c0 + step]
+                if len(part):
+                    yield top_of(part, mat_, idx_, mnorm)
 
     q = queries.select(F.col("row"), F.col("vector"))
     return q.mapInPandas(run, f"row {dict(queries.dtypes)['row']}, rk long, i long, score double")
@@ -276,37 +290,48 @@ def score_topk(spark: SparkSession, queries: DataFrame, f: Factors, k: int, scal
 # --- power iteration ----------------------------------------------------------------------------
 
 def leading_singular_value(a: DataFrame, epsilon: float = 1e-10, max_iter: int = 200,
-                           checkpoint_every: int = 1) -> DataFrame:
+                           checkpoint_every: int = 5) -> DataFrame:
     """Power iteration for the leading right singular vector of ``a``.
 
     Iterates ``v <- A^T (A v) / |A^T A v|`` until ``|v . v'| > 1 - epsilon``.
-    ``v`` (one entry per column) stays a DataFrame; each step is two sparse
-    matrix-vector joins, and the new vector is checkpointed to cut lineage.
-    Returns one row ``iterations, sigma, converged``.
+    ``v`` (one entry per column) stays a DataFrame and is kept *unnormalised*
+    with a driver-side scale factor, so each step is one job: two sparse
+    matrix-vector joins whose result is cached while the same job computes
+    ``|w|`` and ``w . v``.  Every ``checkpoint_every`` steps the vector is
+    written with a reliable ``checkpoint()`` to cut the lineage.  Returns one
+    row ``iterations, sigma, converged``.
     """
     spark = a.sparkSession
     ncols = a.agg((F.max("j") + 1).alias("n")).first()["n"]
-    v = spark.range(ncols).select(F.col("id").alias("j"), F.lit(1.0 / np.sqrt(ncols)).alias("value"))
-    sigma, it, converged = 0.0, 0, False
+    v = spark.range(ncols).select(F.col("id").alias("j"), F.lit(1.0).alias("value"))
+    scale = 1.0 / float(np.sqrt(ncols))          # true vector = scale * v
     at = mx.transpose(a)
+    sigma, it, converged = 0.0, 0, False
     while it < max_iter:
         it += 1
         u = a.join(v.withColumnRenamed("value", "vv"), "j").groupBy("i").agg(
             F.sum(F.col("value") * F.col("vv")).alias("value"))
-        w = at.join(u.withColumnRenamed("value", "uu").withColumnRenamed("i", "j"), "j").groupBy("i").agg(
-            F.sum(F.col("value") * F.col("uu")).alias("value")).withColumnRenamed("i", "j")
-        stats = w.join(v.withColumnRenamed("value", "vv"), "j", "full_outer").agg(
-            F.sqrt(F.sum(F.coalesce("value", F.lit(0.0)) ** 2)).alias("norm"),
-            F.sum(F.coalesce("value", F.lit(0.0)) * F.coalesce("vv", F.lit(0.0))).alias("dot")).first()
+        w = (at.join(u.withColumnRenamed("value", "uu").withColumnRenamed("i", "j"), "j")
+               .groupBy("i").agg(F.sum(F.col("value") * F.col("uu")).alias("value"))
+               .select(F.col("i").alias("j"), (F.col("value") * F.lit(scale)).alias("value"))
+               .persist())
+        stats = w.join(v.withColumnRenamed("value", "vv"), "j", "left").agg(
+            F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
+            F.sum(F.col("value") * F.coalesce("vv", F.lit(0.0))).alias("dot")).first()
         norm = stats["norm"] or 0.0
+        old = v
         if norm == 0.0:
+            w.unpersist()
             break
-        new_v = w.select("j", (F.col("value") / F.lit(norm)).alias("value"))
+        dot = (stats["dot"] or 0.0) * scale / norm      # v_true . w / |w|
+        v, scale = w, 1.0 / norm
         if checkpoint_every and it % checkpoint_every == 0:
-            new_v = new_v.checkpoint(eager=True)
+            v = w.checkpoint(eager=True)
+            w.unpersist()
+        old.unpersist()
         sigma = float(np.sqrt(norm))
-        v = new_v
-        if abs(stats["dot"]) / norm > 1 - epsilon:
+        if abs(dot) > 1 - epsilon:
             converged = True
             break
+    v.unpersist()
     return spark.createDataFrame([(it, sigma, converged)], "iterations long, sigma double, converged boolean")
