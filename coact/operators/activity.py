@@ -193,11 +193,11 @@ class ActivityModel:
 
     @property
     def top(self) -> DataFrame:
-        return self._get("top", lambda: top_items(self.occ_nonzero, self.band.top_n))
+        return self._get("top", lambda: top_items(self.occ_nonzero, self.band.top_n), stage=False)
 
     @property
     def users(self) -> DataFrame:
-        return self._get("users", lambda: valid_users(self.occ_nonzero, self.top, self.band))
+        return self._get("users", lambda: valid_users(self.occ_nonzero, self.top, self.band), stage=False)
 
     @property
     def pruned(self) -> DataFrame:
