@@ -94,11 +94,32 @@ def drop_first(m: DataFrame) -> DataFrame:
         (F.col("i") - 1).alias("i"), (F.col("j") - 1).alias("j"), "value")
 
 
+RANGE_CHUNK = 65536
+
+
+def expand_range(df: DataFrame, n: Column, out: str, chunk: int = RANGE_CHUNK,
+                 keep: list[str] | None = None) -> DataFrame:
+    """Every row of ``df`` repeated for ``out = 0 .. n - 1``, generated in parallel.
+
+    A long range would explode inside the one task holding its row, so the
+    range is first cut into chunks of ``chunk`` values; the (small) chunk rows
+    are repartitioned across tasks and only then expanded.
+    """
+    keep = keep or [c for c in df.columns]
+    nn = n.cast("bigint")
+    last_chunk = F.floor((F.col("_n") - 1) / F.lit(chunk)).cast("bigint")
+    chunks = df.select(*keep, nn.alias("_n")).where(F.col("_n") > 0).select(
+        *keep, "_n", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("_c"))
+    spread = chunks.repartition(*[F.col(c) for c in keep], F.col("_c")) if keep else chunks.repartition("_c")
+    lo = F.col("_c") * F.lit(chunk)
+    hi = F.least(F.col("_n"), lo + F.lit(chunk)) - 1
+    return spread.select(*keep, F.explode(F.sequence(lo, hi)).alias(out))
+
+
 def identity(m: DataFrame) -> DataFrame:
     """Identity of size ``min(rows, cols)`` of ``m``'s implied shape."""
     dims = shape(m).select(F.least("n_rows", "n_cols").alias("n"))
-    return (dims.select(F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                             F.col("n") - 1)).alias("i"))
+    return (expand_range(dims, F.col("n"), "i", keep=[])
                 .select("i", F.col("i").alias("j"), F.lit(1.0).alias("value")))
 
 
@@ -112,8 +133,8 @@ def densify(m: DataFrame, n_rows: Column | int | None = None,
     dims = shape(m)
     nr = F.lit(n_rows) if isinstance(n_rows, int) else (n_rows if n_rows is not None else F.col("n_rows"))
     nc = F.lit(n_cols) if isinstance(n_cols, int) else (n_cols if n_cols is not None else F.col("n_cols"))
-    cells = (dims.select(F.explode(F.sequence(F.lit(0).cast("bigint"), nr - 1)).alias("i"), nc.alias("nc"))
-                 .select("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nc") - 1)).alias("j")))
+    rows = expand_range(dims.select(nr.alias("nr"), nc.alias("nc")), F.col("nr"), "i", keep=["nc"])
+    cells = expand_range(rows, F.col("nc"), "j", keep=["i"])
     summed = coalesce_duplicates(m)
     return (cells.join(summed, ["i", "j"], "left")
                  .select("i", "j", F.coalesce("value", F.lit(0.0)).alias("value")))
@@ -123,7 +144,7 @@ def vector_densify(v: DataFrame, size: int | None = None) -> DataFrame:
     """Sparse vector -> every index ``0..size-1`` with missing = 0."""
     dims = v.agg((F.max("i") + 1).alias("n"))
     n = F.lit(size) if size is not None else F.col("n")
-    idx = dims.select(F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)).alias("i"))
+    idx = expand_range(dims.select(n.alias("n")), F.col("n"), "i", keep=[])
     summed = v.groupBy("i").agg(F.sum("value").alias("value"))
     return idx.join(summed, "i", "left").select("i", F.coalesce("value", F.lit(0.0)).alias("value"))
 

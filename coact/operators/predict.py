@@ -78,9 +78,9 @@ def similarity_for(r: DataFrame, kind: str, epsilon: float = 1e-9, item_bound: i
 
 
 def _cells(rows: DataFrame, ncols: Column) -> DataFrame:
-    """(i, j) for every row id in ``rows`` and every column ``0 .. ncols - 1``."""
-    return rows.select("i", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                 ncols.cast("bigint") - 1)).alias("j"))
+    """(i, j) for every row id in ``rows`` and every column ``0 .. ncols - 1``,
+    generated in parallel chunks (an item row of the item kind spans all users)."""
+    return mx.expand_range(rows.select("i"), ncols, "j", keep=["i"])
 
 
 def _bias_rows(r: DataFrame, s: DataFrame) -> DataFrame:

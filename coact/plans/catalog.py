@@ -378,16 +378,21 @@ def q_cosine_similarity_eps(spark, sf_dir):
                                 row_bound=CF_Q.top_n))
 
 
-def std_normalized(m: DataFrame, epsilon: float = EPS) -> DataFrame:
-    """Columns scaled to unit population std (implicit zeros counted), ``+ epsilon``."""
+def std_normalized(m: DataFrame, epsilon: float = EPS, col_bound: int | None = None) -> DataFrame:
+    """Columns scaled to unit population std (implicit zeros counted), ``+ epsilon``.
+
+    ``col_bound`` (a proven bound on the number of columns) allows broadcasting the stds.
+    """
+    from coact.operators.activity import bounded_broadcast
     std = mx.column_std(m).select(F.col("i").alias("j"), F.col("value").alias("sd"))
-    return m.join(F.broadcast(std), "j").select(
+    std = bounded_broadcast(std, col_bound) if col_bound is not None else std
+    return m.join(std, "j").select(
         "i", "j", (F.col("value") / (F.lit(epsilon) + F.col("sd"))).alias("value"))
 
 
 @query("std_normalized_matrix")
 def q_std_normalized_matrix(spark, sf_dir):
-    return r9(std_normalized(mx.transpose(tf(spark, sf_dir))))
+    return r9(std_normalized(mx.transpose(tf(spark, sf_dir)), col_bound=CF_Q.top_n))
 
 
 def _requests(md: ActivityModel, n: int) -> DataFrame:
@@ -706,7 +711,7 @@ def q_cf_batch(spark, sf_dir):
 
 
 def _std_train_similarity(r: DataFrame) -> DataFrame:
-    train, _ = pr.train_test_split(std_normalized(r))
+    train, _ = pr.train_test_split(std_normalized(r, col_bound=CF_Q.top_n))
     return cosine_similarity(train, axis="cols", epsilon=EPS, include_diagonal=True, row_bound=CF_Q.top_n)
 
 

@@ -147,3 +147,10 @@ def test_rows_packed(spark):
 def test_nan_count(spark):
     a = mx.from_rows(spark, [(0, 0, float("nan")), (0, 1, 1.0)])
     assert mx.nan_count(a).first().nan_count == 1
+
+
+def test_expand_range_chunks_cover_exactly(spark):
+    df = spark.createDataFrame([(0, 10), (1, 0), (2, 1), (3, 7)], "i long, n long")
+    got = mx.expand_range(df, F.col("n"), "j", chunk=3, keep=["i"]).collect()
+    assert sorted((r.i, r.j) for r in got) == sorted(
+        (i, j) for i, n in [(0, 10), (1, 0), (2, 1), (3, 7)] for j in range(n))
