@@ -256,6 +256,17 @@ def column_std(m: DataFrame, n_rows: int | Column | None = None) -> DataFrame:
                     F.sqrt(F.greatest(F.col("s2") / F.col("n") - mean * mean, F.lit(0.0))).alias("value"))
 
 
+def scale_columns_to_unit_std(m: DataFrame, epsilon: float = 1e-9, col_bound: int | None = None) -> DataFrame:
+    """Columns divided by ``epsilon + std`` (population std, implicit zeros counted).
+
+    ``col_bound`` (a proven bound on the number of columns) allows broadcasting the stds.
+    """
+    std = column_std(m).select(F.col("i").alias("j"), F.col("value").alias("sd"))
+    std = F.broadcast(std) if col_bound is not None and col_bound <= 2_000_000 else std
+    return m.join(std, "j").select(
+        "i", "j", (F.col("value") / (F.lit(epsilon) + F.col("sd"))).alias("value"))
+
+
 def _dim(m: DataFrame, axis: str, given) -> Column:
     """A dimension as a Column: given, or the implied ``max(axis) + 1`` (scalar subquery)."""
     if given is None:

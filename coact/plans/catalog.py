@@ -10,13 +10,24 @@ from __future__ import annotations
 
 from typing import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coact.operators.activity import (ActivityModel, Band, most_active_items)
-from coact.plans import cf
+from coact.functions import text as tx
+from coact.operators import factor as fc
+from coact.operators import matrix as mx
+from coact.operators import predict as pr
+from coact.operators import serving as sv
+from coact.operators import weighting as wt
+from coact.operators.activity import ActivityModel, Band, most_active_items
+from coact.operators.similarity import cosine_similarity, top_k_per_row
+from coact.plans import cf, lsa
+from coact.plans.cf import CF_BAND
 from coact.session import scratch_dir
-from coact.sources.log import load_log
+from coact.sources import files as fs
+from coact.sources.log import load_log, log_from_events, read_table
 
 # Parameters of the registered queries.  The reference's own
 # settings (500 / 50,000 items) exceed the item count of the test tables, so the
@@ -114,13 +125,7 @@ def q_top_k_related_events(spark, sf_dir):
 
 # --- COO matrix layer (on the CF frequency matrix) ---------------------------------
 
-import numpy as np  # noqa: E402
-import pandas as pd  # noqa: E402
 
-from coact.operators import matrix as mx  # noqa: E402
-from coact.operators import weighting as wt  # noqa: E402
-from coact.operators.similarity import cosine_similarity, top_k_per_row  # noqa: E402
-from coact.sources.log import read_table  # noqa: E402
 
 EPS = 1e-9
 
@@ -378,21 +383,9 @@ def q_cosine_similarity_eps(spark, sf_dir):
                                 row_bound=CF_Q.top_n))
 
 
-def std_normalized(m: DataFrame, epsilon: float = EPS, col_bound: int | None = None) -> DataFrame:
-    """Columns scaled to unit population std (implicit zeros counted), ``+ epsilon``.
-
-    ``col_bound`` (a proven bound on the number of columns) allows broadcasting the stds.
-    """
-    from coact.operators.activity import bounded_broadcast
-    std = mx.column_std(m).select(F.col("i").alias("j"), F.col("value").alias("sd"))
-    std = bounded_broadcast(std, col_bound) if col_bound is not None else std
-    return m.join(std, "j").select(
-        "i", "j", (F.col("value") / (F.lit(epsilon) + F.col("sd"))).alias("value"))
-
-
 @query("std_normalized_matrix")
 def q_std_normalized_matrix(spark, sf_dir):
-    return r9(std_normalized(mx.transpose(tf(spark, sf_dir)), col_bound=CF_Q.top_n))
+    return r9(mx.scale_columns_to_unit_std(mx.transpose(tf(spark, sf_dir)), col_bound=CF_Q.top_n))
 
 
 def _requests(md: ActivityModel, n: int) -> DataFrame:
@@ -416,7 +409,6 @@ def q_item_dictionary(spark, sf_dir):
 
 # --- split, bias, prediction -----------------------------------------------------------
 
-from coact.operators import predict as pr  # noqa: E402
 
 TOPK_NEIGHBOURS = 40
 
@@ -479,9 +471,6 @@ def q_prediction_mse(spark, sf_dir):
 
 # --- serving tables and lookups -----------------------------------------------------------
 
-from coact.functions import text as tx  # noqa: E402
-from coact.operators import serving as sv  # noqa: E402
-from coact.session import scratch_dir  # noqa: E402
 
 CF_PROFILE_K = CF_K - 1  # k related with the item itself removed
 
@@ -598,8 +587,6 @@ def q_activity_all_users_semi(spark, sf_dir):
 
 # --- sources and sinks ----------------------------------------------------------------------
 
-from coact.sources import files as fs  # noqa: E402
-from coact.sources.log import log_from_events  # noqa: E402
 
 TEEN_SQL = "SELECT name FROM people WHERE age >= :lo AND age <= :hi"
 
@@ -698,8 +685,6 @@ def q_parquet_roundtrip(spark, sf_dir):
 
 # --- CF batch, model comparison, CF recommendations --------------------------------------------
 
-from coact.plans.cf import CF_BAND  # noqa: E402
-from coact.operators import factor as fc  # noqa: E402
 
 
 @query("cf_batch")
@@ -711,7 +696,7 @@ def q_cf_batch(spark, sf_dir):
 
 
 def _std_train_similarity(r: DataFrame) -> DataFrame:
-    train, _ = pr.train_test_split(std_normalized(r, col_bound=CF_Q.top_n))
+    train, _ = pr.train_test_split(mx.scale_columns_to_unit_std(r, col_bound=CF_Q.top_n))
     return cosine_similarity(train, axis="cols", epsilon=EPS, include_diagonal=True, row_bound=CF_Q.top_n)
 
 
@@ -760,8 +745,6 @@ def q_vector_neighbors(spark, sf_dir):
 
 # --- LSA: SVD, latent space -------------------------------------------------------------------------
 
-from coact.operators import factor as fc  # noqa: E402
-from coact.plans import lsa  # noqa: E402
 
 LSA_Q = Band(top_n=100, min_items=5, max_items=100)
 LSA_RANK_Q = 20
