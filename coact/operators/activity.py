@@ -117,25 +117,26 @@ def kept_pairs(pairs: DataFrame, top: DataFrame, users: DataFrame, top_n: int) -
 
 
 def pruned_activity(pairs: DataFrame, top: DataFrame, users: DataFrame,
-                    top_n: int) -> DataFrame:
+                    top_n: int, kept: DataFrame | None = None) -> DataFrame:
     """Pairs of top items x valid users with net score != 0.
 
     ``uid`` = dense rank of the user, descending, over the kept pairs before
     the score filter (reference semantics).
     """
-    ranked = attach_dense_ids(kept_pairs(pairs, top, users, top_n), "user", "uid", descending=True)
+    kept = kept if kept is not None else kept_pairs(pairs, top, users, top_n)
+    ranked = attach_dense_ids(kept, "user", "uid", descending=True)
     return ranked.where(F.col("net_score") != 0)
 
 
-def named_matrix(pairs: DataFrame, top: DataFrame, users: DataFrame, top_n: int) -> DataFrame:
+def named_matrix(kept: DataFrame) -> DataFrame:
     """The frequency matrix keyed by user *name* (``j = user``).
 
     Operators that only join on the column index (products, cosine, norms)
     need no dense user ids; this form skips ranking the users entirely.
     """
-    kept = kept_pairs(pairs, top, users, top_n).where(F.col("net_score") != 0)
-    return kept.select((F.col("item_id") - 1).cast("bigint").alias("i"), F.col("user").alias("j"),
-                       F.col("net_score").cast("double").alias("value"))
+    return kept.where(F.col("net_score") != 0).select(
+        (F.col("item_id") - 1).cast("bigint").alias("i"), F.col("user").alias("j"),
+        F.col("net_score").cast("double").alias("value"))
 
 
 def frequency_matrix(pruned: DataFrame) -> DataFrame:
@@ -199,16 +200,26 @@ class ActivityModel:
     def users(self) -> DataFrame:
         return self._get("users", lambda: valid_users(self.occ_nonzero, self.top, self.band), stage=False)
 
+    @property
+    def kept(self) -> DataFrame:
+        """Pairs of top items x valid users before the score filter, no user ids."""
+        return self._get("kept", lambda: kept_pairs(self.pairs, self.top, self.users, self.band.top_n))
+
+    @property
+    def kept_nonzero(self) -> DataFrame:
+        """``item, user, item_id, net_score, abs_score`` with net score != 0 (no ids)."""
+        return self._get("kept_nz", lambda: self.kept.where(F.col("net_score") != 0), stage=False)
+
     @property
     def pruned(self) -> DataFrame:
+        """The kept non-zero pairs with the reference's dense user id ``uid``."""
         return self._get("pruned", lambda: pruned_activity(self.pairs, self.top, self.users,
-                                                           self.band.top_n))
+                                                           self.band.top_n, kept=self.kept))
 
     @property
     def named(self) -> DataFrame:
         """Frequency matrix with the user name as column key (no id ranking)."""
-        return self._get("named", lambda: named_matrix(self.pairs, self.top, self.users,
-                                                       self.band.top_n))
+        return self._get("named", lambda: named_matrix(self.kept), stage=False)
 
     @property
     def matrix(self) -> DataFrame:

@@ -493,7 +493,7 @@ def stored_profile(spark, sf_dir) -> DataFrame:
 
 
 def stored_history(spark, sf_dir) -> DataFrame:
-    return stored(spark, sv.user_history(model(spark, sf_dir).pruned), "user_history")
+    return stored(spark, sv.user_history(model(spark, sf_dir).kept_nonzero), "user_history")
 
 
 @query("item_profile")
@@ -517,7 +517,7 @@ def q_serving_roundtrip(spark, sf_dir):
 
 def _bag(spark, sf_dir) -> DataFrame:
     md = model(spark, sf_dir)
-    return sv.candidate_bag(sv.user_history(md.pruned), cf_profile(md))
+    return sv.candidate_bag(sv.user_history(md.kept_nonzero), cf_profile(md))
 
 
 @query("candidate_bag")
@@ -576,13 +576,13 @@ def q_items_of_user(spark, sf_dir):
 @query("activity_all_users")
 def q_activity_all_users(spark, sf_dir):
     md = model(spark, sf_dir)
-    return sv.activity_all_users(md.occ_nonzero, md.pruned).select("user", "item", "comments", "item_id", "copies")
+    return sv.activity_all_users(md.occ_nonzero, md.kept_nonzero).select("user", "item", "comments", "item_id", "copies")
 
 
 @query("activity_all_users_semi")
 def q_activity_all_users_semi(spark, sf_dir):
     md = model(spark, sf_dir)
-    return sv.activity_all_users_semi(md.occ_nonzero, md.pruned).select("user", "item", "comments")
+    return sv.activity_all_users_semi(md.occ_nonzero, md.kept_nonzero).select("user", "item", "comments")
 
 
 # --- sources and sinks ----------------------------------------------------------------------
@@ -610,7 +610,7 @@ def q_scan_json_nested(spark, sf_dir):
 @query("rows_nested_types")
 def q_rows_nested_types(spark, sf_dir):
     """Array, nested array, map, set and tuple columns per user, flattened by explode."""
-    pr_ = model(spark, sf_dir).pruned
+    pr_ = model(spark, sf_dir).kept_nonzero
     nested = pr_.groupBy("user").agg(
         F.sort_array(F.collect_list("item_id")).alias("f1"),
         F.map_from_entries(F.collect_list(F.struct("item", F.col("net_score").cast("double")))).alias("f2"),
