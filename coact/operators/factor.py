@@ -71,11 +71,10 @@ def _gram_route(a: DataFrame, k: int | None) -> Factors:
     g = gram(a).where(F.col("i") <= F.col("j"))
     pdf = g.toPandas()
     index = np.unique(np.concatenate([pdf["i"].to_numpy(), pdf["j"].to_numpy()]))
-    pos = {v: n for n, v in enumerate(index)}
     n = len(index)
     dense = np.zeros((n, n))
-    ii = np.fromiter((pos[v] for v in pdf["i"].to_numpy()), dtype=np.int64, count=len(pdf))
-    jj = np.fromiter((pos[v] for v in pdf["j"].to_numpy()), dtype=np.int64, count=len(pdf))
+    ii = np.searchsorted(index, pdf["i"].to_numpy())    # index is sorted and holds every key
+    jj = np.searchsorted(index, pdf["j"].to_numpy())
     dense[ii, jj] = pdf["value"].to_numpy()
     dense[jj, ii] = pdf["value"].to_numpy()
     lam, vec = np.linalg.eigh(dense)
