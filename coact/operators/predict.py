@@ -86,12 +86,13 @@ def _cells(rows: DataFrame, ncols: Column) -> DataFrame:
 def _bias_rows(r: DataFrame, s: DataFrame) -> DataFrame:
     nc = n_cols(r)
     b = r.groupBy("i").agg((F.sum("value") / nc).alias("b"))
-    a = s.groupBy("i").agg(F.sum(F.abs("value")).alias("a"))
+    # A[u] = sum |S[u,v]| and (S b)[u] in one pass over S
+    ab = (s.join(b.select(F.col("i").alias("j"), F.col("b").alias("bv")), "j", "left")
+           .groupBy("i").agg(F.sum(F.abs("value")).alias("a"),
+                             F.sum(F.col("value") * F.coalesce("bv", F.lit(0.0))).alias("sb")))
     sr = mx.multiply(s, r).withColumnRenamed("value", "sr")
-    sb = (s.join(b.select(F.col("i").alias("j"), F.col("b").alias("bv")), "j")
-           .groupBy("i").agg(F.sum(F.col("value") * F.col("bv")).alias("sb")))
     cells = _cells(b.select("i"), nc)
-    return (cells.join(b, "i").join(a, "i").join(sb, "i", "left").join(sr, ["i", "j"], "left")
+    return (cells.join(b, "i").join(ab, "i").join(sr, ["i", "j"], "left")
                  .select("i", "j", (F.col("b") + (F.coalesce("sr", F.lit(0.0)) - F.coalesce("sb", F.lit(0.0)))
                                     / F.col("a")).alias("value")))
 
