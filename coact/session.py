@@ -9,8 +9,10 @@ rather than a silent write to a machine-local disk.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +43,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -74,6 +77,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once per application.
+
+    Functions that run in workers are pickled by reference to their module, so
+    the workers must be able to import ``coact`` wherever the driver runs.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_coact_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    # built on the driver only; Spark's file server hands it to the executors
+    out = os.path.join(tempfile.mkdtemp(prefix="coact-src-"), "coact_sources.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("coact", os.path.relpath(full, here)))
+    sc.addPyFile(out)
+    sc._coact_shipped = True
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -94,5 +119,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_dir", "default_parallelism",
+__all__ = ["get_session", "ensure_checkpoint_dir", "ship_package", "scratch_dir", "default_parallelism",
            "local_path", "DEFAULT_CONF"]
