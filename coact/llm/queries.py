@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from coact.session import scratch_dir
 
-from . import language_id, packing, pii, quality_knn, quality_rules, rans, url_filter
+from . import (
+    decontam, language_id, line_dedup, minhash, packing, pii, quality_knn, quality_rules, rans,
+    url_filter)
 from .common import held_out, prepare, table
 
 #: The rules of the URL query: action, host, path.
@@ -42,6 +44,22 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= quality_knn.THRESHOLD).cast("int")))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", "n_lines_removed")
+
+
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -75,7 +93,10 @@ REGISTRY = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_line_dedup": op4_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_url_filters": op8_url_filters,
     "op9_token_files": op9_token_files,
     "op10_pii": op10_pii,
