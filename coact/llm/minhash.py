@@ -14,17 +14,22 @@ similarity 0.8 misses all of them with probability (1 - 0.8**4)**24 < 4e-6.
 
 1. Rows with equal shingle sets are one *node* (exact copies meet here and are
    counted before anything is exchanged by key).
-2. In every bucket the members are paired with the bucket's least node only,
+2. The shingles that only one of the nodes in shared buckets has bound its
+   similarity to every other: a node with more than a fifth of such shingles
+   has no partner and leaves, and pairs are bound in the same way.
+3. In every bucket the members are paired with the bucket's least node only,
    and the pairs are verified exactly on the shingle sets.
-3. Connected components of the verified links collapse each group. Members of
+4. Connected components of the verified links collapse each group. Members of
    one bucket that are still in different components are then paired with each
-   other, unless their similarities to the bucket's least node rule a link out
-   by the triangle inequality, and verified too. So every pair that shares a
-   bucket is either in one class already, or compared, or provably dissimilar;
-   no group is expanded into all its pairs.
-4. Components of all links are the classes.
+   other, unless the bounds or their similarities to the bucket's least node
+   (triangle inequality) rule a link out: block by block inside the bucket, so
+   that only links leave the tasks that compare. So every pair that
+   shares a bucket is either in one class already, or compared, or provably
+   dissimilar; no group is expanded into all its pairs.
+5. Components of all links are the classes.
 
-Nothing is collected, and no side is broadcast by hand.
+What is broadcast is a bitmap of bounded size; no links, classes or keys are
+collected.
 
 Defined results: texts of one to four words have one shingle, all their words;
 a null text or one without words is a class of its own row; the class id is the
@@ -37,6 +42,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -180,20 +186,63 @@ def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 _MARK = 6      # bytes of a shingle in the sets that are compared
 
 
+_PAGE = 1 << 15           # bits of one bitmap row
+_MOST_BITS = 1 << 26      # bits of the whole bitmap: 8 MB at any size of the corpus
+
+
+def key_bitmap(keys: DataFrame):
+    """Broadcast bitmap of the hashed ``dk`` of a table; of bounded size, so a
+    crowded one lets more rows through but never fewer."""
+    bits = min(_MOST_BITS, max(_PAGE, 1 << (16 * keys.count()).bit_length()))
+    at = F.pmod(F.xxhash64(F.lit("bit"), "dk"), F.lit(bits))
+    pages = (keys.select((at / F.lit(_PAGE)).cast("int").alias("page"), (at % F.lit(_PAGE)).alias("at"))
+             .groupBy("page").agg(F.bitmap_construct_agg("at").alias("b")).collect())
+    out = np.zeros(bits // 8, np.uint8)
+    for r in pages:
+        out[r["page"] * (_PAGE // 8):(r["page"] + 1) * (_PAGE // 8)] = np.frombuffer(r["b"], np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(out), bits
+
+
 def shingle_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(v, s): the shingle set of each node in ``nodes`` (v, dk), as sorted
-    48-bit numbers; one row per node."""
+    """(v, n, s): the shingle set of each node in ``nodes`` (v, dk), as sorted
+    48-bit numbers, and its size; one row per node. Only rows whose key may be
+    wanted are shingled, and only their sets are shuffled, no text."""
+    shared, bits = key_bitmap(nodes)
+
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
         for b in batches:
+            at = b.column(1).to_numpy()
+            b = b.filter(pa.array((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
             sets = []
-            for t in b.column(1).to_pylist():
+            for t in b.column(2).to_pylist():
                 s = np.unique(shingles(t) >> _U(16))
                 sets.append(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_MARK].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["v", "s"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(s) // _MARK for s in sets], pa.int32()),
+                 pa.array(sets, pa.binary())], ["dk", "n", "s"])
 
     keyed = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("dk"), F.col(text_col).alias("text"))
-    return (keyed.join(nodes, "dk").select("v", "text").mapInArrow(listed, "v long, s binary")
-            .dropDuplicates(["v"]))
+    sets = (keyed.select("dk", F.pmod(F.xxhash64(F.lit("bit"), "dk"), F.lit(bits)).alias("at"), "text")
+            .mapInArrow(listed, "dk long, n int, s binary"))
+    return sets.join(nodes.select("v", "dk"), "dk").select("v", "n", "s").dropDuplicates(["v"])
+
+
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(v, u): how many of a node's shingles no other node of ``sets`` has."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 200):
+                part = b.slice(at, 200)
+                raw = part.column(1).to_pylist()
+                if raw:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_numbers(b"".join(raw)).astype(np.int64)),
+                         pa.array(np.repeat(part.column(0).to_numpy(), [len(x) // _MARK for x in raw]))], ["x", "v"])
+
+    return (sets.select("v", "s").mapInArrow(each, "x long, v long")
+            .groupBy("x").agg(F.min("v").alias("v"), F.max("v").alias("w")).where("v = w")
+            .groupBy("v").agg(F.count("*").cast("int").alias("u")))
 
 
 def _numbers(data: bytes) -> np.ndarray:
@@ -245,36 +294,92 @@ def components(links: DataFrame) -> DataFrame:
         roots.select("v", F.col("v").alias("c")))
 
 
+def _buckets(members: DataFrame) -> DataFrame:
+    """Members (key, v, ...) of buckets of two or more, with the least node p."""
+    least = members.groupBy("key").agg(F.min("v").alias("p"), F.count("*").alias("times")).where("times > 1")
+    return members.join(least.drop("times"), "key")
+
+
+BLOCK = 256     # members of a bucket that one task compares with as many others
+
+
+def block_links(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links between members of one bucket (key, v, n, m, c, j, keys, s)
+    that are in different components. A bucket is dealt into blocks, each pair
+    of blocks is one group of at most about ``2 x BLOCK`` rows, and only links
+    leave it. A pair is looked at in the first band that it shares."""
+    count = members.groupBy("key").agg(F.count("*").alias("times"))
+    dealt = (members.join(count, "key").withColumn("blocks", F.ceil(F.col("times") / BLOCK).cast("int"))
+             .withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")))
+
+    def compared(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("v", ignore_index=True)
+        keys = np.stack(pdf["keys"].to_numpy())
+        band = int(np.flatnonzero(keys[0] == pdf["key"].iloc[0])[0])
+        v, n, m, c = (pdf[x].to_numpy() for x in ("v", "n", "m", "c"))
+        j, own = pdf["j"].to_numpy(float), pdf["own"].to_numpy()
+        sets = [_numbers(x) for x in pdf["s"]]
+        same_block = pdf["lo"].iloc[0] == pdf["hi"].iloc[0]
+        found = []
+        for k in range(len(pdf) - 1):
+            rest = slice(k + 1, None)
+            both = np.minimum(m[k], m[rest])
+            with np.errstate(invalid="ignore"):
+                may = (c[rest] != c[k]) & (both >= threshold * (n[k] + n[rest] - both) - 1e-9) \
+                    & ~(np.abs(j[rest] - j[k]) > 1 - threshold + 1e-9)
+            may &= ~(keys[rest, :band] == keys[k, :band]).any(axis=1)
+            if not same_block:
+                may &= own[rest] != own[k]
+            at = np.flatnonzero(may) + k + 1
+            if not len(at):
+                continue
+            flat = np.concatenate([sets[x] for x in at])
+            where = np.minimum(np.searchsorted(sets[k], flat), len(sets[k]) - 1)
+            hits = np.add.reduceat(sets[k][where] == flat, np.cumsum([0, *(len(sets[x]) for x in at[:-1])]))
+            alike = hits / (n[k] + n[at] - hits)
+            found += [(v[k], v[x]) for x in at[alike >= threshold]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return (dealt.select("key", "lo", "hi", "own", "v", "n", "m", "c", "j", "keys", "s")
+            .groupBy("key", "lo", "hi").applyInPandas(compared, "a long, b long"))
+
+
 def near_duplicate_nodes(docs: DataFrame, signed: DataFrame, threshold: float = THRESHOLD,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(v, c): nodes that have a link, with their component."""
-    nodes = signed.where("v is not null").groupBy("v").agg(F.min("dk").alias("dk"), F.any_value("keys").alias("keys"))
-    members = nodes.select("v", F.explode("keys").alias("key"))
-    pivots = members.groupBy("key").agg(F.min("v").alias("p"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = staged(members.join(pivots, "key"), "buckets")
-    pairs = staged(members.where("v != p").select(F.col("v").alias("a"), F.col("p").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct()
-    sets = staged(shingle_sets(docs, signed.where("v is not null").groupBy("v").agg(F.min("dk").alias("dk"))
-                               .join(wanted, "v"), id_col, text_col), "sets")
+    nodes = (signed.where("v is not null").groupBy("v")
+             .agg(F.min("dk").alias("dk"), F.any_value("keys").alias("keys")))
+    met = staged(_buckets(nodes.select("v", "dk", F.explode("keys").alias("key"))).drop("p"), "buckets")
+    wanted = staged(met.select("v", "dk").distinct(), "wanted")
+    sets = staged(shingle_sets(docs, wanted, id_col, text_col), "sets")
+
+    # a partner has none of a node's own shingles: that bounds every similarity
+    sizes = (sets.select("v", "n").join(own_shingles(sets), "v", "left")
+             .select("v", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("m"))
+             .where(F.col("m") >= threshold * F.col("n") - 1e-9))
+    members = staged(_buckets(met.select("key", "v").join(staged(sizes, "sizes"), "v")), "alive")
+
+    def possible(n1: str, m1: str, n2: str, m2: str):
+        both = F.least(m1, m2)
+        return both >= threshold * (F.col(n1) + F.col(n2) - both) - 1e-9
+
+    pivots = members.where("v = p").select("key", F.col("n").alias("pn"), F.col("m").alias("pm"))
+    pairs = staged(members.where("v != p").join(pivots, "key").where(possible("n", "m", "pn", "pm"))
+                   .select(F.col("v").alias("a"), F.col("p").alias("b")).distinct(), "pairs")
     first = staged(similarities(pairs, sets), "similar")
-    links = first.where(F.col("j") >= threshold).select("a", "b")
-    joined = components(links)
+    joined = staged(components(first.where(F.col("j") >= threshold).select("a", "b")), "components")
 
-    # what a bucket still holds apart: its members with component and similarity to the pivot
+    # what a bucket still holds apart, with its similarity to the least node where that is known
     placed = (members.join(joined, "v", "left").withColumn("c", F.coalesce("c", "v"))
               .join(first.select(F.col("a").alias("v"), F.col("b").alias("p"), "j"), ["v", "p"], "left"))
     apart = (placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"),
                                        F.count_if(F.col("v") != F.col("p")).alias("others"))
              .where("lo != hi and others > 1").select("key"))
-    rest = staged(placed.where("v != p").join(apart, "key").select("key", "v", "c", "j"), "apart")
-    left = rest.select("key", F.col("v").alias("a"), F.col("c").alias("ca"), F.col("j").alias("ja"))
-    right = rest.select("key", F.col("v").alias("b"), F.col("c").alias("cb"), F.col("j").alias("jb"))
-    near = F.abs(F.col("ja") - F.col("jb")) <= 1 - threshold + 1e-9
-    more = (left.join(right, "key").where((F.col("ca") < F.col("cb")) & near)
-            .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct())
-    known = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-    more = staged(more.join(known, ["x", "y"], "left_anti").select(F.col("x").alias("a"), F.col("y").alias("b")), "more")
-    second = similarities(more, sets).where(F.col("j") >= threshold).select("a", "b")
+    rest = (placed.where(F.col("v") != F.col("p")).join(apart, "key")
+            .join(nodes.select("v", "keys"), "v").join(sets.select("v", "s"), "v"))
+    second = block_links(staged(rest, "apart"), threshold)
     # the first components stand for their links
     return components(joined.select(F.col("v").alias("a"), F.col("c").alias("b")).unionByName(second))
 
@@ -296,10 +401,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of ``docs`` for each class, the one with the smallest doc_id."""
-    heads = near_duplicates(docs, threshold).where("dk = first_dk").select("dk").distinct()
+    """One row of ``docs`` for each class, the one with the smallest doc_id.
+
+    The rows to leave out are a narrow table of their own, so that a small one
+    needs no shuffle of the documents."""
+    rows = near_duplicates(docs, threshold)
+    # rows equal in doc_id and text share a key; one of them stays
+    keys = rows.groupBy("dk").agg(F.count("*").alias("times"), F.max((F.col("dk") == F.col("first_dk"))).alias("head"))
+    special = staged(keys.where("not head or times > 1"), "special")
     own = [f"c{k}" for k in range(len(docs.columns))]
     at = {c: own[k] for k, c in enumerate(docs.columns)}
     keyed = docs.toDF(*own).withColumn("dk", row_key(F.col(at["doc_id"]), F.col(at["text"])))
-    # rows equal in doc_id and text share a key; one of them stays
-    return keyed.join(heads, "dk").dropDuplicates(["dk"]).select(*own).toDF(*docs.columns)
+    alone = keyed.join(special.select("dk"), "dk", "left_anti")
+    repeated = keyed.join(special.where("head").select("dk"), "dk", "left_semi").dropDuplicates(["dk"])
+    return alone.unionByName(repeated).select(*own).toDF(*docs.columns)
