@@ -99,13 +99,21 @@ class Bins:
 
     def _swap(self, target: int, out: list[int], source: list[tuple[int, int]]) -> bool:
         """Exchange ``out`` (items of the target) for ``source`` ((bin, item)
-        pairs). False if a donor has no room for what comes back."""
-        gain: dict[int, int] = {}
+        pairs). False, and nothing changes, if a donor has no room for what
+        comes back or the sum of squared fills would not grow."""
+        after = {target: self.fill[target]}
         for b, k in source:
-            gain[b] = gain.get(b, 0) - self.lengths[k]
-        back = {k: next((b for b in sorted(gain, key=lambda b: self.fill[b] + gain[b])
-                         if self.fill[b] + gain[b] + self.lengths[k] <= self.capacity), None) for k in out}
-        if None in back.values():
+            after[b] = after.get(b, self.fill[b]) - self.lengths[k]
+            after[target] += self.lengths[k]
+        back = {}
+        for k in out:
+            rooms = [b for b in after if b != target and after[b] + self.lengths[k] <= self.capacity]
+            if not rooms:
+                return False
+            back[k] = max(rooms, key=lambda b: (after[b], -b))
+            after[back[k]] += self.lengths[k]
+            after[target] -= self.lengths[k]
+        if sum(f * f for f in after.values()) <= sum(self.fill[b] ** 2 for b in after):
             return False
         for b, k in source:
             self.items[b].remove(k)
@@ -178,8 +186,7 @@ class Bins:
                     break
                 out, wanted = plan
                 source = [pool[n].pop() for n in wanted]
-                # squared fill grows only while the target is fuller than its donors
-                if any(self.fill[t] + best < self.fill[b] for b, _ in source) or not self._swap(t, out, source):
+                if not self._swap(t, out, source):
                     for n, s in zip(wanted, source):
                         pool[n].append(s)
                     break
