@@ -74,7 +74,8 @@ def grams(words: list[str], n: int) -> set[tuple[str, ...]]:
 class Index:
     """Postings with impacts, by term; block maxima; the items' grams."""
 
-    def __init__(self, items: list[tuple[object, str]]):
+    def __init__(self, items: list[tuple[object, str]], threshold: float = THRESHOLD):
+        self.threshold = threshold
         kept = [(i, t, normal_words(t)) for i, t in items if t]
         kept = [(i, t, w) for i, t, w in kept if len(w) >= MIN_ITEM_WORDS]
         self.ids = [i for i, _, _ in kept]
@@ -138,33 +139,44 @@ class Index:
             return []
         at = self._spans(self.begin, terms)
         items = self.item[at]
-        at, items = at[own := open_blocks[items // BLOCK_ITEMS]], items[own]
-        names, where = np.unique(items, return_inverse=True)
-        score = np.bincount(where, self.impact[at])
-        return [(int(names[k]), float(score[k])) for k in np.flatnonzero(score >= threshold)]
-
-    def term_of(self, word: str) -> int:
-        got = _cache.get(word)
-        if got is None:
-            if len(_cache) >= _CACHE_WORDS:
-                _cache.clear()
-            got = _cache[word] = self.terms.get(word.lower().strip(_TRIM), -1)
-        return got
-
-    def leaks(self, text: str | None, threshold: float) -> list[tuple]:
+        own = open_blocks[items // BLOCK_ITEMS]
+        score = np.bincount(items[own], self.impact[at[own]], len(self.ids))
+        return [(k, float(score[k])) for k in np.flatnonzero(score >= threshold).tolist()]
+
+    def promising(self, terms: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Start and distinct terms of the passages whose terms' largest impacts
+        reach the threshold together (-1 stands for words that no item has)."""
+        n, size = len(terms), 2 * self.stride
+        starts = np.arange(0, max(1, n - self.stride), self.stride)
+        order = np.argsort(terms, kind="stable")
+        again = np.flatnonzero(terms[order[1:]] == terms[order[:-1]])
+        before = np.full(len(starts) * self.stride + size, -1)
+        before[order[again + 1]] = order[again]
+        value = np.zeros(len(before))
+        value[:n] = np.where(terms < 0, 0.0, self.most[terms])
+        at = starts[:, None] + np.arange(size)
+        # a term counts where it occurs first in the passage
+        first = (before[at] < starts[:, None]) & (value[at] > 0)
+        for k in np.flatnonzero((value[at] * first).sum(axis=1) >= self.threshold - 1e-9):
+            yield int(starts[k]), terms[at[k][first[k]]]
+
+    def leaks(self, text: str | None) -> list[tuple]:
         """(item id, score, question share, answer share) of verified items."""
-        if not text or not self.ids:
+        raw = text.encode().split() if text and self.ids else []     # the same words as words_of
+        if not raw:
             return []
-        words = words_of(text)
-        terms = np.fromiter(map(self.term_of, words), np.int64, len(words))
+        if _terms.owner is not self:
+            _terms.clear()
+            _terms.owner = self
+        terms = np.fromiter(map(_terms.__getitem__, raw), np.int64, len(raw))
         found: dict[int, tuple[float, int]] = {}
-        for start in range(0, max(1, len(words) - self.stride), self.stride):
-            own = np.unique(terms[start:start + 2 * self.stride])
-            own = own[1:] if len(own) and own[0] < 0 else own
-            if len(own):
-                for item, score in self.above(own, threshold):
-                    if score > found.get(item, (0.0, 0))[0]:
-                        found[item] = score, start
+        for start, own in self.promising(terms):
+            for item, score in self.above(own, self.threshold):
+                if score > found.get(item, (0.0, 0))[0]:
+                    found[item] = score, start
+        if not found:
+            return []
+        words = [w.decode() for w in raw]
         out = []
         for item, (score, start) in sorted(found.items()):
             passage = normal_words(" ".join(words[start:start + 2 * self.stride]))
@@ -179,20 +191,22 @@ class Index:
         return out
 
 
-_cache: dict[str, int] = {}
-_owner: list[object] = []
+class _Terms(dict):
+    """Term numbers of words as they stand in texts, for one index at a time."""
+
+    owner: Index | None = None
+
+    def __missing__(self, word: bytes) -> int:
+        got = self.owner.terms.get(word.decode().lower().strip(_TRIM), -1)
+        if len(self) < _CACHE_WORDS:
+            self[word] = got
+        return got
 
 
-def _on_worker(shared) -> Index:
-    """The broadcast index; the word cache belongs to one index at a time."""
-    index = shared.value
-    if not _owner or _owner[0] is not index:
-        _cache.clear()
-        _owner[:] = [index]
-    return index
+_terms = _Terms()
 
 
-def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator:
+def indexes(items: DataFrame, threshold: float, id_col: str = "item_id", text_col: str = "text") -> Iterator:
     """Broadcast indexes of bounded size that together hold every item."""
     own = items.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
     chars = own.agg(F.sum(F.length("t"))).first()[0] or 0
@@ -200,7 +214,7 @@ def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -
     dealt = own.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)))
     for k in range(parts):
         rows = sorted((tuple(r) for r in dealt.where(F.col("part") == k).select("i", "t").collect()), key=repr)
-        yield items.sparkSession.sparkContext.broadcast(Index(rows))
+        yield items.sparkSession.sparkContext.broadcast(Index(rows, threshold))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
@@ -210,13 +224,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     kinds = dict(docs.dtypes)[id_col], dict(items.dtypes)[item_col]
     declared = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_share double, answer_share double"
     out = None
-    for shared in indexes(items, item_col):
+    for shared in indexes(items, threshold, item_col):
         def searched(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _on_worker(shared)
+            index = shared.value
             for b in batches:
                 row, hits = [], []
                 for k, t in enumerate(b.column(1).to_pylist()):
-                    own = index.leaks(t, threshold)
+                    own = index.leaks(t)
                     row += [k] * len(own)
                     hits += own
                 if hits:
@@ -241,11 +255,11 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRE
     at = docs.columns.index(text_col)
     own = [f"c{k}" for k in range(len(docs.columns))]
     out = docs.toDF(*own)
-    for shared in indexes(items):
+    for shared in indexes(items, threshold):
         def kept(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _on_worker(shared)
+            index = shared.value
             for b in batches:
-                clean = [not index.leaks(t, threshold) for t in b.column(at).to_pylist()]
+                clean = [not index.leaks(t) for t in b.column(at).to_pylist()]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         out = out.mapInArrow(kept, out.schema)
