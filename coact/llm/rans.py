@@ -172,32 +172,28 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str | None = None, end_id:
     end = np.array([end_id], "<u4").tobytes()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        for b in batches:
-            ids = [x + end for x in encode(b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([len(x) // 4 for x in ids], pa.int32()),
-                 pa.array(map(_packed, ids), pa.binary())], ["doc_id", "tie", "n", "ids"])
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        encode = encoder(tokenizer).encode
         part, pos, before = TaskContext.get().partitionId(), 0, 0
         for b in batches:
-            n = b.column(2).to_numpy()
-            upto = np.cumsum(n, dtype=np.int64) + before
+            ids = [x + end for x in encode(b.column(1).to_pylist())]
+            n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+            upto = np.cumsum(n) + before
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(n), part, np.int32)), pa.array(np.arange(pos, pos + len(n))),
-                 pa.array(upto - n), b.column(0), b.column(2), b.column(3)],
+                 pa.array(upto - n), b.column(0), pa.array(n.astype(np.int32)),
+                 pa.array(map(_packed, ids), pa.binary())],
                 ["part", "pos", "before", "doc_id", "n", "ids"])
             pos, before = pos + len(n), int(upto[-1]) if len(n) else before
 
     text = F.col(text_col)
-    rows = (df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
-            .mapInArrow(encoded, f"doc_id {kind}, tie long, n int, ids binary"))
-    # sorted once and written: every later step reads these files
+    rows = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    # texts are put in order before they are encoded: finding the ranges reads
+    # the rows once more, and that must not encode them. Every later step reads the files.
     (rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-     .mapInArrow(numbered, f"part int, pos long, before long, doc_id {kind}, n int, ids binary")
+     .select("doc_id", "text")
+     .mapInArrow(encoded, f"part int, pos long, before long, doc_id {kind}, n int, ids binary")
      .write.option("compression", "none").parquet(f"{path}/ids"))
     ids = spark.read.parquet(f"{path}/ids")
     _write_frequencies(ids, path)
