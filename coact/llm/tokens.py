@@ -14,8 +14,10 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_PIECES = 500_000      # that a worker remembers; more are encoded anew in each batch
+CACHE_PIECES = 1_000_000    # that a worker remembers; more are encoded anew in each batch
 CHUNK_CHARS = 4_000_000     # characters of a batch that are encoded together
 JOINED = 20_000             # plain pieces in one call of the library
 
@@ -74,12 +76,21 @@ class PieceEncoder:
             out.append(raw[a:])
         return out
 
-    def _ids_of(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of ``pieces``, each after a space. A line end between other
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different ``pieces``, each after a space."""
+        known = self.by_piece
+        out = list(map(known.get, pieces))
+        new = [p for p, x in zip(pieces, out) if x is None]
+        if len(known) > CACHE_PIECES // 2 and 2 * len(new) > len(pieces):
+            known.clear()        # the texts have changed: what is known no longer helps
+            self.by_line.clear()
+        fresh = self._fresh(new)
+        return [fresh[p] if x is None else x for p, x in zip(pieces, out)]
+
+    def _fresh(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not known. A line end between other
         characters and a mark after letters part a piece further."""
         known, starts = self.by_piece, self.by_line
-        out = {p: known[p] for p in pieces if p in known}
-        new = [p for p in pieces if p not in out]
         plain, marked, lined = set(), [], []
         for p in new:
             if "\n" in p:
@@ -91,36 +102,50 @@ class PieceEncoder:
                 plain.add(p)
         plain.update(v[0] for _, v in lined)
         plain.discard("")
-        fresh = [p for p in plain if p not in known]
-        found = dict(zip(fresh, self._plain(fresh)))
-        for p in plain:
-            out[p] = found[p] if p in found else known[p]
+        unseen = [p for p in plain if p not in known]
+        found = dict(zip(unseen, self._plain(unseen)))
+        # the part before a mark or a line end; no characters, no ids but the space
+        ids = lambda p: (found[p] if p in found else known[p]) if p else self.space
         for p in marked:
-            out[p] = found[p] = out[p[:-1]] + self.mark[p[-1]]
+            found[p] = ids(p[:-1]) + self.mark[p[-1]]
         opened = [x for x in {y for _, v in lined for y in v[1:]} if x not in starts]
         more = dict(zip(opened, self._encode(opened)))
+        out = {"": self.space}      # a space at the end of a text
         for p, v in lined:
-            out[p] = out[v[0]] + b"".join([self.line + (more[x] if x in more else starts[x]) for x in v[1:]])
-        if len(known) > CACHE_PIECES // 2 and 2 * len(new) > len(pieces):
-            known.clear()        # the texts have changed: what is known no longer helps
-            starts.clear()
+            out[p] = ids(v[0]) + b"".join([self.line + (more[x] if x in more else starts[x]) for x in v[1:]])
+        out |= found
         if len(known) + len(found) <= CACHE_PIECES:
             known.update(found)
         if len(starts) + len(more) <= CACHE_PIECES // 4:
             starts.update(more)
         return out
 
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that may be cut before each space."""
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = parts.offsets.to_numpy()
+        heads = np.zeros(len(parts.values), bool)
+        heads[bounds[:-1]] = True
+        firsts = self._encode(parts.values.take(pa.array(bounds[:-1])).to_pylist())
+        rest = parts.values.filter(pa.array(~heads)).dictionary_encode()
+        different = self._ids_of(rest.dictionary.to_pylist())
+        # the ids of all pieces in a row, gathered from those of the different ones
+        at, ids = rest.indices.to_numpy(), np.frombuffer(b"".join(different), "<u4")
+        size = np.fromiter(map(len, different), np.int64, len(different)) // 4
+        start = np.cumsum(size) - size
+        length = size[at]
+        upto = np.concatenate(([0], np.cumsum(length)))
+        raw = ids[np.repeat(start[at] - upto[:-1], length) + np.arange(upto[-1])].tobytes()
+        # pieces before a text, less the first piece of each
+        ends = upto[bounds - np.arange(len(bounds))] * 4
+        return [first + raw[a:b] for first, a, b in zip(firsts, ends[:-1].tolist(), ends[1:].tolist())]
+
     def _some(self, texts: list[str]) -> list[bytes]:
-        cut = {k: t.split(" ") for k, t in enumerate(texts) if _simple(t)}
-        firsts = self._encode([c[0] for c in cut.values()])
-        for c in cut.values():
-            del c[0]
-        ids = self._ids_of(set().union(*cut.values()))
-        ids[""] = self.space      # a space at the end of a text
+        simple = [k for k, t in enumerate(texts) if _simple(t)]
+        others = sorted(set(range(len(texts))) - set(simple))
         out = [b""] * len(texts)
-        for first, (k, rest) in zip(firsts, cut.items()):
-            out[k] = first + b"".join(map(ids.__getitem__, rest))
-        others = [k for k in range(len(texts)) if k not in cut]
+        for k, found in zip(simple, self._cut([texts[k] for k in simple]) if simple else ()):
+            out[k] = found
         for k, found in zip(others, self._encode([texts[k] for k in others])):
             out[k] = found
         return out
