@@ -7,7 +7,8 @@ transposed back.  Implicit zeros take part as in the dense reference formulas:
 * bias-corrected: ``pred[u, j] = b[u] + (sum_v S[u,v] (r[v,j] - b[v])) / sum_v |S[u,v]|``
   expands to ``b[u] + ((S R)[u,j] - (S b)[u]) / A[u]`` — a sparse product and
   two per-row vectors, no dense matrix is materialised before the output;
-* top-k: ``pred[u, j] = sum_{v in topk(u)} S[u,v] r[v,j] / sum_{v in topk(u)} |S[u,v]|``.
+* top-k: ``pred[u, j] = sum_{v in topk(u)} S[u,v] r[v,j] / sum_{v in topk(u)} |S[u,v]|``,
+  where entities without a stored similarity count as similarity 0.
 
 Outputs are dense over (rows present) x (0 .. n_cols - 1): one row per cell,
 generated per row entity from a column range (bounded by the item count for
@@ -97,9 +98,23 @@ def _bias_rows(r: DataFrame, s: DataFrame) -> DataFrame:
                                     / F.col("a")).alias("value")))
 
 
+def _nearest(r: DataFrame, s: DataFrame, k: int) -> DataFrame:
+    """The stored pairs of ``s`` that are among the ``k`` nearest of their row.
+
+    Entities that share nothing with the row have no stored pair; their
+    similarity is (about) 0, so they rank before negative ones and take places
+    of the ``k``, though they add nothing to a prediction.
+    """
+    rounded = F.round("value", SIM_DIGITS)
+    w = Window.partitionBy("i").orderBy(rounded.desc(), F.col("j").asc())
+    absent = s.groupBy("i").agg((n_rows(r) - F.count("value")).alias("_absent"))
+    shift = F.when(rounded < 0, F.col("_absent")).otherwise(F.lit(0.0))
+    return (s.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
+             .join(absent, "i").where(F.col("_rk") + shift <= k).drop("_rk", "_absent"))
+
+
 def _topk_rows(r: DataFrame, s: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("i").orderBy(F.round("value", SIM_DIGITS).desc(), F.col("j").asc())
-    nb = s.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
+    nb = _nearest(r, s, k)
     num = mx.multiply(nb, r).withColumnRenamed("value", "num")
     den = nb.groupBy("i").agg(F.sum(F.abs("value")).alias("den"))
     cells = _cells(r.select("i").distinct(), n_cols(r))

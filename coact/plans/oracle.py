@@ -267,8 +267,10 @@ def bias_pred(src: str, sim: str, p: str) -> list[str]:
 
 def topk_pred(src: str, sim: str, k: int, p: str) -> list[str]:
     return [
-        f"{p}nb AS (SELECT * FROM (SELECT i, j, value, row_number() OVER (PARTITION BY i ORDER BY "
-        f"round(value, 9) DESC, j) AS rk FROM {sim}) WHERE rk <= {k})",
+        # entities without a stored similarity rank before the negative ones
+        f"{p}nb AS (SELECT i, j, value FROM (SELECT i, j, value, row_number() OVER (PARTITION BY i ORDER BY "
+        f"round(value, 9) DESC, j) AS rk, count(*) OVER (PARTITION BY i) AS stored FROM {sim}) "
+        f"WHERE rk + CASE WHEN round(value, 9) < 0 THEN (SELECT max(i) + 1 FROM {src}) - stored ELSE 0 END <= {k})",
         f"{p}num AS (SELECT n.i, r.j, sum(n.value * r.value) AS num FROM {p}nb n JOIN {src} r ON n.j = r.i "
         f"GROUP BY n.i, r.j)",
         f"{p}den AS (SELECT i, sum(abs(value)) AS den FROM {p}nb GROUP BY i)",

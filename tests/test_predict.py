@@ -92,3 +92,27 @@ def test_cosine_similarity_for_predictions_has_unit_diagonal(spark):
     s = cosine_similarity(df, epsilon=1e-9, include_diagonal=True)
     diag = [x.value for x in s.where("i = j").collect()]
     assert np.allclose(diag, 1.0)
+
+
+def _np_topk(x, k):
+    sim = _np_sim(x)
+    out = np.zeros(x.shape)
+    for u in range(len(x)):
+        near = np.lexsort((np.arange(len(x)), -np.round(sim[u], 9)))[:k]
+        out[u] = sim[u, near] @ x[near] / np.abs(sim[u, near]).sum()
+    return out
+
+
+def test_topk_sparse_signed(spark):
+    """Neighbours without a common entry rank before negative ones."""
+    small = np.array([[1.0, 0, 0], [-1, 5, 0], [0, 0, 1]])
+    rng = np.random.default_rng(5)
+    large = np.round(rng.normal(size=(20, 15)) * 4) * (rng.random((20, 15)) < 0.15)
+    large[np.arange(15), np.arange(15)] = 1.0
+    large[15:, 0] = -2.0
+    for x, k in ((small, 2), (large, 6)):
+        df = from_dense(spark, x)
+        got = to_dense(pr.predict_topk(df, pr.similarity_for(df, "user"), "user", k), x.shape)
+        assert np.allclose(got, _np_topk(x, k), atol=1e-5)
+        got = to_dense(pr.predict_topk(df, pr.similarity_for(df, "item"), "item", k), x.shape)
+        assert np.allclose(got, _np_topk(x.T, k).T, atol=1e-5)
