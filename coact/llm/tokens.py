@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_PIECES = 1_000_000    # that a worker remembers; more are encoded anew in each batch
+CACHE_PIECES = 200_000      # that a worker remembers; more are encoded anew in each batch
 CHUNK_CHARS = 4_000_000     # characters of a batch that are encoded together
 JOINED = 20_000             # plain pieces in one call of the library
 
