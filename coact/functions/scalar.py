@@ -27,9 +27,9 @@ def log_base(x: Column, base: Column | float) -> Column:
 
 
 def entropy_term(p: Column, n: Column | float) -> Column:
-    """``-|p| ln|p| / ln(n)`` — one summand of the normalised entropy."""
+    """``-|p| ln|p| / ln(n)`` — one summand of the normalised entropy; 0 where n is 1."""
     nn = n if isinstance(n, Column) else F.lit(float(n))
-    return -F.abs(p) * F.log(F.abs(p)) / F.log(nn)
+    return F.when(nn == 1, F.lit(0.0)).otherwise(safe_div(-F.abs(p) * F.log(F.abs(p)), F.log(nn)))
 
 
 def safe_div(num: Column, den: Column) -> Column:

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coact.functions.scalar import safe_div
 from coact.operators import matrix as mx
 from coact.operators.similarity import SIM_DIGITS, gram
 
@@ -236,8 +237,8 @@ def rank_by_cosine(df: DataFrame, key: str, array_col: str, query_key) -> DataFr
     per = el.join(F.broadcast(q), "pos", "left").groupBy(key).agg(
         F.sum(F.col("x") * F.coalesce("q", F.lit(0.0))).alias("dot"),
         F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("n"))
-    return per.select(key, F.round(F.col("dot") / (F.col("n") * qn), 6).alias("sim")).orderBy(
-        F.desc("sim"), key)
+    sim = F.round(safe_div(F.col("dot"), F.col("n") * qn), 6).alias("sim")     # zero vectors have none
+    return per.select(key, sim).where(F.col("sim").isNotNull()).orderBy(F.desc("sim"), key)
 
 
 def score_topk(spark: SparkSession, queries: DataFrame, f: Factors, k: int, scale_power: float,

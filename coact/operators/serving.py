@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coact.functions.scalar import safe_div
 from coact.functions import text as tx
 
 SAMPLE_SEED = 42
@@ -123,7 +124,7 @@ def projection_2d(profile: DataFrame, exclude: DataFrame | None = None,
                   components: tuple[int, int] = (0, 1), scale: float = PLOT_SCALE) -> DataFrame:
     """Scatter points ``item, x, y, size`` from the latent vectors.
 
-    ``x``/``y`` are two leading components divided by the vector norm and
+    Zero vectors are left out. ``x``/``y`` are two leading components divided by the vector norm and
     shifted so their minimum is 0; ``size = scale * sqrt(activity)``.  Items in
     ``exclude`` (e.g. one dominating outlier) are left out before the shift.
     """
@@ -131,8 +132,8 @@ def projection_2d(profile: DataFrame, exclude: DataFrame | None = None,
     if exclude is not None:
         p = p.join(exclude.select("item"), "item", "left_anti")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    pts = p.select("item", "activity", (F.col("vector")[components[0]] / norm).alias("x0"),
-                   (F.col("vector")[components[1]] / norm).alias("y0"))
+    pts = p.select("item", "activity", safe_div(F.col("vector")[components[0]], norm).alias("x0"),
+                   safe_div(F.col("vector")[components[1]], norm).alias("y0")).where(F.col("x0").isNotNull())
     mins = pts.agg(F.min("x0").alias("mx"), F.min("y0").alias("my"))
     return pts.select("item", (F.col("x0") - mins.select("mx").scalar()).alias("x"),
                       (F.col("y0") - mins.select("my").scalar()).alias("y"),
