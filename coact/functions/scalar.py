@@ -20,12 +20,6 @@ def signed_log1p(x: Column) -> Column:
     return F.signum(x) * F.log1p(F.abs(x))
 
 
-def log_base(x: Column, base: Column | float) -> Column:
-    """``ln(x) / ln(base)`` (change of base by division)."""
-    b = base if isinstance(base, Column) else F.lit(float(base))
-    return F.log(x) / F.log(b)
-
-
 def entropy_term(p: Column, n: Column | float) -> Column:
     """``-|p| ln|p| / ln(n)`` — one summand of the normalised entropy; 0 where n is 1."""
     nn = n if isinstance(n, Column) else F.lit(float(n))

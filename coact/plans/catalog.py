@@ -811,11 +811,11 @@ def q_fold_in_rows(spark, sf_dir):
 
 @query("latent_neighbors")
 def q_latent_neighbors(spark, sf_dir):
-    """For every folded-in user, the 10 items closest by cosine in the latent space."""
+    """For every folded-in user, all items by cosine in the latent space, closest first."""
     f = lsa_factors(spark, sf_dir)
     folded = fc.fold_in(_user_entries(spark, sf_dir), fc.factors_long(spark, f, scale_power=-fc.LATENT_POWER))
     q = fc.vectors_from_long(folded, "row")
-    top = fc.score_topk(spark, q, f, 10, 0.0, mode="cosine")
+    top = fc.score_topk(spark, q, f, len(f.index), 0.0, mode="cosine")
     names = F.broadcast(lsa_model(spark, sf_dir).item_names)
     return top.join(names, "i").select(F.col("row").alias("uid"), "rk", "item", F.col("score").alias("sim"))
 

@@ -370,8 +370,8 @@ SQL["sql_range_filter"] = "SELECT c_name AS name FROM customer WHERE c_nationkey
 SQL["string_projection"] = ("SELECT 'Name: ' || c_name AS text FROM customer "
                             "WHERE c_nationkey >= 13 AND c_nationkey <= 19")
 SQL["scan_csv_ratings"] = cf("SELECT j AS i, i AS j, value FROM m")
-SQL["scan_csv_users"] = cf('SELECT DISTINCT CAST(i AS INTEGER) AS "user" FROM ranked WHERE rn <= 3', R_CTE, SPLIT)
-SQL["seen_items_by_user"] = cf("""SELECT CAST(i AS INTEGER) AS "user", string_agg(CAST(j AS VARCHAR), ',' ORDER BY j) AS items
+SQL["scan_csv_users"] = cf('SELECT DISTINCT CAST(i AS BIGINT) AS "user" FROM ranked WHERE rn <= 3', R_CTE, SPLIT)
+SQL["seen_items_by_user"] = cf("""SELECT CAST(i AS BIGINT) AS "user", string_agg(CAST(j AS VARCHAR), ',' ORDER BY j) AS items
 FROM ranked WHERE rn > 3 GROUP BY i""", R_CTE, SPLIT)
 SQL["parquet_roundtrip"] = SQL["pruned_activity"]
 

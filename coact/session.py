@@ -114,10 +114,5 @@ def default_parallelism(spark: SparkSession) -> int:
     return max(1, n)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for callers that need a plain path."""
-    return path[5:] if path.startswith("file:") else path
-
-
 __all__ = ["get_session", "ensure_checkpoint_dir", "ship_package", "scratch_dir", "default_parallelism",
-           "local_path", "DEFAULT_CONF"]
+           "DEFAULT_CONF"]

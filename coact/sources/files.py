@@ -14,20 +14,20 @@ from pyspark.sql import types as T
 
 from coact.sources.log import LOG_SCHEMA
 
-# Schemas of the reference's delimited inputs.
+# Schemas of the delimited inputs: ids and values as wide as this engine writes them.
 PEOPLE_SCHEMA = T.StructType([
     T.StructField("name", T.StringType(), True),
     T.StructField("age", T.IntegerType(), True),
 ])
 RATING_SCHEMA = T.StructType([
-    T.StructField("user", T.IntegerType(), True),
-    T.StructField("item", T.IntegerType(), True),
-    T.StructField("rating", T.FloatType(), True),
+    T.StructField("user", T.LongType(), True),
+    T.StructField("item", T.LongType(), True),
+    T.StructField("rating", T.DoubleType(), True),
 ])
-USER_SCHEMA = T.StructType([T.StructField("user", T.IntegerType(), True)])
+USER_SCHEMA = T.StructType([T.StructField("user", T.LongType(), True)])
 SEEN_SCHEMA = T.StructType([
-    T.StructField("user", T.IntegerType(), True),
-    T.StructField("item", T.IntegerType(), True),
+    T.StructField("user", T.LongType(), True),
+    T.StructField("item", T.LongType(), True),
 ])
 
 
@@ -61,8 +61,7 @@ def read_people(spark: SparkSession, path: str) -> DataFrame:
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """Rating triples ``user, item, rating`` -> matrix ``(i = user, j = item, value)``."""
     r = read_delimited(spark, path, RATING_SCHEMA)
-    return r.select(F.col("user").cast("bigint").alias("i"), F.col("item").cast("bigint").alias("j"),
-                    F.col("rating").cast("double").alias("value"))
+    return r.select(F.col("user").alias("i"), F.col("item").alias("j"), F.col("rating").alias("value"))
 
 
 def read_target_users(spark: SparkSession, path: str) -> DataFrame:
@@ -71,7 +70,7 @@ def read_target_users(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_seen_items(spark: SparkSession, path: str) -> DataFrame:
-    """Seen items per user ``(user, items array<int>)`` (sorted)."""
+    """Seen items per user ``(user, items array<bigint>)`` (sorted)."""
     seen = read_delimited(spark, path, SEEN_SCHEMA)
     return seen.groupBy("user").agg(F.sort_array(F.collect_list("item")).alias("items"))
 
