@@ -152,7 +152,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     own = [f"c{k}" for k in range(len(columns))]
     text = F.col(own[columns.index(text_col)])
     keyed = docs.toDF(*own).withColumn("dk", row_key(F.col(own[columns.index(id_col)]), text))
-    joined = keyed.join(gone, "dk", "left")
+    # a sort-merge join at every size: ``gone`` grows with the corpus, and a hot source is split
+    joined = keyed.join(gone.hint("merge"), "dk", "left")
     kept = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("gone"), i))
     blank = F.forall(kept, lambda x: x.rlike(r"^[\x20\x09-\x0D]*$"))
     new = (F.when(F.col("gone").isNull(), text).when(blank, F.lit(""))
