@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: What this Python worker remembers, of one operator at a time.
+_held: list = []
+
+
+def hold(cache) -> None:
+    """Keep ``cache`` (anything with ``clear``) and forget what other operators
+    left in this worker: Spark uses a worker again in later stages, and what
+    they remember would add up."""
+    if not (_held and _held[0] is cache):
+        for old in _held:
+            old.clear()
+        _held[:] = [cache]
+        pa.default_memory_pool().release_unused()
+
+
 def words_of(text: str | None) -> list[str]:
     return _WORDS.findall(text) if text else []
 

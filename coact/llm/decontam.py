@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import hold, words_of
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5              # of an item's own score
@@ -226,6 +226,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     out = None
     for shared in indexes(items, threshold, item_col):
         def searched(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            hold(_terms)
             index = shared.value
             for b in batches:
                 row, hits = [], []
@@ -257,6 +258,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRE
     out = docs.toDF(*own)
     for shared in indexes(items, threshold):
         def kept(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            hold(_terms)
             index = shared.value
             for b in batches:
                 clean = [not index.leaks(t) for t in b.column(at).to_pylist()]

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, staged, words_of
+from .common import hold, row_key, staged, words_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -162,6 +162,7 @@ def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = dict(docs.dtypes)[id_col]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(_cache)
         for b in batches:
             nodes, keys = [], []
             for t in b.column(2).to_pylist():
@@ -210,6 +211,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str)
     shared, bits = key_bitmap(nodes)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(_cache)
         bitmap = shared.value
         for b in batches:
             at = b.column(1).to_numpy()

@@ -15,6 +15,8 @@ import re
 
 import numpy as np
 
+from .common import hold
+
 CACHE_PIECES = 500_000      # that a worker remembers; more are encoded anew in each batch
 CHUNK_CHARS = 4_000_000     # characters of a batch that are encoded together
 JOINED = 20_000             # plain pieces in one call of the library
@@ -125,6 +127,10 @@ class PieceEncoder:
             out[k] = found
         return out
 
+    def clear(self) -> None:
+        self.by_piece.clear()
+        self.by_line.clear()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         chunk: list[str] = []
@@ -145,4 +151,5 @@ def encoder(path: str) -> PieceEncoder:
     """This worker's encoder for a file."""
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
+    hold(_encoders[path])
     return _encoders[path]
