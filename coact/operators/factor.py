@@ -211,6 +211,21 @@ def fold_in(a_cols: DataFrame, factor_rows: DataFrame) -> DataFrame:
                   .groupBy("row", "d").agg(F.sum(F.col("value") * F.col("u")).alias("value")))
 
 
+def fold_in_vectors(spark: SparkSession, a_cols: DataFrame, f: Factors, scale_power: float) -> DataFrame:
+    """:func:`fold_in` as ``(row, vector)``: the entries of a row meet the broadcast
+    factors in one Arrow task, so that no row per (entry, d) is made."""
+    bc = spark.sparkContext.broadcast((f.index, f.u * np.power(f.s, scale_power)[None, :]))
+
+    def run(batches):
+        index, mat = bc.value
+        for pdf in batches:
+            yield pd.DataFrame({"row": pdf["i"], "vector": [
+                (v @ mat[np.searchsorted(index, i)]).tolist() for i, v in zip(pdf["indices"], pdf["values"])]})
+
+    packed = mx.rows_packed(a_cols.select(F.col("row").alias("i"), F.col("i").alias("j"), "value"))
+    return packed.mapInPandas(run, f"row {dict(a_cols.dtypes)['row']}, vector array<double>")
+
+
 def vectors_from_long(long: DataFrame, key: str) -> DataFrame:
     """``(key, d, value)`` -> ``(key, vector)`` ordered by d (k entries per key)."""
     return long.groupBy(key).agg(

@@ -28,7 +28,8 @@ def weighted_matrix(model: ActivityModel) -> DataFrame:
 
 
 def factors(model: ActivityModel, rank: int | None = LSA_RANK) -> fc.Factors:
-    return fc.truncated_svd(weighted_matrix(model), rank, model.band.top_n)
+    a = weighted_matrix(model)
+    return fc.truncated_svd(a, rank, a.select("i").distinct().count())
 
 
 def related(spark: SparkSession, model: ActivityModel, f: fc.Factors, k: int = LSA_K) -> DataFrame:
