@@ -4,17 +4,20 @@ The base patterns (e-mail, IP, card, phone) mark spans leftmost and without
 overlap per kind. They also seed the bootstrap:
 
 1. One pass over the whole texts emits, per document, the base spans and every
-   *mention*: an identifier-like token with its lexical pattern, the two words
-   before it and the word after it, letter case and digits levelled. Tokens
-   inside base spans are mentions of that kind, all others are unlabelled.
+   *mention*: an identifier-like token with its lexical patterns, letter case and
+   digits levelled: the word before it, the two words before it, the word after
+   it, and the two before with the one after. Tokens inside base spans are
+   mentions of that kind, all others are unlabelled.
 2. Mentions form a graph of patterns and instances. In each of ``ROUNDS``
    rounds Spark scores a pattern by the share of its mentions whose instance is
    known to be of the kind, and an instance by the patterns it occurs in
    (1 less the product of their doubts). Patterns with enough support and
-   confidence admit new instances of the same token shape, and these teach
-   further patterns in the next round.
-3. Unlabelled mentions in an accepted pattern, of a shape that the kind's known
-   instances have, become spans of the kind ``method``.
+   confidence propose instances. The shapes of a kind are those that enough
+   different seeds and proposed instances have, so a form that no base pattern
+   knows comes in by its contexts; instances of these shapes teach further
+   patterns in the next round.
+3. Unlabelled mentions in an accepted pattern, of a shape of its kind, become
+   spans of the kind ``method``.
 
 The graph is aggregated by (pattern, instance, kind) before any join, so a
 phrase that occurs in a third of all documents is one edge. Joins are on the
@@ -22,8 +25,8 @@ pattern or the instance; nothing is broadcast by hand or collected.
 
 Defined results: a null text is an empty one and has no spans; offsets are code
 points, end exclusive; a repeated (doc_id, text) row keeps its own base spans
-and shares the added ones; ties do not arise, since scores are compared with
-thresholds only.
+and shares the added ones; a span that patterns of several kinds add stands for the
+kind of the most confident one, of equal ones the first kind.
 """
 
 from __future__ import annotations
@@ -114,7 +117,7 @@ def _shape(token: str) -> str:
 
 
 def mentions(text: str | None, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """(kind number or -1, start, end, instance, pattern, shape) of every base
+    """(kind number or -1, start, end, instance, patterns, shape) of every base
     span and of every other identifier-like token."""
     if not text:
         return []
@@ -143,12 +146,20 @@ def mentions(text: str | None, spans: list[tuple[int, int, int]]) -> list[tuple]
         before = text[max(0, a - 120):a].split()[-2:]
         after = text[b:b + 80].split()[:1]
         token = text[a:b]
-        pattern = " ".join(["^"] * (2 - len(before)) + [_level(w) for w in before]) + " _ " + \
-            (_level(after[0]) if after else "$")
-        out.append((kind, a, b, _level_instance(token), pattern, _shape(token)))
+        out.append((kind, a, b, _level_instance(token),
+                    _patterns([_level(w) for w in before], [_level(w) for w in after]), _shape(token)))
     return out
 
 
+def _patterns(before: list[str], after: list[str]) -> list[str]:
+    """Every pattern form of a mention; a form of one side needs its words."""
+    left = " ".join(["^"] * (2 - len(before)) + before)
+    out = [f"{left} _ {after[0] if after else '$'}"]
+    out += [f"{before[-1]} _"] if before else []
+    out += [f"{left} _"] if len(before) == 2 else []
+    return out + ([f"_ {after[0]}"] if after else [])
+
+
 def _level_instance(token: str) -> str:
     """A long instance is named by its digest, so that edges stay narrow."""
     return token.lower() if len(token) <= 64 else hashlib.sha256(token.lower().encode()).hexdigest()
@@ -157,20 +168,20 @@ def _level_instance(token: str) -> str:
 def scan_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One pass over the whole texts: key, id, base spans and mentions."""
     span = "struct<kind:int,start:long,end:long>"
-    mention = "struct<kind:int,start:long,end:long,instance:string,pattern:string,shape:string>"
+    mention = "struct<kind:int,start:long,end:long,instance:string,patterns:array<string>,shape:string>"
     kind = dict(df.dtypes)[id_col]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
         mention_type = pa.list_(pa.struct([
             ("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("instance", pa.string()),
-            ("pattern", pa.string()), ("shape", pa.string())]))
+            ("patterns", pa.list_(pa.string())), ("shape", pa.string())]))
         for b in batches:
             spans, seen = [], []
             for t in b.column(2).to_pylist():
                 own = base_spans(t)
                 spans.append([{"kind": k, "start": x, "end": y} for k, x, y in own])
-                seen.append([dict(zip(("kind", "start", "end", "instance", "pattern", "shape"), m))
+                seen.append([dict(zip(("kind", "start", "end", "instance", "patterns", "shape"), m))
                              for m in mentions(t, own)])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(spans, span_type), pa.array(seen, mention_type)],
@@ -182,13 +193,11 @@ def scan_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Accepted (kind, pattern, confidence) from edges (kind, instance, pattern,
-    shape, n); kind -1 is unlabelled."""
-    seeds = edges.where("kind >= 0")
-    shapes = staged(seeds.groupBy("kind", "shape").agg(F.countDistinct("instance").alias("m"))
-                    .where(F.col("m") >= MIN_SUPPORT).select("kind", "shape"), "shapes")
+    """Accepted (kind, pattern, shape, confidence) from edges (kind, instance,
+    pattern, shape, n); kind -1 is unlabelled."""
+    seeds = edges.where("kind >= 0").select("kind", "instance", "shape").distinct()
     known = seeds.select("kind", "instance").distinct()
-    accepted = None
+    accepted = shapes = None
     for _ in range(rounds):
         hits = edges.join(known.withColumnRenamed("kind", "as_kind"), "instance")
         per = (hits.groupBy("as_kind", "pattern")
@@ -201,11 +210,14 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .where(F.col("confidence") >= MIN_CONFIDENCE), "patterns")
         # an instance's score: one less the product of its patterns' doubts
         doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
-        fresh = (edges.where("kind < 0").drop("kind").join(accepted, "pattern")
-                 .join(shapes, ["kind", "shape"])
-                 .groupBy("kind", "instance").agg((1 - F.exp(doubt)).alias("score"))
-                 .where(F.col("score") >= MIN_SCORE).select("kind", "instance"))
-        known = staged(seeds.select("kind", "instance").unionByName(fresh).distinct(), "instances")
+        fresh = staged(edges.where("kind < 0").drop("kind").join(accepted, "pattern")
+                       .groupBy("kind", "instance", "shape").agg((1 - F.exp(doubt)).alias("score"))
+                       .where(F.col("score") >= MIN_SCORE).select("kind", "instance", "shape"), "fresh")
+        shapes = staged(seeds.unionByName(fresh).groupBy("kind", "shape")
+                        .agg(F.countDistinct("instance").alias("m"))
+                        .where(F.col("m") >= MIN_SUPPORT).select("kind", "shape"), "shapes")
+        known = staged(seeds.select("kind", "instance").unionByName(
+            fresh.join(shapes, ["kind", "shape"]).select("kind", "instance")).distinct(), "instances")
     return accepted.join(shapes, "kind").select("kind", "pattern", "shape", "confidence")
 
 
@@ -213,11 +225,13 @@ def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``doc_id``, ``spans`` (base, kind number) and ``added`` (start, end, kind
     number that the pattern stands for) for every row."""
     found = staged(scan_documents(df, id_col, text_col), "scan")
-    each = found.select("key", F.explode("mentions").alias("m")).select("key", "m.*")
+    each = (found.select("key", F.explode("mentions").alias("m")).select("key", "m.*")
+            .withColumn("pattern", F.explode("patterns")).drop("patterns"))
     edges = staged(each.groupBy("kind", "instance", "pattern", "shape").agg(F.count("*").alias("n")), "edges")
     accepted = bootstrap(edges)
     added = (each.where("kind < 0").drop("kind").join(accepted, ["pattern", "shape"])
-             .groupBy("key", "start", "end").agg(F.min("kind").alias("kind"))
+             .groupBy("key", "start", "end")
+             .agg((-F.max(F.struct("confidence", (-F.col("kind")).alias("k")))["k"]).alias("kind"))
              .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("added")))
     none = F.array().cast("array<struct<start:long,end:long,kind:int>>")
     return (found.drop("mentions").join(added, "key", "left")

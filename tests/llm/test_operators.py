@@ -398,6 +398,23 @@ def test_bootstrap_finds_unseen(spark):
     assert pii.find_personal_data(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_bootstrap_learns_new_forms_after_a_left_cue(spark):
+    rng = random.Random(13)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+
+    # another word on each side of the cue and the number: only "phone: _" repeats
+    rows = [(k, f"{word()} {word()} phone: +{rng.randint(10**10, 10**11 - 1)} {word()}", "en") for k in range(40)]
+    rows += [(40 + k, f"{word()} {word()} phone: 555-01-{k:02d} {word()}", "en") for k in range(6)]
+    rows += [(50, f"{word()} {word()} part 555-01-77 {word()}", "en")]
+    out = {r.doc_id: r for r in pii.find_personal_data(frame(spark, rows)).collect()}
+    for k in range(40, 46):
+        start = rows[k][1].index("555")
+        assert [(a.start, a.end, a.kind) for a in out[k].added] == [(start, start + 9, 3)] and out[k].spans == []
+    assert out[50].added == [] and all(out[k].added == [] and len(out[k].spans) == 1 for k in range(40))
+
+
 # --- queries and pipeline ------------------------------------------------
 
 def test_queries_and_pipeline(spark):
