@@ -11,7 +11,7 @@ Retrieval is block-max WAND over blocks of ``BLOCK_ITEMS`` items: the sum of the
 largest impacts of a passage's terms bounds every score, the sum of the largest
 impacts inside a block bounds the scores there, and only blocks whose bound
 reaches the threshold are scored in full. So all items above the threshold are
-retrieved. A hit is verified on the words themselves: the shares of the
+retrieved. Every hit is verified on the words themselves: the shares of the
 question's 5-grams and of the answer's 2-grams that the passage has. The answer
 is the last sentence of an item, at least its last ``ANSWER_WORDS`` words.
 
@@ -22,8 +22,8 @@ leave their partition: one pass, no shuffle of texts.
 
 Defined results: null or empty texts and items never match; an item of fewer
 than ``MIN_ITEM_WORDS`` words has too little to prove a leak and is not indexed;
-repeated items each match; repeated documents each match; equal scores keep the
-first passage.
+repeated items each match; repeated documents each match; of an item's verified
+passages the one with the highest score is reported, of equal ones the first.
 """
 
 from __future__ import annotations
@@ -160,35 +160,42 @@ class Index:
         for k in np.flatnonzero((value[at] * first).sum(axis=1) >= self.threshold - 1e-9):
             yield int(starts[k]), terms[at[k][first[k]]]
 
-    def leaks(self, text: str | None) -> list[tuple]:
-        """(item id, score, question share, answer share) of verified items."""
+    def verified(self, text: str | None) -> Iterator[tuple[int, float, float, float]]:
+        """(item, score, question share, answer share) of every passage that holds
+        an item, in the order of the passages."""
         raw = text.encode().split() if text and self.ids else []     # the same words as words_of
         if not raw:
-            return []
+            return
         if _terms.owner is not self:
             _terms.clear()
             _terms.owner = self
         terms = np.fromiter(map(_terms.__getitem__, raw), np.int64, len(raw))
-        found: dict[int, tuple[float, int]] = {}
         for start, own in self.promising(terms):
+            passage, having = None, {}
             for item, score in self.above(own, self.threshold):
-                if score > found.get(item, (0.0, 0))[0]:
-                    found[item] = score, start
-        if not found:
-            return []
-        words = [w.decode() for w in raw]
-        out = []
-        for item, (score, start) in sorted(found.items()):
-            passage = normal_words(" ".join(words[start:start + 2 * self.stride]))
-            question, answer = self.parts[item]
-            shares = []
-            for part, n in ((question, QUESTION_GRAM), (answer, ANSWER_GRAM)):
-                own = grams(part, n)
-                size = len(next(iter(own)))
-                shares.append(len(own & grams(passage, size)) / len(own))
-            if shares[0] >= QUESTION_SHARE and shares[1] >= ANSWER_SHARE:
-                out.append((self.ids[item], score, *shares))
-        return out
+                if passage is None:
+                    passage = normal_words(b" ".join(raw[start:start + 2 * self.stride]).decode())
+                shares = []
+                for part, n in zip(self.parts[item], (QUESTION_GRAM, ANSWER_GRAM)):
+                    wanted = grams(part, n)
+                    size = len(next(iter(wanted)))
+                    if size not in having:
+                        having[size] = grams(passage, size)
+                    shares.append(len(wanted & having[size]) / len(wanted))
+                if shares[0] >= QUESTION_SHARE and shares[1] >= ANSWER_SHARE:
+                    yield item, score, *shares
+
+    def leaks(self, text: str | None) -> list[tuple]:
+        """(item id, score, question share, answer share) of verified items."""
+        best: dict[int, tuple[float, float, float]] = {}
+        for item, *own in self.verified(text):
+            if item not in best or own[0] > best[item][0]:
+                best[item] = tuple(own)
+        return [(self.ids[item], *own) for item, own in sorted(best.items())]
+
+    def leaked(self, text: str | None) -> bool:
+        """Whether any item has a verified passage."""
+        return next(self.verified(text), None) is not None
 
 
 class _Terms(dict):
@@ -261,7 +268,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRE
             hold(_terms)
             index = shared.value
             for b in batches:
-                clean = [not index.leaks(t) for t in b.column(at).to_pylist()]
+                clean = [not index.leaked(t) for t in b.column(at).to_pylist()]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         out = out.mapInArrow(kept, out.schema)

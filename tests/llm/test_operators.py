@@ -335,6 +335,22 @@ def test_block_max_retrieval_is_complete():
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
 
+def test_every_passage_above_the_threshold_is_verified(spark):
+    rng = random.Random(14)
+    question = prose(rng, 30).split()
+    item = " ".join(question[:28]) + f" {question[28]} or {question[29]}. {question[29]} or {question[28]}"
+    fill = prose(rng, 900, "pha cho sku wre".split()).split()
+    ask = item.split(". ")[0].split()
+    # the question alone scores as high as the whole item, which stands far behind it
+    rows = [(0, " ".join(ask + fill[:400] + item.split() + fill[400:]), "en"),
+            (1, " ".join(ask + fill), "en")]
+    tests = spark.createDataFrame([(7, item)], "item_id long, text string")
+    df = frame(spark, rows)
+    found = decontam.find_leaks(df, tests).collect()
+    assert [(r.doc_id, r.item_id, r.question_share, r.answer_share) for r in found] == [(0, 7, 1.0, 1.0)]
+    assert [r.doc_id for r in decontam.drop_contaminated(df, tests).collect()] == [1]
+
+
 # --- URLs ----------------------------------------------------------------
 
 def test_urls(spark):
