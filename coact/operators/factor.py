@@ -4,16 +4,13 @@ Orientation: ``A`` is items x users.  ``A = U s V^T``; the item factors ``U``
 (items x k) and ``s`` are all the later steps need, ``V`` (users) is never
 formed.
 
-Two routes to ``U, s``:
-
-* items <= ``GRAM_ITEM_LIMIT``: the item Gram matrix ``A A^T`` is computed on
-  the executors (the same JVM-side self-join as the cosine similarity), its
-  upper triangle — bounded by the item count, not by the log — is collected
-  with Arrow and eigen-decomposed on the driver: ``s = sqrt(eigenvalue)``,
-  ``U`` = eigenvectors.
-* above the limit: mllib ``RowMatrix.computeSVD`` over the user rows (sparse
-  vectors of bounded length), which keeps the Lanczos iteration distributed and
-  returns ``V`` of the user-row matrix = our ``U``.
+One route to ``U, s`` for every size, a block Krylov iteration on ``A A^T``: a thin
+items x (k + p) block is broadcast, Arrow tasks sum ``x (x^T Q)`` over the packed
+user rows, and the driver orthonormalises the product against the basis of at
+most ``BASIS_BLOCKS`` blocks.  A full basis is restarted from its best Ritz
+vectors.  The iteration ends when the residuals of the first k are below
+``TOLERANCE`` of the largest eigenvalue, or when the basis spans everything; if
+neither comes it fails.  ``A A^T`` is never formed.
 
 Component signs are fixed (largest-magnitude entry positive) and order is
 descending.  The latent representation is ``L = U * s**power`` with the
@@ -24,6 +21,7 @@ it into an Arrow ``mapInPandas`` block product.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +34,11 @@ from coact.functions.scalar import safe_div
 from coact.operators import matrix as mx
 from coact.operators.similarity import SIM_DIGITS, gram
 
-GRAM_ITEM_LIMIT = 5000
+OVERSAMPLE = 10
+BASIS_BLOCKS = 4
+TOLERANCE = 1e-10
+MAX_PRODUCTS = 300
+PIECE_VALUES = 1 << 17      # values of one partial sum (1 MB)
 LATENT_POWER = 0.5
 
 
@@ -69,6 +71,7 @@ def _fix_signs(u: np.ndarray) -> np.ndarray:
 
 
 def _gram_route(a: DataFrame, k: int | None) -> Factors:
+    """Small matrices only: a cross-check in tests, used by no query."""
     g = gram(a).where(F.col("i") <= F.col("j"))
     pdf = g.toPandas()
     index = np.unique(np.concatenate([pdf["i"].to_numpy(), pdf["j"].to_numpy()]))
@@ -89,6 +92,7 @@ def _gram_route(a: DataFrame, k: int | None) -> Factors:
 
 
 def _rowmatrix_route(a: DataFrame, k: int) -> Factors:
+    """MLlib's SVD: a cross-check in tests, used by no query."""
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
     items = a.select("i").distinct().orderBy("i").toPandas()["i"].to_numpy()
@@ -102,13 +106,89 @@ def _rowmatrix_route(a: DataFrame, k: int) -> Factors:
     return Factors(index=items, u=_fix_signs(v), s=s)
 
 
-def truncated_svd(a: DataFrame, k: int | None, n_items_bound: int) -> Factors:
-    """``U, s`` of the items x users matrix ``a`` (route chosen by the item bound)."""
-    if n_items_bound <= GRAM_ITEM_LIMIT:
-        return _gram_route(a, k)
-    if k is None:
-        raise ValueError("a full-rank SVD needs the Gram route (items <= GRAM_ITEM_LIMIT)")
-    return _rowmatrix_route(a, k)
+def _gram_product(rows: DataFrame, index: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """``A A^T q`` from the packed user rows, summed by pieces of items."""
+    spark, (n, width) = rows.sparkSession, q.shape
+    step = max(1, PIECE_VALUES // width)
+    bc = spark.sparkContext.broadcast((index, q))
+
+    def partial(batches):
+        index_, q_ = bc.value
+        total = np.zeros_like(q_)
+        for pdf in batches:
+            for items, values in zip(pdf["indices"], pdf["values"]):
+                at = np.searchsorted(index_, items)
+                total[at] += np.outer(values, values @ q_[at])
+        for p0 in range(0, n, step):
+            part = total[p0:p0 + step]
+            if part.any():
+                yield pd.DataFrame({"p": [p0], "block": [part.tobytes()]})
+
+    def summed(pdf):
+        return pd.DataFrame({"p": pdf["p"][:1], "block": [
+            np.sum([np.frombuffer(x) for x in pdf["block"]], axis=0).tobytes()]})
+
+    out = np.zeros((n, width))
+    schema = "p long, block binary"
+    for r in rows.mapInPandas(partial, schema).groupBy("p").applyInPandas(summed, schema).collect():
+        out[r["p"]:r["p"] + step] = np.frombuffer(r["block"]).reshape(-1, width)
+    bc.destroy()
+    return out
+
+
+def _new_directions(block: np.ndarray, basis: np.ndarray, scale: float) -> np.ndarray:
+    """Orthonormal columns that ``block`` adds to ``basis``; at most items - basis."""
+    for _ in range(2):
+        block = block - basis @ (basis.T @ block)
+    u, s, _ = np.linalg.svd(block, full_matrices=False)
+    u = u[:, s > scale][:, :basis.shape[0] - basis.shape[1]]
+    for _ in range(2):
+        u = np.linalg.qr(u - basis @ (basis.T @ u))[0]
+    return u
+
+
+def truncated_svd(a: DataFrame, k: int | None, n_items_bound: int | None = None) -> Factors:
+    """``U, s`` of the items x users matrix ``a``, ``k=None``: of full rank.  Fewer
+    than ``k`` factors come back only if the rank of ``a`` is less, with a warning
+    (the route does not depend on ``n_items_bound``)."""
+    index = a.select("i").distinct().orderBy("i").toPandas()["i"].to_numpy()
+    n = len(index)
+    k = n if k is None else min(k, n)
+    if k == 0:
+        return Factors(index=index, u=np.zeros((n, 0)), s=np.zeros(0))
+    rows = mx.rows_packed(mx.transpose(a)).persist()       # user rows: bounded by the activity band
+    try:
+        width = min(n, k + OVERSAMPLE)
+        v = np.linalg.qr(np.random.default_rng(0).standard_normal((n, width)))[0]
+        w = _gram_product(rows, index, v)
+        for _ in range(MAX_PRODUCTS):
+            t = v.T @ w
+            lam, c = np.linalg.eigh((t + t.T) / 2)
+            lam, c = lam[::-1][:width], c[:, ::-1][:, :width]
+            y, gy = v @ c, w @ c
+            residual = gy - y * lam
+            scale = TOLERANCE * max(lam[0], 0.0)
+            if v.shape[1] == n or (np.linalg.norm(residual[:, :k], axis=0) <= scale).all():
+                break
+            if v.shape[1] + width > BASIS_BLOCKS * width:
+                v, w = y, gy
+            fresh = _new_directions(residual, v, scale * 1e-2)
+            if not fresh.shape[1]:
+                break
+            v, w = np.hstack([v, fresh]), np.hstack([w, _gram_product(rows, index, fresh)])
+        else:
+            raise RuntimeError(f"the SVD of rank {k} has not converged after {MAX_PRODUCTS} products")
+    finally:
+        rows.unpersist()
+    rank = int((lam[:k] > n * np.finfo(float).eps * max(lam[0], 0.0)).sum())
+    if rank < k:
+        warnings.warn(f"the matrix has rank {rank}: {rank} factors instead of {k}")
+    return Factors(index=index, u=_fix_signs(y[:, :rank]), s=np.sqrt(lam[:rank]))
+
+
+def energy(a: DataFrame) -> float:
+    """Sum of the squared singular values, summed over the entries of ``a``."""
+    return a.agg(F.sum(F.col("value") * F.col("value"))).first()[0] or 0.0
 
 
 def factors_frame(spark: SparkSession, f: Factors, power: float = LATENT_POWER) -> DataFrame:

@@ -767,8 +767,8 @@ def lsa_factors(spark, sf_dir, rank: int | None = lsa.LSA_RANK) -> fc.Factors:
 @query("svd_energy")
 def q_svd_energy(spark, sf_dir):
     """Sum of squared singular values at full rank (= squared Frobenius norm)."""
-    f = lsa.factors(model(spark, sf_dir, band=LSA_Q), None)
-    return spark.createDataFrame([(round(f.energy(), 4),)], "energy double")
+    total = fc.energy(lsa.weighted_matrix(model(spark, sf_dir, band=LSA_Q)))
+    return spark.createDataFrame([(round(total, 4),)], "energy double")
 
 
 @query("svd_factors")
@@ -783,10 +783,10 @@ def q_svd_factors(spark, sf_dir):
 @query("svd_rank_sweep")
 def q_svd_rank_sweep(spark, sf_dir):
     """Share of the energy kept by rank k, for the ranks tried by the reference that fit."""
-    full = lsa_factors(spark, sf_dir, None)
-    total = full.energy()
-    rows = [(k, float(np.sum(full.s[:k] ** 2)), float(np.sum(full.s[:k] ** 2) / total))
-            for k in (2, 3, 5, 10, 20, 50, 75, 100) if k <= full.k]
+    f = lsa_factors(spark, sf_dir)
+    total = fc.energy(lsa.weighted_matrix(lsa_model(spark, sf_dir)))
+    rows = [(k, float(np.sum(f.s[:k] ** 2)), float(np.sum(f.s[:k] ** 2) / total))
+            for k in (2, 3, 5, 10, 20, 50, 75, 100) if k <= f.k]
     return spark.createDataFrame(rows, "k long, energy double, fraction double")
 
 
