@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from coact.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["lineitem", "orders", "customer", "events", "embeddings"]
@@ -22,7 +23,8 @@ def test_entry_runs(spark):
 
 def test_every_oracle_key_is_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert not [k for k in E.queries() if k.startswith("op") or "pipeline" in k]
+    assert set(catalog.REGISTRY) <= set(E.queries())
+    assert set(oracle.SQL) <= set(catalog.REGISTRY)
 
 
 def _canon(rows, cols):
@@ -43,7 +45,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.SQL))
 def test_oracle_key(spark, duck, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -53,6 +55,6 @@ def test_oracle_key(spark, duck, key):
     assert _canon(rows, df.columns) == _canon(res.fetchall(), dcols)
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("key", sorted(set(catalog.REGISTRY) - set(oracle.SQL)))
 def test_rows_only_key_runs(spark, key):
     assert E.queries()[key](spark, SF).count() > 0
