@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from coact.session import scratch_dir
 
 from . import (
-    decontam, language_id, line_dedup, minhash, packing, pii, quality_knn, quality_rules, rans,
-    url_filter)
+    align, decontam, exact_dedup, hard_negatives, language_id, line_dedup, minhash, packing, pii,
+    quality_knn, quality_rules, rans, url_filter)
 from .common import held_out, prepare, table
 
 #: The rules of the URL query: action, host, path.
@@ -89,6 +89,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.concat(base, added), ",").alias("spans"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return align.align_corpus(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -100,6 +115,9 @@ REGISTRY = {
     "op8_url_filters": op8_url_filters,
     "op9_token_files": op9_token_files,
     "op10_pii": op10_pii,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 SQL = {
@@ -121,5 +139,35 @@ judged AS (
   GROUP BY host, path)
 SELECT s.page_id, s.host, s.path, j.rule, coalesce(j.verdict, 'allow') AS verdict
 FROM pages_split s LEFT JOIN judged j ON s.host = j.host AND s.path = j.path
+""",
+    "op11_exact_dedup": r"""
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+ranked AS (
+  SELECT doc_id, t, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS n,
+         count(*) OVER (PARTITION BY t) AS group_size
+  FROM texts WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, n = 1 AS kept, sha256(t) AS text_sha256 FROM ranked
+""",
+    "op12_hard_negatives": """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM good a JOIN good b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s
+  ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
 """,
 }
