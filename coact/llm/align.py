@@ -36,16 +36,19 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coact.session import scratch_dir
 
 from .common import hold, staged
-from .tokens import encoder
+from .tokens import CHUNK_CHARS, encoder, gather, simple
 
 SHARD = 1 << 15             # keys of one shard of the hash function, about
 SLICE = 1 << 22             # pairs that are broadcast at a time: 64 MB of keys and counts
@@ -53,6 +56,7 @@ PAGE = 1 << 15              # counts of one page
 FAN = 64                    # partial vectors that one task sums
 FLUSH = 1 << 20             # different pairs that a task holds before it hands them on
 _GAMMA = 1.5                # bits of a table for each key that is left
+_SPACE = "\u2581"          # that stands for a space in the pieces of B
 _U = np.uint64
 _M1, _M2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _STEP = 0x9E3779B97F4A7C15
@@ -75,44 +79,118 @@ def _byte_letters() -> dict[str, int]:
     return letters | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class Side:
+    """The bytes of every id of a tokenizer."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.tokens = tokens
+        self.lengths = np.array(list(map(len, tokens)), np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        return gather(self.flat, self.starts[ids], self.lengths[ids])
+
+
 class Pair:
-    """Both tokenizers, and the bytes of every id."""
+    """Both tokenizers."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
         self.a = encoder(path_a)
         letters, special = _byte_letters(), self.a.tokenizer.get_added_tokens_decoder()
-        self.bytes_a = {}
-        for token, i in self.a.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.bytes_a[i] = token.encode() if i in special else bytes(letters[c] for c in token)
+        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=True)
+        tokens = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            tokens[i] = token.encode() if i in special else bytes(letters[c] for c in token)
+        self.side_a = Side(tokens)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode()
-                        for k, p in enumerate(map(self.b.id_to_piece, range(self.b.vocab_size())))]
-        top = max(self.bytes_a) + 1
-        self.lengths_a = np.array([len(self.bytes_a.get(k, b"")) for k in range(top)], np.int64)
-        self.lengths_b = np.array(list(map(len, self.bytes_b)), np.int64)
-        self.names = [str(k) for k in range(max(top, len(self.bytes_b)))]
+        self.side_b = Side([bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(_SPACE, " ").encode()
+                            for k, p in enumerate(map(self.b.id_to_piece, range(self.b.vocab_size())))])
+        self.space_b = self.b.piece_to_id(_SPACE)
+        # the model's pieces have its space sign in front only, so words of a text stand alone
+        self.by_words = not any(_SPACE in p.lstrip(_SPACE) for p in map(self.b.id_to_piece, range(self.b.vocab_size())))
+        # ids with the mark in front of them: none, between ids, between the sides, between groups
+        self.size = max(len(tokens), self.b.vocab_size())
+        self.names = [mark + str(k) for mark in ("", ",", "|", ";") for k in range(self.size)]
+
+    def written(self, a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray, first: np.ndarray) -> list[str]:
+        """The strings of ``a1,a2|b1;a3|b2,b3`` by id: groups end at the positions
+        ``p`` of A and ``q`` of B; those numbered ``first`` open a text."""
+        n_a, n_b = np.diff(np.r_[-1, p]), np.diff(np.r_[-1, q])
+        mark_a, mark_b = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
+        mark_a[p + 1 - n_a] = 3
+        mark_a[(p + 1 - n_a)[first[first < len(p)]]] = 0
+        mark_b[q + 1 - n_b] = 2
+        # a group's ids of A, then those of B
+        before = np.cumsum(n_b) - n_b
+        out = np.empty(len(a) + len(b), np.int64)
+        out[np.arange(len(a)) + np.repeat(before, n_a)] = a + mark_a * self.size
+        out[np.arange(len(b)) + np.repeat(np.cumsum(n_a), n_b)] = b + mark_b * self.size
+        return list(map(self.names.__getitem__, out.tolist()))
 
     def clear(self) -> None:
         self.a.clear()
 
-    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides; empty arrays for texts without tokens."""
+    def whole(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides of texts that are not empty; empty arrays where a
+        side's bytes are not the text's."""
         none = np.zeros(0, np.int64)
-        out = [(none, none)] * len(texts)
-        at = [k for k, t in enumerate(texts) if t]
-        found_a = self.a.encode([" " + texts[k] for k in at])
-        found_b = self.b.encode([texts[k] for k in at], num_threads=1)
-        for k, x, y in zip(at, found_a, found_b):
-            a = np.frombuffer(x, "<u4").astype(np.int64)
-            want = (" " + texts[k]).encode()
-            if (b"".join(map(self.bytes_b.__getitem__, y)) == want
-                    and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == want):
-                out[k] = a, np.array(y, np.int64)
+        out = []
+        found_b = self.b.encode(texts, num_threads=1) if texts else []
+        for t, x, y in zip(texts, self.a.encode([" " + t for t in texts]), found_b):
+            a, b, want = np.frombuffer(x, "<u4").astype(np.int64), np.array(y, np.int64), (" " + t).encode()
+            good = self.side_a.bytes_of(a).tobytes() == want == self.side_b.bytes_of(b).tobytes()
+            out.append((a, b) if good else (none, none))
         return out
 
 
+class Words:
+    """Both sides' ids and the groups of different words, each after a space."""
+
+    def __init__(self, both: Pair, column: pa.Array):
+        names = column.to_numpy(zero_copy_only=False).tolist()
+        found_a, found_b = both.a.ids_of(column), both.b.encode(names, num_threads=1)
+        if "" in names:
+            found_b[names.index("")] = [both.space_b]
+        wide = pc.binary_length(column).to_numpy().astype(np.int64) + 1
+        want = np.frombuffer((" " + " ".join(names)).encode(), np.uint8)
+        self.good = np.ones(len(names), bool)
+        self._set(found_a, found_b)
+        len_a, len_b = both.side_a.lengths[self.a], both.side_b.lengths[self.b]
+        if not (len_a.all() and len_b.all() and np.array_equal(_sums(len_a, self.n_a), wide)
+                and np.array_equal(_sums(len_b, self.n_b), wide)
+                and np.array_equal(both.side_a.bytes_of(self.a), want)
+                and np.array_equal(both.side_b.bytes_of(self.b), want)):
+            # words that differ, or have a token without bytes, are left to the whole texts
+            for k, (n, x, y) in enumerate(zip(names, found_a, found_b)):
+                x, own = np.frombuffer(x, "<u4"), (" " + n).encode()
+                self.good[k] = (both.side_a.bytes_of(x).tobytes() == own == both.side_b.bytes_of(y).tobytes()
+                                and both.side_a.lengths[x].all() and both.side_b.lengths[y].all())
+                if not self.good[k]:
+                    found_a[k], found_b[k], wide[k] = b"", [], 0
+            self._set(found_a, found_b)
+            len_a, len_b = both.side_a.lengths[self.a], both.side_b.lengths[self.b]
+        cuts, p, q = align(np.cumsum(len_a), np.cumsum(len_b))
+        self.n_groups = np.diff(np.r_[0, np.searchsorted(cuts, np.cumsum(wide), "right")])
+        parts = both.written(self.a, self.b, p, q, np.cumsum(self.n_groups) - self.n_groups)
+        upto = np.cumsum(self.n_a + self.n_b).tolist()
+        self.text = ["".join(parts[m:n]) for m, n in zip([0, *upto[:-1]], upto)]
+
+    def _set(self, a: list[bytes], b: list[list[int]]) -> None:
+        self.n_a = np.fromiter(map(len, a), np.int64, len(a)) >> 2
+        self.n_b = np.fromiter(map(len, b), np.int64, len(b))
+        self.a = np.frombuffer(b"".join(a), "<u4").astype(np.int64)
+        self.b = np.fromiter(chain.from_iterable(b), np.int64, int(self.n_b.sum()))
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    total = np.concatenate(([0], np.cumsum(values)))
+    upto = np.cumsum(sizes)
+    return total[upto] - total[upto - sizes]
+
+
 _pairs: dict[tuple[str, str], Pair] = {}
 
 
@@ -128,29 +206,60 @@ def _both(paths: tuple[str, str]) -> Pair:
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Common ends, and the links (positions of A, positions of B): all pairs of
     tokens that end together. Tokens without bytes share an end with others."""
+    if not len(ends_a) or not len(ends_b):
+        return (np.zeros(0, np.int64),) * 3
+    if (np.diff(ends_a) > 0).all() and (np.diff(ends_b) > 0).all():
+        marks = np.zeros((2, max(ends_a[-1], ends_b[-1]) + 1), bool)
+        marks[0, ends_a] = marks[1, ends_b] = True
+        p, q = np.flatnonzero(marks[1, ends_a]), np.flatnonzero(marks[0, ends_b])
+        return ends_a[p], p, q
     cuts = np.intersect1d(ends_a, ends_b)
     lo_a, hi_a = np.searchsorted(ends_a, cuts), np.searchsorted(ends_a, cuts, "right")
     lo_b, hi_b = np.searchsorted(ends_b, cuts), np.searchsorted(ends_b, cuts, "right")
     n_a, n_b = hi_a - lo_a, hi_b - lo_b
-    if (n_a == 1).all() and (n_b == 1).all():
-        return cuts, lo_a, lo_b
     n = n_a * n_b
     k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     wide = np.repeat(n_b, n)
     return cuts, np.repeat(lo_a, n) + k // wide, np.repeat(lo_b, n) + k % wide
 
 
-def group_text(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, cuts: np.ndarray,
-               names: list[str]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-    x, y = [names[k] for k in a.tolist()], [names[k] for k in b.tolist()]
-    to_a = np.searchsorted(ends_a, cuts, "right").tolist()
-    to_b = np.searchsorted(ends_b, cuts, "right").tolist()
-    out, p, q = [], 0, 0
-    for m, n in zip(to_a, to_b):
-        out.append((x[p] if m == p + 1 else ",".join(x[p:m])) + "|" + (y[q] if n == q + 1 else ",".join(y[q:n])))
-        p, q = m, n
-    return ";".join(out)
+def _aligned(both: Pair, texts: list[str | None]) -> list[tuple]:
+    """(n_a, n_b, n_groups, n_links, digest, ids of A, ids of B) of each text.
+    Words of texts whose white space stands alone are aligned once for all."""
+    none = np.zeros(0, np.int64)
+    out = [(0, 0, 0, 0, "", _stored(none), _stored(none))] * len(texts)
+    at = [k for k, t in enumerate(texts) if t]
+    column = pa.array([texts[k] for k in at], pa.string())
+    alone = simple(pa.array([" " + texts[k] for k in at], pa.string())) & both.by_words
+    alone &= ~pc.match_substring(column, _SPACE).to_numpy(zero_copy_only=False).astype(bool)
+    places = np.flatnonzero(alone)
+    if len(places):
+        split = pc.split_pattern(column.take(pa.array(places)), " ")
+        coded = split.flatten().dictionary_encode()
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        words, n = Words(both, coded.dictionary), np.diff(split.offsets.to_numpy())
+        bad = _sums(~words.good[which], n) > 0
+        n_a, n_b, n_groups = (_sums(x[which], n).tolist() for x in (words.n_a, words.n_b, words.n_groups))
+        a, b = (gather(x, (np.cumsum(m) - m)[which], m[which])
+                for x, m in ((words.a, words.n_a), (words.b, words.n_b)))
+        order, p, q, w = which.tolist(), 0, 0, 0
+        for d, k in enumerate(places.tolist()):
+            if not bad[d]:
+                text = ";".join(map(words.text.__getitem__, order[w:w + n[d]]))
+                out[at[k]] = (n_a[d], n_b[d], n_groups[d], n_groups[d], hashlib.sha256(text.encode()).hexdigest(),
+                              _stored(a[p:p + n_a[d]]), _stored(b[q:q + n_b[d]]))
+            p, q, w = p + n_a[d], q + n_b[d], w + n[d]
+        alone[places[bad]] = False
+    rest = [at[k] for k in np.flatnonzero(~alone)]
+    for k, (x, y) in zip(rest, both.whole([texts[k] for k in rest])):
+        if len(x):
+            ends_x, ends_y = np.cumsum(both.side_a.lengths[x]), np.cumsum(both.side_b.lengths[y])
+            cuts, links, _ = align(ends_x, ends_y)
+            last = (np.searchsorted(e, cuts, "right") - 1 for e in (ends_x, ends_y))
+            text = "".join(both.written(x, y, *last, np.zeros(1, np.int64)))
+            out[k] = (len(x), len(y), len(cuts), len(links), hashlib.sha256(text.encode()).hexdigest(),
+                      _stored(x), _stored(y))
+    return out
 
 
 def _codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -163,7 +272,7 @@ def _stored(ids: np.ndarray) -> bytes:
 
 
 def _loaded(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u2" if data[:1] == b"2" else "<u4", offset=1).astype(np.int64)
+    return np.frombuffer(data, "<u2" if data[:1] == b"2" else "<u4", offset=1)
 
 
 _DOC = "doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a binary, b binary"
@@ -171,19 +280,21 @@ _DOC = "doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_s
 
 def align_documents(docs: DataFrame, path: str, paths: tuple[str, str], id_col: str, text_col: str) -> None:
     """Write ``documents``, a row for each."""
-    spark, kind = docs.sparkSession, dict(docs.dtypes)[id_col]
+    kind = dict(docs.dtypes)[id_col]
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = _both(paths)
         for b in batches:
-            cols: list[list] = [[] for _ in range(7)]
-            for x, y in both.encode(b.column(1).to_pylist()):
-                ends_x, ends_y = np.cumsum(both.lengths_a[x]), np.cumsum(both.lengths_b[y])
-                cuts, left, _ = align(ends_x, ends_y)
-                text = group_text(x, y, ends_x, ends_y, cuts, both.names)
-                digest = hashlib.sha256(text.encode()).hexdigest() if len(x) else ""
-                for c, v in zip(cols, (len(x), len(y), len(cuts), len(left), digest, _stored(x), _stored(y))):
-                    c.append(v)
+            rows: list[tuple] = []
+            chunk: list = []
+            size = 0
+            for t in b.column(1).to_pylist():
+                chunk.append(t)
+                size += len(t or "")
+                if size > CHUNK_CHARS:
+                    rows += _aligned(both, chunk)
+                    chunk, size = [], 0
+            cols = list(zip(*(rows + _aligned(both, chunk)))) or [()] * 7
             types = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *map(pa.array, cols, types)],
@@ -194,12 +305,20 @@ def align_documents(docs: DataFrame, path: str, paths: tuple[str, str], id_col:
      .write.option("compression", "zstd").parquet(f"{path}/documents"))
 
 
-def _links(a: pa.Array, b: pa.Array, lengths: tuple[np.ndarray, np.ndarray]) -> Iterator[np.ndarray]:
-    """The pair codes of each document's links, aligned anew from the ids."""
-    for x, y in zip(a.to_pylist(), b.to_pylist()):
-        x, y = _loaded(x), _loaded(y)
-        _, p, q = align(np.cumsum(lengths[0][x]), np.cumsum(lengths[1][y]))
-        yield _codes(x[p], y[q])
+def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    return np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64), sizes
+
+
+def _links(a: pa.Array, b: pa.Array, lengths: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The pair codes of the links of all documents in turn, aligned anew from the
+    ids, and the number of links of each document."""
+    (x, n), (y, m) = (_joined([_loaded(v) for v in c.to_pylist()]) for c in (a, b))
+    docs = np.arange(len(n))
+    # both sides of a document have the same bytes; one more parts it from the next
+    doc_x, doc_y = np.repeat(docs, n), np.repeat(docs, m)
+    _, p, q = align(np.cumsum(lengths[0][x]) + doc_x, np.cumsum(lengths[1][y]) + doc_y)
+    return _codes(x[p], y[q]), np.bincount(doc_x[p], minlength=len(n))
 
 
 # --- minimal perfect hashing ----------------------------------------------------------------
@@ -279,8 +398,7 @@ def write_hash(spark: SparkSession, path: str, lengths) -> int:
         held: list[np.ndarray] = []
         size = 0
         for b in batches:
-            own = list(_links(b.column(0), b.column(1), lengths.value))
-            held.append(np.unique(np.concatenate(own)) if own else np.zeros(0, np.int64))
+            held.append(pd.unique(_links(b.column(0), b.column(1), lengths.value)[0]))
             size += len(held[-1])
             if size > FLUSH:
                 held = [np.unique(np.concatenate(held))]
@@ -350,11 +468,9 @@ def count_links(docs: DataFrame, shared, lengths) -> DataFrame:
         own = shared.value
         sums = np.zeros(len(own.keys), np.int64)
         for b in batches:
-            links = list(_links(b.column(0), b.column(1), lengths.value))
-            if links:
-                codes, n = np.unique(np.concatenate(links), return_counts=True)
-                at = own.find(codes)
-                sums[at[at >= 0]] += n[at >= 0]
+            which, codes = pd.factorize(_links(b.column(0), b.column(1), lengths.value)[0])
+            at, n = own.find(codes), np.bincount(which, minlength=len(codes))
+            sums[at[at >= 0]] += n[at >= 0]
         node = TaskContext.get().partitionId()
         for page, p0 in enumerate(range(0, len(sums), PAGE)):
             part = sums[p0:p0 + PAGE]
@@ -393,18 +509,13 @@ def _look_up(docs: DataFrame, shared, lengths) -> DataFrame:
         own, counts, best = shared.value
         for b in batches:
             col = dict(zip(b.schema.names, b.columns))
-            links = list(_links(col["a"], col["b"], lengths.value))
-            size = [len(x) for x in links]
-            codes, back = np.unique(np.concatenate([*links, np.zeros(0, np.int64)]), return_inverse=True)
+            links, size = _links(col["a"], col["b"], lengths.value)
+            back, codes = pd.factorize(links)
             at = own.find(codes)
             n = np.where(at >= 0, counts[at], 0)
             top = (at >= 0) & (n == best[codes & 0xFFFFFFFF])
-            doc = np.repeat(np.arange(len(size)), size)
-            total = np.zeros(len(size), np.int64)
-            np.add.at(total, doc, n[back])
-            tops = np.bincount(doc, weights=top[back], minlength=len(size)).astype(np.int64)
-            new = {"n_best": pa.array(col["n_best"].to_numpy() + tops),
-                   "count_sum": pa.array(col["count_sum"].to_numpy() + total)}
+            new = {"n_best": pa.array(col["n_best"].to_numpy() + _sums(top[back], size)),
+                   "count_sum": pa.array(col["count_sum"].to_numpy() + _sums(n[back], size))}
             yield pa.RecordBatch.from_arrays([new.get(c, x) for c, x in col.items()], list(col))
 
     return docs.mapInArrow(looked, docs.schema)
@@ -420,10 +531,10 @@ def align_corpus(docs: DataFrame, paths: tuple[str, str] | None = None, id_col:
     align_documents(docs, path, paths, id_col, text_col)
     both = Pair(*paths)
     sc = spark.sparkContext
-    lengths = sc.broadcast((both.lengths_a, both.lengths_b))          # vocabulary sizes
+    lengths = sc.broadcast((both.side_a.lengths, both.side_b.lengths))          # vocabulary sizes
     shards = write_hash(spark, path, lengths)
     found = spark.read.parquet(f"{path}/documents")
-    best = np.zeros(len(both.lengths_b), np.int64)                    # of B's vocabulary
+    best = np.zeros(len(both.side_b.lengths), np.int64)                    # of B's vocabulary
     slices = read_slices(spark, path, shards, most)
     summed = []
     for part in slices:

@@ -2,7 +2,8 @@
 
 ``write_tokens`` encodes whole texts and writes a folder of three tables:
 
-- ``ids``        the ids by document, in ascending (doc_id, text hash) order
+- ``ids``        the ids, a row for each batch of documents, in ascending (doc_id,
+                 text hash) order, and a row with the counts of ids for each task
 - ``frequency``  the static frequency table that all blocks share (id, n, f):
                  counts over the whole corpus scaled to a sum of 2**SCALE_BITS
 - ``blocks``     the coded blocks in order, partitioned by ``part``, a range of
@@ -40,9 +41,9 @@ from .tokens import default_path, encoder
 
 END_ID = 2
 SCALE_BITS = 20
-LANES = 1024
+LANES = 4096
 BLOCK_TOKENS = 1 << 19
-CHECKPOINT = 128            # steps between saved states
+CHECKPOINT = 64             # steps between saved states
 LOW = np.uint64(1 << 31)    # states stay in [LOW, LOW << 32)
 
 BLOCK_SCHEMA = ("part int, first_pos long, start long, n_ids long, doc_ids array<{kind}>, "
@@ -150,11 +151,10 @@ def decode_block(coder: Coder, block: dict) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.uint32)
 
 
-def _packed(ids: bytes) -> bytes:
+def _packed(ids: np.ndarray) -> bytes:
     """Ids as zstd over 16-bit numbers, or 32-bit ones after a leading 4."""
-    a = np.frombuffer(ids, "<u4")
-    small = not len(a) or int(a.max()) < 1 << 16
-    raw = a.astype("<u2").tobytes() if small else ids
+    small = not len(ids) or int(ids.max()) < 1 << 16
+    raw = ids.astype("<u2" if small else "<u4").tobytes()
     return (b"2" if small else b"4") + len(raw).to_bytes(8, "little") + \
         pa.compress(raw, codec="zstd", asbytes=True)
 
@@ -169,23 +169,38 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str | None = None, end_id:
     """Encode every row of ``df`` into the folder ``path``."""
     spark, tokenizer = df.sparkSession, tokenizer or default_path()
     kind = dict(df.dtypes)[id_col]
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    arrow_kind = to_arrow_type(df.schema[id_col].dataType)
     end = np.array([end_id], "<u4").tobytes()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encode = encoder(tokenizer).encode
-        part, pos, before = TaskContext.get().partitionId(), 0, 0
+        part, pos, before, counts = TaskContext.get().partitionId(), 0, 0, np.zeros(0, np.int64)
+        fields = [pa.field(c, t) for c, t in (
+            ("part", pa.int32()), ("pos", pa.int64()), ("before", pa.int64()), ("total", pa.int64()))]
+
+        def row(total: int, doc_ids, n, ids, sums) -> pa.RecordBatch:
+            arrays = [pa.array([v], f.type) for v, f in zip((part, pos, before, total), fields)]
+            listed = pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids)
+            return pa.RecordBatch.from_arrays(
+                [*arrays, listed, pa.array([n], pa.list_(pa.int32())), pa.array([ids], pa.binary()),
+                 pa.array([sums], pa.binary())],
+                ["part", "pos", "before", "total", "doc_ids", "n", "ids", "counts"])
+
         for b in batches:
-            ids = [x + end for x in encode(b.column(1).to_pylist())]
-            n = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-            upto = np.cumsum(n) + before
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), part, np.int32)), pa.array(np.arange(pos, pos + len(n))),
-                 pa.array(upto - n), b.column(0), pa.array(n.astype(np.int32)),
-                 pa.array(map(_packed, ids), pa.binary())],
-                ["part", "pos", "before", "doc_id", "n", "ids"])
-            pos, before = pos + len(n), int(upto[-1]) if len(n) else before
+            found = [x + end for x in encode(b.column(1).to_pylist())]
+            n = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+            ids = np.frombuffer(b"".join(found), "<u4")
+            own = np.bincount(ids)
+            if len(own) > len(counts):
+                own, counts = counts, own.astype(np.int64)
+            counts[:len(own)] += own
+            yield row(len(ids), b.column(0), n, _packed(ids), None)
+            pos, before = pos + len(n), before + len(ids)
+        yield row(0, pa.array([], arrow_kind), np.zeros(0, np.int64), None, counts.astype("<i8").tobytes())
 
     text = F.col(text_col)
     rows = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
@@ -193,7 +208,8 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str | None = None, end_id:
     # the rows once more, and that must not encode them. Every later step reads the files.
     (rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
      .select("doc_id", "text")
-     .mapInArrow(encoded, f"part int, pos long, before long, doc_id {kind}, n int, ids binary")
+     .mapInArrow(encoded, f"part int, pos long, before long, total long, doc_ids array<{kind}>, n array<int>, "
+                          "ids binary, counts binary")
      .write.option("compression", "none").parquet(f"{path}/ids"))
     ids = spark.read.parquet(f"{path}/ids")
     _write_frequencies(ids, path)
@@ -205,15 +221,15 @@ def _write_frequencies(ids: DataFrame, path: str) -> None:
         sums = np.zeros(0, np.int64)
         for b in batches:
             for x in b.column(0).to_pylist():
-                own = np.bincount(_unpacked(x))
+                own = np.frombuffer(x, "<i8")
                 if len(own) > len(sums):
-                    own, sums = sums, own.astype(np.int64)
+                    own, sums = sums, own.copy()
                 sums[:len(own)] += own
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["id", "n"])
 
     # at most as many rows as the tokenizer has ids
-    rows = (ids.select("ids").mapInArrow(counted, "id long, n long")
+    rows = (ids.where("counts is not null").select("counts").mapInArrow(counted, "id long, n long")
             .groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect())
     freqs = scaled_frequencies(np.array([r["n"] for r in rows], np.int64))
     (ids.sparkSession.createDataFrame([(r["id"], r["n"], int(f)) for r, f in zip(rows, freqs)],
@@ -230,7 +246,7 @@ def _coder(spark: SparkSession, path: str):
 def _write_blocks(ids: DataFrame, kind: str, path: str) -> None:
     spark = ids.sparkSession
     # a row for each range: ids in it, summed up in order
-    sizes = {r["part"]: r["n"] for r in ids.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    sizes = {r["part"]: r["n"] for r in ids.groupBy("part").agg(F.sum("total").alias("n")).collect()}
     starts, total = {}, 0
     for part in sorted(sizes):
         starts[part] = total
@@ -245,17 +261,28 @@ def _write_blocks(ids: DataFrame, kind: str, path: str) -> None:
         def flushed() -> pa.RecordBatch:
             out = encode_block(coder, np.concatenate([h[5] for h in held]))
             row = {"part": held[0][0], "first_pos": held[0][1], "start": starts[held[0][0]] + held[0][2],
-                   "n_ids": size, "doc_ids": [h[3] for h in held], "n_tokens": [h[4] for h in held], **out}
+                   "n_ids": size, "doc_ids": [x for h in held for x in h[3]],
+                   "n_tokens": [x for h in held for x in h[4]], **out}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
+        def runs(b: pa.RecordBatch) -> Iterator[tuple]:
+            """(part, pos, before, doc_ids, n, ids): whole documents of a batch, about a block at most."""
+            for part, pos, before, doc_ids, n, data in zip(*(c.to_pylist() for c in b.columns)):
+                ids, ends = _unpacked(data), np.cumsum(n)
+                k = at = 0
+                while k < len(n):
+                    upto = max(k + 1, int(np.searchsorted(ends, at + BLOCK_TOKENS, "right")))
+                    yield part, pos + k, before + at, doc_ids[k:upto], n[k:upto], ids[at:ends[upto - 1]]
+                    k, at = upto, int(ends[upto - 1])
+
         for b in batches:
-            for r in zip(*(c.to_pylist() for c in b.columns)):
+            for r in runs(b):
                 # a block never spans ranges or a gap, as where a file was split
-                if held and (size >= BLOCK_TOKENS or r[0] != held[0][0] or r[1] != held[-1][1] + 1):
+                if held and (size >= BLOCK_TOKENS or r[0] != held[0][0] or r[1] != held[-1][1] + len(held[-1][3])):
                     yield flushed()
                     held, size = [], 0
-                held.append((*r[:5], _unpacked(r[5])))
-                size += r[4]
+                held.append(r)
+                size += len(r[5])
         if held:
             yield flushed()
 
@@ -263,13 +290,14 @@ def _write_blocks(ids: DataFrame, kind: str, path: str) -> None:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = to_arrow_schema(spark.createDataFrame([], declared).schema)
-    (ids.select("part", "pos", "before", "doc_id", "n", "ids").mapInArrow(blocks, declared)
+    (ids.where("ids is not null").select("part", "pos", "before", "doc_ids", "n", "ids").mapInArrow(blocks, declared)
      .write.partitionBy("part").option("compression", "none").parquet(f"{path}/blocks"))
 
 
-def read_tokens(spark: SparkSession, path: str, kind: str = "bigint", with_ids: bool = False) -> DataFrame:
+def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files;
-    ``with_ids`` adds the ids themselves."""
+    ``with_ids`` adds the ids themselves. The type of doc_id is that of ``ids``."""
+    kind = spark.read.parquet(f"{path}/ids").schema["doc_ids"].dataType.elementType.simpleString()
     declared = BLOCK_SCHEMA.format(kind=kind)
     blocks = spark.read.schema(declared).parquet(f"{path}/blocks")
     table = _coder(spark, path)

@@ -11,9 +11,10 @@ Strings of special tokens inside a text are ordinary text.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import hold
 
@@ -21,17 +22,27 @@ CACHE_PIECES = 500_000      # that a worker remembers; more are encoded anew in
 CHUNK_CHARS = 4_000_000     # characters of a batch that are encoded together
 JOINED = 20_000             # plain pieces in one call of the library
 
-#: White space other than the space and the line end.
-_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: White space other than the space and the line end, and spaces side by side.
+_NOT_SIMPLE = (r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+               r"|[ \n][ \n]")
 #: Letters of a fixed block; a mark after them is always a token of its own.
-_LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_MARKED = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+[,.;:!?]\z"
 _MARKS = ",.;:!?"
 
 
-def _simple(text: str) -> bool:
-    """Every white space is a space or line end that stands alone."""
-    return not ("  " in text or "\n " in text or " \n" in text or "\n\n" in text
-                or _OTHER_SPACE.search(text))
+def simple(texts: pa.Array) -> np.ndarray:
+    """Where every white space is a space or line end that stands alone."""
+    return ~pc.match_substring_regex(texts, _NOT_SIMPLE).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _where(mask: pa.Array) -> list[int]:
+    return np.flatnonzero(mask.to_numpy(zero_copy_only=False)).tolist()
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The concatenated runs ``flat[starts[k]:starts[k] + lengths[k]]``."""
+    before = np.cumsum(lengths) - lengths
+    return flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
 
 
 def default_path() -> str:
@@ -76,34 +87,39 @@ class PieceEncoder:
             out.append(raw[a:])
         return out
 
-    def _ids_of(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of ``pieces``, each after a space. A line end between other
+    def ids_of(self, column: pa.Array) -> list[bytes]:
+        """Ids of different pieces, each after a space. A line end between other
         characters and a mark after letters part a piece further."""
         known, starts = self.by_piece, self.by_line
-        out = {p: known[p] for p in pieces if p in known}
-        new = [p for p in pieces if p not in out]
-        plain, marked, lined = set(), [], []
-        for p in new:
-            if "\n" in p:
-                lined.append((p, p.split("\n")))
-            elif p[-1:] in self.mark and _LETTERS.fullmatch(p, 0, len(p) - 1):
-                marked.append(p)
-                plain.add(p[:-1])
-            else:
-                plain.add(p)
-        plain.update(v[0] for _, v in lined)
-        plain.discard("")
-        fresh = [p for p in plain if p not in known]
-        found = dict(zip(fresh, self._plain(fresh)))
-        for p in plain:
-            out[p] = found[p] if p in found else known[p]
-        for p in marked:
-            out[p] = found[p] = out[p[:-1]] + self.mark[p[-1]]
+        pieces = column.to_numpy(zero_copy_only=False).tolist()
+        out = list(map(known.get, pieces))
+        lined = [(k, pieces[k].split("\n")) for k in _where(pc.match_substring(column, "\n")) if out[k] is None]
+        marked = [k for k in _where(pc.match_substring_regex(column, _MARKED)) if out[k] is None]
+        for k in marked:
+            out[k] = b"."
+        for k, _ in lined:
+            out[k] = b"."
+        plain = [k for k, x in enumerate(out) if x is None]
+        # openings of parted pieces are pieces themselves
+        heads = {x for x in [*(pieces[k][:-1] for k in marked), *(v[0] for _, v in lined)] if x not in known}
+        fresh = [pieces[k] for k in plain]
+        heads.difference_update(fresh, [""])
+        found = dict(zip(fresh := fresh + list(heads), self._plain(fresh)))
         opened = [x for x in {y for _, v in lined for y in v[1:]} if x not in starts]
         more = dict(zip(opened, self._encode(opened)))
-        for p, v in lined:
-            out[p] = out[v[0]] + b"".join([self.line + (more[x] if x in more else starts[x]) for x in v[1:]])
-        if len(known) > CACHE_PIECES // 2 and 2 * len(new) > len(pieces):
+        for k in plain:
+            out[k] = found[pieces[k]]
+        for k in marked:
+            p = pieces[k]
+            out[k] = found[p] = (found.get(p[:-1]) or known[p[:-1]]) + self.mark[p[-1]]
+        for k, v in lined:
+            head = (found.get(v[0]) or known[v[0]]) if v[0] else b""
+            out[k] = head + b"".join([self.line + (more[x] if x in more else starts[x]) for x in v[1:]])
+        if "" in found:
+            out[pieces.index("")] = self.space      # a space at the end of a text
+            del found[""]
+        new = len(plain) + len(marked) + len(lined)
+        if len(known) > CACHE_PIECES // 2 and 2 * new > len(pieces):
             known.clear()        # the texts have changed: what is known no longer helps
             starts.clear()
         if len(known) + len(found) <= CACHE_PIECES:
@@ -113,16 +129,28 @@ class PieceEncoder:
         return out
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        cut = {k: t.split(" ") for k, t in enumerate(texts) if _simple(t)}
-        firsts = self._encode([c[0] for c in cut.values()])
-        for c in cut.values():
-            del c[0]
-        ids = self._ids_of(set().union(*cut.values()))
-        ids[""] = self.space      # a space at the end of a text
+        column = pa.array(texts, pa.string())
+        plain = simple(column)
+        at = np.flatnonzero(plain)
         out = [b""] * len(texts)
-        for first, (k, rest) in zip(firsts, cut.items()):
-            out[k] = first + b"".join(map(ids.__getitem__, rest))
-        others = [k for k in range(len(texts)) if k not in cut]
+        if len(at):
+            words = pc.split_pattern(column.filter(pa.array(plain)), " ")
+            first = words.offsets.to_numpy()[:-1] - words.offsets[0].as_py()
+            flat = words.flatten()
+            coded = flat.dictionary_encode()
+            openers = self._encode(flat.take(pa.array(first)).to_pylist())
+            ids = self.ids_of(coded.dictionary) + openers
+            which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            which[first] = len(coded.dictionary) + np.arange(len(first))
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+            wide = size[which]
+            raw = gather(np.frombuffer(b"".join(ids), "<u4"), (np.cumsum(size) - size)[which], wide).tobytes()
+            ends = 4 * np.cumsum(np.add.reduceat(wide, first))
+            a = 0
+            for k, b in zip(at.tolist(), ends.tolist()):
+                out[k] = raw[a:b]
+                a = b
+        others = np.flatnonzero(~plain).tolist()
         for k, found in zip(others, self._encode([texts[k] for k in others])):
             out[k] = found
         return out

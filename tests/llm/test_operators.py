@@ -247,6 +247,9 @@ def test_token_files(spark, corpus, tmp_path):
         assert (r.start, r.n_tokens, r.ids) == (at, len(ids), ids.tolist())
         assert r.ids_crc32 == zlib.crc32(ids.tobytes())
         at += len(ids)
+    named = frame(spark, corpus[:20]).withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    rans.write_tokens(named, path + "s")
+    assert sorted(r.doc_id for r in rans.read_tokens(spark, path + "s").collect()) == sorted(f"d{r[0]}" for r in corpus[:20])
     rans.write_tokens(frame(spark, corpus).limit(0), path + "0")
     assert rans.read_tokens(spark, path + "0").count() == 0
 
