@@ -4,13 +4,8 @@ Orientation: ``A`` is items x users.  ``A = U s V^T``; the item factors ``U``
 (items x k) and ``s`` are all the later steps need, ``V`` (users) is never
 formed.
 
-One route to ``U, s`` for every size, a block Krylov iteration on ``A A^T``: a thin
-items x (k + p) block is broadcast, Arrow tasks sum ``x (x^T Q)`` over the packed
-user rows, and the driver orthonormalises the product against the basis of at
-most ``BASIS_BLOCKS`` blocks.  A full basis is restarted from its best Ritz
-vectors.  The iteration ends when the residuals of the first k are below
-``TOLERANCE`` of the largest eigenvalue, or when the basis spans everything; if
-neither comes it fails.  ``A A^T`` is never formed.
+One route to ``U, s`` for every size, :mod:`coact.operators.svd`; ``A A^T`` is
+never formed.
 
 Component signs are fixed (largest-magnitude entry positive) and order is
 descending.  The latent representation is ``L = U * s**power`` with the
@@ -21,38 +16,42 @@ it into an Arrow ``mapInPandas`` block product.
 
 from __future__ import annotations
 
-import warnings
-from dataclasses import dataclass
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from coact.functions.scalar import safe_div
 from coact.operators import matrix as mx
-from coact.operators.similarity import SIM_DIGITS, gram
+from coact.operators.similarity import SIM_DIGITS
+from coact.operators.svd import PANEL_ROWS, block_svd
 
-OVERSAMPLE = 10
-BASIS_BLOCKS = 4
-TOLERANCE = 1e-10
-MAX_PRODUCTS = 300
-PIECE_VALUES = 1 << 17      # values of one partial sum (1 MB)
 LATENT_POWER = 0.5
 
 
-@dataclass
 class Factors:
-    """Item factors of a truncated SVD (driver-side, items x k)."""
-    index: np.ndarray      # item index i of every factor row
-    u: np.ndarray          # items x k, orthonormal columns
-    s: np.ndarray          # k singular values, descending
+    """Item factors of a truncated SVD: item index ``i`` of every factor row and
+    ``k`` singular values, descending. The orthonormal columns ``u`` (items x k)
+    are panels of rows ``(p, u)`` in files; they come to the driver only for an
+    operator that broadcasts them (the band bounds the items, the rank the columns)."""
+
+    def __init__(self, index: np.ndarray, u: np.ndarray | None, s: np.ndarray, panels: DataFrame | None = None):
+        self.index, self._u, self.s, self.panels = index, u, s, panels
 
     @property
     def k(self) -> int:
         return len(self.s)
 
+    @property
+    def u(self) -> np.ndarray:
+        if self._u is None:
+            self._u = np.zeros((len(self.index), self.k))
+            for r in self.panels.toLocalIterator() if self.panels is not None else ():
+                at = r["p"] * PANEL_ROWS
+                self._u[at:at + PANEL_ROWS] = np.frombuffer(r["u"]).reshape(-1, self.k)
+        return self._u
+
     def latent(self, power: float = LATENT_POWER) -> np.ndarray:
         """``L = U * s**power`` (items x k)."""
         return self.u * np.power(self.s, power)[None, :]
@@ -60,130 +59,32 @@ class Factors:
     def energy(self) -> float:
         return float(np.sum(self.s ** 2))
 
-
-def _fix_signs(u: np.ndarray) -> np.ndarray:
-    if u.size == 0:
-        return u
-    pick = np.argmax(np.abs(u), axis=0)
-    signs = np.sign(u[pick, np.arange(u.shape[1])])
-    signs[signs == 0] = 1.0
-    return u * signs[None, :]
-
-
-def _gram_route(a: DataFrame, k: int | None) -> Factors:
-    """Small matrices only: a cross-check in tests, used by no query."""
-    g = gram(a).where(F.col("i") <= F.col("j"))
-    pdf = g.toPandas()
-    index = np.unique(np.concatenate([pdf["i"].to_numpy(), pdf["j"].to_numpy()]))
-    n = len(index)
-    dense = np.zeros((n, n))
-    ii = np.searchsorted(index, pdf["i"].to_numpy())    # index is sorted and holds every key
-    jj = np.searchsorted(index, pdf["j"].to_numpy())
-    dense[ii, jj] = pdf["value"].to_numpy()
-    dense[jj, ii] = pdf["value"].to_numpy()
-    lam, vec = np.linalg.eigh(dense)
-    order = np.argsort(-lam, kind="stable")
-    lam, vec = lam[order], vec[:, order]
-    keep = lam > max(lam[0], 0.0) * 1e-12 if n else lam > 0
-    lam, vec = lam[keep], vec[:, keep]
-    if k is not None:
-        lam, vec = lam[:k], vec[:, :k]
-    return Factors(index=index, u=_fix_signs(vec), s=np.sqrt(lam))
-
-
-def _rowmatrix_route(a: DataFrame, k: int) -> Factors:
-    """MLlib's SVD: a cross-check in tests, used by no query."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    items = a.select("i").distinct().orderBy("i").toPandas()["i"].to_numpy()
-    pos = {v: n for n, v in enumerate(items)}
-    n = len(items)
-    rows = mx.rows_packed(mx.transpose(a))       # user rows: bounded by the activity band
-    rdd = rows.rdd.map(lambda r: Vectors.sparse(n, [pos[x] for x in r["indices"]], r["values"]))
-    svd = RowMatrix(rdd).computeSVD(k, computeU=False)
-    v = svd.V.toArray()
-    s = svd.s.toArray()
-    return Factors(index=items, u=_fix_signs(v), s=s)
-
-
-def _gram_product(rows: DataFrame, index: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """``A A^T q`` from the packed user rows, summed by pieces of items."""
-    spark, (n, width) = rows.sparkSession, q.shape
-    step = max(1, PIECE_VALUES // width)
-    bc = spark.sparkContext.broadcast((index, q))
-
-    def partial(batches):
-        index_, q_ = bc.value
-        total = np.zeros_like(q_)
-        for pdf in batches:
-            for items, values in zip(pdf["indices"], pdf["values"]):
-                at = np.searchsorted(index_, items)
-                total[at] += np.outer(values, values @ q_[at])
-        for p0 in range(0, n, step):
-            part = total[p0:p0 + step]
-            if part.any():
-                yield pd.DataFrame({"p": [p0], "block": [part.tobytes()]})
-
-    def summed(pdf):
-        return pd.DataFrame({"p": pdf["p"][:1], "block": [
-            np.sum([np.frombuffer(x) for x in pdf["block"]], axis=0).tobytes()]})
-
-    out = np.zeros((n, width))
-    schema = "p long, block binary"
-    for r in rows.mapInPandas(partial, schema).groupBy("p").applyInPandas(summed, schema).collect():
-        out[r["p"]:r["p"] + step] = np.frombuffer(r["block"]).reshape(-1, width)
-    bc.destroy()
-    return out
-
-
-def _new_directions(block: np.ndarray, basis: np.ndarray, scale: float) -> np.ndarray:
-    """Orthonormal columns that ``block`` adds to ``basis``; at most items - basis."""
-    for _ in range(2):
-        block = block - basis @ (basis.T @ block)
-    u, s, _ = np.linalg.svd(block, full_matrices=False)
-    u = u[:, s > scale][:, :basis.shape[0] - basis.shape[1]]
-    for _ in range(2):
-        u = np.linalg.qr(u - basis @ (basis.T @ u))[0]
-    return u
-
-
-def truncated_svd(a: DataFrame, k: int | None, n_items_bound: int | None = None) -> Factors:
-    """``U, s`` of the items x users matrix ``a``, ``k=None``: of full rank.  Fewer
-    than ``k`` factors come back only if the rank of ``a`` is less, with a warning
-    (the route does not depend on ``n_items_bound``)."""
-    index = a.select("i").distinct().orderBy("i").toPandas()["i"].to_numpy()
-    n = len(index)
-    k = n if k is None else min(k, n)
-    if k == 0:
-        return Factors(index=index, u=np.zeros((n, 0)), s=np.zeros(0))
-    rows = mx.rows_packed(mx.transpose(a)).persist()       # user rows: bounded by the activity band
-    try:
-        width = min(n, k + OVERSAMPLE)
-        v = np.linalg.qr(np.random.default_rng(0).standard_normal((n, width)))[0]
-        w = _gram_product(rows, index, v)
-        for _ in range(MAX_PRODUCTS):
-            t = v.T @ w
-            lam, c = np.linalg.eigh((t + t.T) / 2)
-            lam, c = lam[::-1][:width], c[:, ::-1][:, :width]
-            y, gy = v @ c, w @ c
-            residual = gy - y * lam
-            scale = TOLERANCE * max(lam[0], 0.0)
-            if v.shape[1] == n or (np.linalg.norm(residual[:, :k], axis=0) <= scale).all():
-                break
-            if v.shape[1] + width > BASIS_BLOCKS * width:
-                v, w = y, gy
-            fresh = _new_directions(residual, v, scale * 1e-2)
-            if not fresh.shape[1]:
-                break
-            v, w = np.hstack([v, fresh]), np.hstack([w, _gram_product(rows, index, fresh)])
+    def rows(self, spark: SparkSession, power: float) -> DataFrame:
+        """``(i, vector)`` with ``vector = U[i] * s**power``, made from the panels in tasks."""
+        k, scale = self.k, np.power(self.s, power)
+        index = spark.sparkContext.broadcast(self.index.astype("int64"))
+        if self.panels is None:
+            pdf = pd.DataFrame({"p": [0], "u": [np.ascontiguousarray(self.u).tobytes()]})
+            panels, rows = spark.createDataFrame(pdf, "p long, u binary"), len(self.index)
         else:
-            raise RuntimeError(f"the SVD of rank {k} has not converged after {MAX_PRODUCTS} products")
-    finally:
-        rows.unpersist()
-    rank = int((lam[:k] > n * np.finfo(float).eps * max(lam[0], 0.0)).sum())
-    if rank < k:
-        warnings.warn(f"the matrix has rank {rank}: {rank} factors instead of {k}")
-    return Factors(index=index, u=_fix_signs(y[:, :rank]), s=np.sqrt(lam[:rank]))
+            panels, rows = self.panels, PANEL_ROWS
+
+        def run(batches):
+            for b in batches:
+                for p, u in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    x = np.frombuffer(u).reshape(-1, k) * scale if k else np.zeros((0, 0))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(index.value[p * rows:p * rows + len(x)]),
+                         pa.array(list(x), pa.list_(pa.float64()))], ["i", "vector"])
+
+        return panels.select("p", "u").mapInArrow(run, "i long, vector array<double>")
+
+
+def truncated_svd(a: DataFrame, k: int | None) -> Factors:
+    """``U, s`` of the items x users matrix ``a``, ``k=None``: of full rank
+    (:mod:`coact.operators.svd`)."""
+    index, panels, s = block_svd(a, k)
+    return Factors(index, None, s, panels)
 
 
 def energy(a: DataFrame) -> float:
@@ -192,20 +93,14 @@ def energy(a: DataFrame) -> float:
 
 
 def factors_frame(spark: SparkSession, f: Factors, power: float = LATENT_POWER) -> DataFrame:
-    """``(i, vector array<double>)`` with ``vector = L[i]`` (items x k, bounded)."""
-    lat = f.latent(power)
-    pdf = pd.DataFrame({"i": f.index.astype("int64"), "vector": [row.tolist() for row in lat]})
-    schema = T.StructType([T.StructField("i", T.LongType()),
-                           T.StructField("vector", T.ArrayType(T.DoubleType()))])
-    return spark.createDataFrame(pdf, schema)
+    """``(i, vector array<double>)`` with ``vector = L[i]``."""
+    return f.rows(spark, power)
 
 
 def factors_long(spark: SparkSession, f: Factors, scale_power: float = 0.0) -> DataFrame:
     """``(i, d, u)`` with ``u = U[i, d] * s[d]**scale_power`` — the join form of the factors."""
-    scaled = f.u * np.power(f.s, scale_power)[None, :]
-    ii, dd = np.meshgrid(f.index.astype("int64"), np.arange(f.k, dtype="int64"), indexing="ij")
-    pdf = pd.DataFrame({"i": ii.ravel(), "d": dd.ravel(), "u": scaled.ravel()})
-    return spark.createDataFrame(pdf, "i long, d long, u double")
+    return f.rows(spark, scale_power).select("i", F.posexplode("vector").alias("d", "u")).select(
+        "i", F.col("d").cast("bigint").alias("d"), "u")
 
 
 def singular_values_frame(spark: SparkSession, f: Factors) -> DataFrame:

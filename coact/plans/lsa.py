@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from coact.operators import factor as fc
 from coact.operators.activity import ActivityModel, Band
-from coact.operators.serving import item_profile
 from coact.operators.weighting import log_entropy
 
 # The LSA batch configuration (top items, user band, SVD rank, related per item).
@@ -28,7 +27,7 @@ def weighted_matrix(model: ActivityModel) -> DataFrame:
 
 
 def factors(model: ActivityModel, rank: int | None = LSA_RANK) -> fc.Factors:
-    return fc.truncated_svd(weighted_matrix(model), rank, model.band.top_n)
+    return fc.truncated_svd(weighted_matrix(model), rank)
 
 
 def related(spark: SparkSession, model: ActivityModel, f: fc.Factors, k: int = LSA_K) -> DataFrame:
@@ -44,9 +43,3 @@ def vectors(spark: SparkSession, model: ActivityModel, f: fc.Factors) -> DataFra
     """``item, vector`` = the latent row ``L[i]`` of every item."""
     return fc.factors_frame(spark, f).join(F.broadcast(model.item_names), "i").select("item", "vector")
 
-
-def profile(spark: SparkSession, model: ActivityModel, rank: int | None = LSA_RANK,
-            k: int = LSA_K) -> DataFrame:
-    """Item profile: activity, k - 1 related names (self removed), latent vector."""
-    f = factors(model, rank)
-    return item_profile(related(spark, model, f, k - 1), model.top, vectors(spark, model, f))

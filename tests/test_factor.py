@@ -3,6 +3,7 @@
 import numpy as np
 
 from coact.operators import factor as fc
+from coact.operators import svd as sv
 from conftest import from_dense
 
 # The small matrix the reference inspects its SVD on.
@@ -18,7 +19,7 @@ def _random_sparse(seed, shape=(12, 30)):
 
 def test_gram_route_matches_numpy_svd(spark):
     x = _random_sparse(1)
-    f = fc.truncated_svd(from_dense(spark, x), 5, n_items_bound=12)
+    f = fc.truncated_svd(from_dense(spark, x), 5)
     u, s, _ = np.linalg.svd(x, full_matrices=False)
     assert np.allclose(f.s, s[:5])
     for d in range(5):
@@ -27,29 +28,50 @@ def test_gram_route_matches_numpy_svd(spark):
 
 
 def test_by_eye_matrix(spark):
-    f = fc.truncated_svd(from_dense(spark, BY_EYE), 2, n_items_bound=4)
+    f = fc.truncated_svd(from_dense(spark, BY_EYE), 2)
     assert np.allclose(f.s, np.linalg.svd(BY_EYE, compute_uv=False)[:2])
 
 
 def test_energy_is_frobenius(spark):
     x = _random_sparse(2)
-    f = fc.truncated_svd(from_dense(spark, x), None, n_items_bound=12)
+    f = fc.truncated_svd(from_dense(spark, x), None)
     assert np.isclose(f.energy(), np.sum(x ** 2))
 
 
-def test_rowmatrix_route_agrees(spark):
+def test_mllib_svd_agrees(spark):
+    from pyspark.mllib.linalg import Vectors
+    from pyspark.mllib.linalg.distributed import RowMatrix
     x = _random_sparse(3, (8, 40))
-    a = from_dense(spark, x)
-    g = fc._gram_route(a, 3)
-    r = fc._rowmatrix_route(a, 3)
-    assert np.allclose(g.s, r.s, rtol=1e-6)
-    for d in range(3):
-        assert np.isclose(abs(g.u[:, d] @ r.u[:, d]), 1.0, atol=1e-6)
+    f = fc.truncated_svd(from_dense(spark, x), 3)
+    m = RowMatrix(spark.sparkContext.parallelize([Vectors.dense(c) for c in x.T])).computeSVD(3)
+    assert np.allclose(f.s, m.s.toArray(), rtol=1e-6)
+    assert np.allclose(np.abs(np.diagonal(f.u.T @ m.V.toArray())), 1.0, atol=1e-6)
+
+
+def test_panels_restarts_and_locking(spark, monkeypatch):
+    """Several panels, a small basis that restarts often, and a flat spectrum."""
+    monkeypatch.setattr(sv, "PANEL_ROWS", 64)
+    monkeypatch.setattr(fc, "PANEL_ROWS", 64)
+    monkeypatch.setattr(sv, "MIN_WIDTH", 16)
+    monkeypatch.setattr(sv, "BASIS_COLUMNS", 100)
+    rng = np.random.default_rng(11)
+    n = 150
+    u, v = np.linalg.qr(rng.standard_normal((n, n)))[0], np.linalg.qr(rng.standard_normal((n, n)))[0]
+    s = np.linspace(1.0, 0.5, n)
+    f = fc.truncated_svd(from_dense(spark, (u * s) @ v.T), 6)
+    assert np.allclose(f.s, s[:6], rtol=1e-9)
+    assert np.allclose(f.u.T @ f.u, np.eye(6), atol=1e-9)
+    assert np.allclose(np.abs(np.diagonal(f.u.T @ u[:, :6])), 1.0, atol=1e-6)
+    long = fc.factors_long(spark, f, 0.5).collect()
+    got = np.zeros((n, 6))
+    for r in long:
+        got[r.i, r.d] = r.u
+    assert np.allclose(got, f.latent(0.5))
 
 
 def test_latent_similarity_topk_brute_force(spark):
     x = _random_sparse(4)
-    f = fc.truncated_svd(from_dense(spark, x), 4, n_items_bound=12)
+    f = fc.truncated_svd(from_dense(spark, x), 4)
     lat = f.latent()
     sim = lat @ lat.T
     n = np.sqrt(np.abs(np.diagonal(sim)))
@@ -65,7 +87,7 @@ def test_latent_similarity_topk_brute_force(spark):
 
 def test_fold_in_reproduces_training_rows(spark):
     x = _random_sparse(5)
-    f = fc.truncated_svd(from_dense(spark, x), None, n_items_bound=12)
+    f = fc.truncated_svd(from_dense(spark, x), None)
     entries = from_dense(spark, x).selectExpr("j as row", "i", "value")
     folded = fc.fold_in(entries, fc.factors_long(spark, f, scale_power=-1.0)).collect()
     v = np.zeros((x.shape[1], f.k))
