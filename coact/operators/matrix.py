@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coact.operators.skew import join_many
+
 MATRIX_SCHEMA = T.StructType([
     T.StructField("i", T.LongType(), False),
     T.StructField("j", T.LongType(), False),
@@ -210,19 +212,35 @@ def row_scale(m: DataFrame, vec: DataFrame) -> DataFrame:
     return m.join(v, "i").select("i", "j", (F.col("value") * F.col("w")).alias("value"))
 
 
-def multiply(left: DataFrame, right: DataFrame, zero_threshold: float = 0.0) -> DataFrame:
+def multiply(left: DataFrame, right: DataFrame, zero_threshold: float = 0.0, **skew) -> DataFrame:
     """Sparse product: join ``left.j = right.i``, multiply, sum per ``(left.i, right.j)``.
 
     Entries with ``|value| < zero_threshold`` are dropped (0 keeps all, zeros too).
-    The join key is the contraction index; HashAggregate combines map-side.
+    The join key is the contraction index; heavy ones are dealt in blocks
+    (:func:`coact.operators.skew.join_many`, which takes ``skew``), and HashAggregate
+    combines map-side.
     """
     l = left.select(F.col("i").alias("li"), F.col("j").alias("k"), F.col("value").alias("lv"))
     r = right.select(F.col("i").alias("k"), F.col("j").alias("rj"), F.col("value").alias("rv"))
-    prod = (l.join(r, "k").groupBy("li", "rj").agg(F.sum(F.col("lv") * F.col("rv")).alias("value"))
+    prod = (join_many(l, r, "k", **skew).groupBy("li", "rj").agg(F.sum(F.col("lv") * F.col("rv")).alias("value"))
               .select(F.col("li").alias("i"), F.col("rj").alias("j"), "value"))
     return prod.where(F.abs("value") >= F.lit(float(zero_threshold)))
 
 
+def multiply_at(left: DataFrame, right: DataFrame, cells: DataFrame, **skew) -> DataFrame:
+    """The sparse product only at the requested ``cells`` (i, j), each once; a cell
+    whose row and column share no index is left out (its value is 0).
+
+    A cell meets the entries of its column of ``right`` and then the one entry of
+    ``left`` that each needs: cells x column length rows, and no product beyond them.
+    """
+    c = cells.select("i", "j").distinct()
+    r = right.select(F.col("i").alias("k"), "j", F.col("value").alias("rv"))
+    l = left.select("i", F.col("j").alias("k"), F.col("value").alias("lv"))
+    return (join_many(c, r, "j", **skew).join(l, ["i", "k"])
+            .groupBy("i", "j").agg(F.sum(F.col("lv") * F.col("rv")).alias("value")))
+
+
 # --- reductions --------------------------------------------------------------
 
 def row_sum(m: DataFrame) -> DataFrame:

@@ -84,18 +84,45 @@ def _cells(rows: DataFrame, ncols: Column) -> DataFrame:
     return mx.expand_range(rows.select("i"), ncols, "j", keep=["i"])
 
 
-def _bias_rows(r: DataFrame, s: DataFrame) -> DataFrame:
-    nc = n_cols(r)
-    b = r.groupBy("i").agg((F.sum("value") / nc).alias("b"))
-    # A[u] = sum |S[u,v]| and (S b)[u] in one pass over S
+def _bias_terms(r: DataFrame, s: DataFrame) -> DataFrame:
+    """``(i, b, a, sb)``: mean, ``A[i] = sum |S[i, v]|`` and ``(S b)[i]`` of every row."""
+    b = r.groupBy("i").agg((F.sum("value") / n_cols(r)).alias("b"))
     ab = (s.join(b.select(F.col("i").alias("j"), F.col("b").alias("bv")), "j", "left")
            .groupBy("i").agg(F.sum(F.abs("value")).alias("a"),
                              F.sum(F.col("value") * F.coalesce("bv", F.lit(0.0))).alias("sb")))
+    return b.join(ab, "i")
+
+
+def _bias_value(sr: str) -> Column:
+    return F.col("b") + (F.coalesce(sr, F.lit(0.0)) - F.coalesce("sb", F.lit(0.0))) / F.col("a")
+
+
+def _bias_rows(r: DataFrame, s: DataFrame) -> DataFrame:
     sr = mx.multiply(s, r).withColumnRenamed("value", "sr")
-    cells = _cells(b.select("i"), nc)
-    return (cells.join(b, "i").join(ab, "i").join(sr, ["i", "j"], "left")
-                 .select("i", "j", (F.col("b") + (F.coalesce("sr", F.lit(0.0)) - F.coalesce("sb", F.lit(0.0)))
-                                    / F.col("a")).alias("value")))
+    terms = _bias_terms(r, s)
+    cells = _cells(terms.select("i"), n_cols(r))
+    return (cells.join(terms, "i").join(sr, ["i", "j"], "left")
+                 .select("i", "j", _bias_value("sr").alias("value")))
+
+
+def predict_at(r: DataFrame, s: DataFrame, cells: DataFrame, kind: str = "user") -> DataFrame:
+    """The bias-corrected prediction at the requested ``cells`` (i, j) of ``r`` only:
+    the values of :func:`predict_bias_corrected` there, without the dense cells.
+
+    The product is sampled where a cell meets the entries of one user: ratings
+    (at most the band's items) for the item kind, similarities for the user kind.
+    """
+    o, want = _oriented(r, kind), _oriented(cells.select("i", "j", F.lit(0.0).alias("value")), kind)
+    shape = o.agg((F.max("j") + 1).alias("n")).scalar()
+    want = want.select("i", "j").distinct().where(F.col("j") < shape)
+    if kind == "item":      # columns of R^T are users
+        sr = mx.multiply_at(s, o, want)
+    else:                   # (S R)[u, j] = (R^T S^T)[j, u]: the user is the column
+        sr = mx.transpose(mx.multiply_at(mx.transpose(o), mx.transpose(s), mx.transpose(
+            want.withColumn("value", F.lit(0.0)))))
+    out = (want.join(_bias_terms(o, s), "i").join(sr.withColumnRenamed("value", "sr"), ["i", "j"], "left")
+           .select("i", "j", _bias_value("sr").alias("value")))
+    return out if kind == "user" else mx.transpose(out)
 
 
 def _nearest(r: DataFrame, s: DataFrame, k: int) -> DataFrame:

@@ -30,3 +30,35 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
     light = groups.where(F.col(size) <= limit)
     rest = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
     return rows.join(heavy, on).unionByName(rest.join(light, on, how))
+
+
+def join_many(left: DataFrame, right: DataFrame, on: str, share: int = SHARE, floor: int = FLOOR) -> DataFrame:
+    """Inner equi-join on one column that both sides may repeat.
+
+    A frequency pass finds the keys that are heavy on either side. Their rows are
+    dealt into blocks of about ``limit`` rows; each block of one side is copied to
+    every block of the other, and the join runs on (key, block, block): every
+    pair of rows meets once, and no task sees more than a block of either side
+    for one key. Light keys are joined plainly, and the results are united.
+    """
+    l, r = ([c for c in d.columns if c != on] for d in (left, right))
+    count = left.groupBy(on).agg(F.count("*").alias("_nl")).join(
+        right.groupBy(on).agg(F.count("*").alias("_nr")), on)
+
+    def limit(df: DataFrame):
+        return F.greatest(F.lit(floor), F.ceil(df.agg(F.count("*")).scalar() / F.lit(share)))
+
+    sized = count.select(on, F.ceil(F.col("_nl") / limit(left)).cast("int").alias("_bl"),
+                         F.ceil(F.col("_nr") / limit(right)).cast("int").alias("_br"))
+    heavy = F.broadcast(sized.where((F.col("_bl") > 1) | (F.col("_br") > 1)))      # at most 2 x share keys
+    light = (left.join(heavy.select(on), on, "left_anti")
+             .join(right.join(heavy.select(on), on, "left_anti"), on))
+
+    def dealt(df: DataFrame, cols: list[str], own: str, other: str, own_key: str, other_key: str) -> DataFrame:
+        return (df.join(heavy, on).withColumn(own_key, F.pmod(F.xxhash64(*cols), F.col(own)).cast("int"))
+                .withColumn(other_key, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                .select(on, own_key, other_key, *cols))
+
+    hot = (dealt(left, l, "_bl", "_br", "_x", "_y").join(dealt(right, r, "_br", "_bl", "_y", "_x"), [on, "_x", "_y"])
+           .drop("_x", "_y"))
+    return light.unionByName(hot)

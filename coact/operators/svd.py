@@ -38,8 +38,8 @@ from coact.operators import matrix as mx
 from coact.session import scratch_dir
 
 OVERSAMPLE = 10
-MIN_WIDTH = 64              # columns of a block, at least (as far as there are items)
-BASIS_COLUMNS = 1024        # of a full basis, or four blocks if that is more
+MIN_WIDTH = 128             # columns of a block, at least (as far as there are items)
+BASIS_COLUMNS = 3072        # of a full basis, or four blocks if that is more
 TOLERANCE = 1e-10
 MAX_PRODUCTS = 500
 PANEL_ROWS = 2048

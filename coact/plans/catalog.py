@@ -29,11 +29,9 @@ from coact.session import scratch_dir
 from coact.sources import files as fs
 from coact.sources.log import load_log, log_from_events, read_table
 
-# Parameters of the registered queries.  The top-50 CF band, and the
-# top-100 band of svd_energy (LSA_Q), keep fewer items than the reference's 500 and
-# 50,000; their DuckDB SQL is built from the same values.  The other LSA keys use
-# the reference's LSA_BAND and LSA_RANK.
-CF_Q = Band(top_n=50, min_items=5, max_items=30)
+# The registered queries use the CF and LSA bands of the two batches;
+# their DuckDB SQL is built from the same values.
+CF_Q = CF_BAND
 CF_K = 10
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -467,7 +465,7 @@ def q_predict_topk_item(spark, sf_dir):
 def q_prediction_mse(spark, sf_dir):
     train, test = pr.train_test_split(ratings(spark, sf_dir))
     s = cosine_similarity(train, axis="cols", epsilon=EPS, include_diagonal=True, row_bound=CF_Q.top_n)
-    return r6(pr.mse(pr.predict_bias_corrected(train, s, "item"), test), "mse")
+    return r6(pr.mse(pr.predict_at(train, s, test, "item"), test), "mse")
 
 
 # --- serving tables and lookups -----------------------------------------------------------
@@ -747,7 +745,7 @@ def q_vector_neighbors(spark, sf_dir):
 # --- LSA: SVD, latent space -------------------------------------------------------------------------
 
 
-LSA_Q = Band(top_n=100, min_items=5, max_items=100)
+LSA_Q = lsa.LSA_BAND
 LSA_K_Q = lsa.LSA_K
 
 _FACTORS: dict[tuple, fc.Factors] = {}

@@ -6,12 +6,17 @@ salted user x user join must agree with the plain one for any block size."""
 import random
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import to_dense
+from coact.operators import matrix as mx
+from coact.operators import predict as pr
 from coact.operators.activity import ActivityModel, Band
 from coact.operators.similarity import cosine_similarity
+from coact.operators.skew import join_many
 from coact.plans import cf
 from coact.plans import oracle as o
 from coact.sources.log import LOG_SCHEMA
@@ -85,3 +90,56 @@ def test_skewed_user_cosine_any_block(spark, skew, block):
     want = _duck(con, BAND, "SELECT i, j, round(value, 9) AS value FROM c_sim",
                  "mt AS (SELECT j AS i, i AS j, value FROM m)", *o.cosine_ctes("mt", prefix="c_"))
     assert len(want) > 100_000 and len(got) == len(want) and _norm(got) == _norm(want)
+
+
+def _heavy_matrix(spark, seed: int = 3):
+    """200 x 40 entries; one column holds a third of them."""
+    rng = random.Random(seed)
+    cells = {(i, 0) for i in range(200)} | {(rng.randint(0, 199), rng.randint(1, 39)) for _ in range(430)}
+    return spark.createDataFrame([(i, j, float(rng.randint(-4, 5))) for i, j in sorted(cells)], mx.MATRIX_SCHEMA)
+
+
+def test_join_many_deals_heavy_keys(spark):
+    m = _heavy_matrix(spark)
+    l = m.select("i", F.col("j").alias("k"))
+    r = m.select(F.col("i").alias("x"), F.col("j").alias("k"), "value")
+    want = l.join(r, "k").select("k", "i", "x", "value")
+    got = join_many(l, r, "k", share=10, floor=7).select("k", "i", "x", "value")
+    assert want.count() == got.count() > 40_000 and want.exceptAll(got).count() == 0
+    none = join_many(l.where("k > 99"), r, "k")
+    assert none.count() == 0 and join_many(l, r.limit(0), "k").count() == 0
+
+
+def test_heavy_product_equals_brute(spark):
+    m = _heavy_matrix(spark)
+    dense = to_dense(m, (200, 40))
+    got = to_dense(mx.multiply(m, mx.transpose(m), share=10, floor=5), (200, 200))
+    assert np.array_equal(got, dense @ dense.T)
+
+
+def test_product_at_cells(spark):
+    m = _heavy_matrix(spark)
+    dense = to_dense(m, (200, 40))
+    full = dense.T @ dense
+    cells = [(0, 0), (0, 5), (3, 0), (39, 39), (7, 7), (0, 0), (99, 1)]
+    want = spark.createDataFrame(cells, "i long, j long")
+    got = {(r.i, r.j): r.value for r in mx.multiply_at(mx.transpose(m), m, want, share=10, floor=5).collect()}
+    assert got == {c: full[c] for c in cells if c != (99, 1) and (dense[:, c[0]] * dense[:, c[1]] != 0).any()} | {
+        c: 0.0 for c in got if full[c] == 0}
+
+
+@pytest.mark.parametrize("kind", ["user", "item"])
+def test_sampled_prediction_equals_the_dense_one(spark, skew, kind):
+    log, _ = skew
+    r = mx.transpose(ActivityModel(log, BAND).matrix).cache()
+    train, test = (x.cache() for x in pr.train_test_split(r))
+    s = pr.similarity_for(train, kind).cache()
+    dense = {(x.i, x.j): x.value for x in pr.predict_bias_corrected(train, s, kind).collect()}
+    got = pr.predict_at(train, s, test, kind).collect()
+    asked = {(x.i, x.j): x.value for x in test.collect()}
+    assert {(x.i, x.j) for x in got} == asked.keys() & dense.keys() and len(got) > 500
+    assert all(abs(x.value - dense[x.i, x.j]) <= 1e-9 * (1 + abs(x.value)) for x in got)
+    assert np.isclose(pr.mse(spark.createDataFrame(got), test).first().mse,
+                      np.mean([(dense[c] - v) ** 2 for c, v in asked.items() if c in dense]))
+    for x in (r, train, test, s):
+        x.unpersist()
