@@ -442,7 +442,7 @@ def test_queries_and_pipeline(spark):
     from coact.llm import queries
 
     names = entry.queries()
-    assert {f"op{k}" for k in range(1, 11)} == {n.split("_")[0] for n in queries.REGISTRY} and "pipeline" in names
+    assert {f"op{k}" for k in range(1, 14)} == {n.split("_")[0] for n in queries.REGISTRY} and "pipeline" in names
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     first = names["op10_pii"](spark, sf).where("n_email > 0").first()
