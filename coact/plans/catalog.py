@@ -22,6 +22,7 @@ from coact.operators import predict as pr
 from coact.operators import serving as sv
 from coact.operators import weighting as wt
 from coact.operators.activity import ActivityModel, Band, most_active_items
+from coact.operators.nearest import top_k_neighbours
 from coact.operators.similarity import cosine_similarity, top_k_per_row
 from coact.plans import cf, lsa
 from coact.plans.cf import CF_BAND
@@ -371,6 +372,11 @@ def q_cosine_similarity_users(spark, sf_dir):
     return r9(cosine_similarity(tf(spark, sf_dir), axis="cols", block=pr_block(), key_bound=CF_Q.top_n))
 
 
+@query("similar_users_topk")
+def q_similar_users_topk(spark, sf_dir):
+    return top_k_neighbours(tf(spark, sf_dir), CF_K, axis="cols")
+
+
 def pr_block() -> int:
     from coact.operators.predict import USER_PAIR_BLOCK
     return USER_PAIR_BLOCK

@@ -225,6 +225,11 @@ SQL["cosine_similarity_items"] = cf("SELECT i, j, round(value, 9) AS value FROM
 SQL["cosine_similarity_users"] = cf("SELECT i, j, round(value, 9) AS value FROM c_sim",
                                     "mt AS (SELECT j AS i, i AS j, value FROM m)",
                                     *cosine_ctes("mt", prefix="c_"))
+SQL["similar_users_topk"] = cf(f"""SELECT i, j, rk, sim FROM (
+  SELECT i, j, round(value, 9) AS sim,
+         row_number() OVER (PARTITION BY i ORDER BY round(value, 9) DESC, j) AS rk
+  FROM c_sim WHERE i <> j) WHERE rk <= {CF_K}""",
+                               "mt AS (SELECT j AS i, i AS j, value FROM m)", *cosine_ctes("mt", prefix="c_"))
 SQL["cosine_similarity_eps"] = cf("SELECT i, j, round(value, 9) AS value FROM c_sim",
                                   *cosine_ctes("m", eps=EPS_SQL, diagonal=True, prefix="c_"))
 SQL["std_normalized_matrix"] = cf(f"""SELECT m.j AS i, m.i AS j, round(m.value / ({EPS_SQL} + sd.sd), 9) AS value
