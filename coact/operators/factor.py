@@ -289,7 +289,8 @@ def leading_singular_value(a: DataFrame, epsilon: float = 1e-10, max_iter: int =
     matrix-vector joins whose result is cached while the same job computes
     ``|w|`` and ``w . v``.  Every ``checkpoint_every`` steps the vector is
     written with a reliable ``checkpoint()`` to cut the lineage.  Returns one
-    row ``iterations, sigma, converged``.
+    row ``iterations, sigma, converged`` (not converged: a zero matrix); reaching
+    ``max_iter`` is an error.
     """
     spark = a.sparkSession
     ncols = a.agg((F.max("j") + 1).alias("n")).first()["n"]
@@ -323,5 +324,7 @@ def leading_singular_value(a: DataFrame, epsilon: float = 1e-10, max_iter: int =
         if abs(dot) > 1 - epsilon:
             converged = True
             break
+    else:
+        raise RuntimeError(f"power iteration: not within {epsilon:g} after {max_iter} steps")
     v.unpersist()
     return spark.createDataFrame([(it, sigma, converged)], "iterations long, sigma double, converged boolean")

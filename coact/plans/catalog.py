@@ -22,6 +22,7 @@ from coact.operators import predict as pr
 from coact.operators import serving as sv
 from coact.operators import weighting as wt
 from coact.operators.activity import ActivityModel, Band, most_active_items
+from coact.operators.bidiagonal import leading_triple
 from coact.operators.nearest import top_k_neighbours
 from coact.operators.similarity import cosine_similarity, top_k_per_row
 from coact.plans import cf, lsa
@@ -858,6 +859,37 @@ def q_leading_singular_value(spark, sf_dir):
     return fc.leading_singular_value(lsa.weighted_matrix(lsa_model(spark, sf_dir)))
 
 
+@query("leading_singular_vectors")
+def q_leading_singular_vectors(spark, sf_dir):
+    """Both vectors and the value of the leading triple: ``side`` item (index i) or user (index j)."""
+    t = leading_triple(lsa.weighted_matrix(lsa_model(spark, sf_dir)))
+    sides = [d.select(F.lit(side).alias("side"), F.col(key).alias("id"), F.round("value", 6).alias("value"))
+             for d, key, side in ((t.u, "i", "item"), (t.v, "j", "user"))]
+    return sides[0].unionByName(sides[1]).withColumn("sigma", F.lit(round(t.sigma, 6)))
+
+
+@query("latent_similarity_plain")
+def q_latent_similarity_plain(spark, sf_dir):
+    """Top related by the plain product of the factors scaled by the singular values."""
+    f = lsa_factors(spark, sf_dir)
+    return fc.latent_similarity_topk(spark, f, LSA_K_Q, normalize=False, power=1.0).withColumn(
+        "sim", F.round("sim", 4))
+
+
+@query("latent_similarity_scaled")
+def q_latent_similarity_scaled(spark, sf_dir):
+    """Top related by cosine of the factors scaled by the singular values."""
+    f = lsa_factors(spark, sf_dir)
+    return fc.latent_similarity_topk(spark, f, LSA_K_Q, power=1.0).withColumn("sim", F.round("sim", 6))
+
+
+@query("vector_from_dense")
+def q_vector_from_dense(spark, sf_dir):
+    """The embedding with the smallest id as a sparse vector."""
+    e = read_table(spark, sf_dir, "embeddings").where("vec_id is not null and embedding is not null")
+    return r9(mx.vector_from_dense(e.orderBy("vec_id").limit(1), "embedding"))
+
+
 @query("lsa_batch")
 def q_lsa_batch(spark, sf_dir):
     """End-to-end LSA batch: log -> weighted matrix -> SVD -> profile (stored, read back)."""

@@ -384,7 +384,7 @@ SQL["parquet_roundtrip"] = SQL["pruned_activity"]
 # --- CF batch, model comparison, CF recommendations, vector neighbours, SVD energy --------------
 
 from coact.plans.cf import CF_BAND  # noqa: E402
-from coact.plans.catalog import LSA_Q  # noqa: E402
+from coact.plans.catalog import LSA_K_Q, LSA_Q  # noqa: E402
 
 CF_BATCH_BASE = with_ctes(LOG_ORDERS, PAIRS, band_ctes(CF_BAND.top_n, CF_BAND.min_items, CF_BAND.max_items))
 SQL["cf_batch"] = CF_BATCH_BASE + ", " + ",\n".join([COSINE, PROF]) + """
@@ -434,3 +434,42 @@ from coact.plans.catalog import EVENTS_Q  # noqa: E402
 SQL["top_k_related_events"] = (with_ctes(LOG_EVENTS, PAIRS, band_ctes(EVENTS_Q.top_n, EVENTS_Q.min_items,
                                                                       EVENTS_Q.max_items))
                                + ", " + COSINE + "\n" + top_k_sql(CF_K))
+
+# With a rank that is at least the number of items (100 at sf0.01, rank 300) the scaled
+# factors have the products and cosines of the weighted rows themselves.
+_GRAM = """g AS (SELECT x.i AS i, y.i AS j, sum(x.value * y.value) AS dot
+  FROM a x JOIN a y ON x.j = y.j GROUP BY x.i, y.i)"""
+_LATENT_TOP = """SELECT i, j, rk, round(sim, {digits}) AS sim FROM (
+  SELECT i, j, sim, row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) AS rk
+  FROM (SELECT g.i, g.j, round({sim}, 9) AS sim FROM g JOIN g p ON p.i = g.i AND p.j = g.i
+        JOIN g q ON q.i = g.j AND q.j = g.j WHERE g.i <> g.j AND p.dot > 0 AND q.dot > 0)) WHERE rk <= {k}"""
+# items that share no user have similarity 0 in the latent space and are ranked too
+_PAIRS0 = """ids AS (SELECT DISTINCT i FROM a),
+g AS (SELECT x.i AS i, y.i AS j, coalesce(h.dot, 0) AS dot FROM ids x CROSS JOIN ids y
+  LEFT JOIN g0 h ON h.i = x.i AND h.j = y.i)"""
+_G0 = _GRAM.replace("g AS", "g0 AS", 1)
+for _key, _sim, _digits in (("latent_similarity_plain", "g.dot", 4),
+                            ("latent_similarity_scaled", "g.dot / sqrt(p.dot) / sqrt(q.dot)", 6)):
+    SQL[_key] = (LSA_BASE + ", " + ",\n".join([*LOG_ENTROPY, _G0, _PAIRS0]) + "\n"
+                 + _LATENT_TOP.format(sim=_sim, digits=_digits, k=LSA_K_Q))
+
+# Power iteration on the Gram matrix of the items, 60 steps from a vector of ones.
+SQL["leading_singular_vectors"] = (LSA_BASE.replace("WITH ", "WITH RECURSIVE ", 1) + ", "
+                                   + ",\n".join([*LOG_ENTROPY, _GRAM]) + """,
+steps AS (
+  SELECT 0 AS t, i, CAST(1 AS DOUBLE) AS x FROM (SELECT DISTINCT i FROM g)
+  UNION ALL
+  SELECT t, i, y / sqrt(sum(y * y) OVER ()) AS x FROM (
+    SELECT s.t + 1 AS t, g.i, sum(g.dot * s.x) AS y FROM steps s JOIN g ON g.j = s.i
+    WHERE s.t < 60 GROUP BY s.t + 1, g.i)),
+u AS (SELECT i, x FROM steps WHERE t = 60),
+prod AS (SELECT a.j, sum(a.value * u.x) AS y FROM a JOIN u ON u.i = a.i GROUP BY a.j),
+sg AS (SELECT sqrt(sum(y * y)) AS sigma FROM prod)
+SELECT 'item' AS side, CAST(i AS BIGINT) AS id, round(x, 6) AS value, round(sigma, 6) AS sigma FROM u, sg
+UNION ALL
+SELECT 'user', CAST(j AS BIGINT), round(y / sigma, 6), round(sigma, 6) FROM prod, sg""")
+
+SQL["vector_from_dense"] = """SELECT CAST(pos - 1 AS BIGINT) AS i, round(CAST(v AS DOUBLE), 9) AS value
+FROM (SELECT unnest(embedding) AS v, unnest(generate_series(1, len(embedding))) AS pos
+      FROM (SELECT embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            ORDER BY vec_id LIMIT 1)) WHERE v <> 0"""
