@@ -144,14 +144,14 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """``docs`` with the later copies deleted from the text, and
-    ``n_lines_removed``."""
+                text_col: str = "text", count_col: str = "n_lines_removed") -> DataFrame:
+    """``docs`` with the later copies deleted from the text, and their number as
+    ``count_col`` (replacing a column of that name)."""
     gone = staged(later_copies(docs, min_words, id_col, text_col), "gone")
-    columns = docs.columns
+    columns = [c for c in docs.columns if c != count_col]
     own = [f"c{k}" for k in range(len(columns))]
     text = F.col(own[columns.index(text_col)])
-    keyed = docs.toDF(*own).withColumn("dk", row_key(F.col(own[columns.index(id_col)]), text))
+    keyed = docs.select(*columns).toDF(*own).withColumn("dk", row_key(F.col(own[columns.index(id_col)]), text))
     # a sort-merge join at every size: ``gone`` grows with the corpus, and a hot source is split
     joined = keyed.join(gone.hint("merge"), "dk", "left")
     kept = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("gone"), i))
@@ -160,5 +160,5 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
            .otherwise(F.array_join(kept, "\n")))
     return joined.select(
         *(new.alias(c) if c == own[columns.index(text_col)] else F.col(c) for c in own),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_lines_removed")
-    ).toDF(*columns, "n_lines_removed")
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("removed")
+    ).toDF(*columns, count_col)

@@ -7,7 +7,9 @@ overlap per kind. They also seed the bootstrap:
    *mention*: an identifier-like token with its lexical patterns, letter case and
    digits levelled: the word before it, the two words before it, the word after
    it, and the two before with the one after. Tokens inside base spans are
-   mentions of that kind, all others are unlabelled.
+   mentions of that kind. A token that by itself looks like a key or an access
+   token (32 characters or more: hexadecimal digits, or letters of both cases
+   with digits) is a seed of a fifth kind, *secret*; all others are unlabelled.
 2. Mentions form a graph of patterns and instances. In each of ``ROUNDS``
    rounds Spark scores a pattern by the share of its mentions whose instance is
    known to be of the kind, and an instance by the patterns it occurs in
@@ -16,8 +18,9 @@ overlap per kind. They also seed the bootstrap:
    different seeds and proposed instances have, so a form that no base pattern
    knows comes in by its contexts; instances of these shapes teach further
    patterns in the next round.
-3. Unlabelled mentions in an accepted pattern, of a shape of its kind, become
-   spans of the kind ``method``.
+3. Unlabelled and secret mentions in an accepted pattern, of a shape of its kind,
+   become spans of the kind ``method``. A secret counts by its context only: a
+   checksum among ordinary words is left alone.
 
 The graph is aggregated by (pattern, instance, kind) before any join, so a
 phrase that occurs in a third of all documents is one edge. Joins are on the
@@ -25,7 +28,8 @@ pattern or the instance; nothing is broadcast by hand or collected.
 
 Defined results: a null text is an empty one and has no spans; offsets are code
 points, end exclusive; a repeated (doc_id, text) row keeps its own base spans
-and shares the added ones; a span that patterns of several kinds add stands for the
+and shares the added ones; a word that does not lie whole within ``BEFORE`` characters
+before a mention or ``AFTER`` behind it is no context; a span that patterns of several kinds add stands for the
 kind of the most confident one, of equal ones the first kind.
 """
 
@@ -33,7 +37,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,6 +49,10 @@ from .common import row_key, staged
 
 KINDS = ("email", "ip", "card", "phone")
 METHOD = "method"
+SECRET = 4               # kind number of tokens that look like keys; no base kind
+
+BEFORE, AFTER = 400, 200
+LONG = 64                # longer words, shapes and instances are named by their digest
 
 ROUNDS = 3
 MIN_SUPPORT = 5          # distinct known instances that a pattern must have
@@ -107,13 +117,39 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return out
 
 
+_SECRET = re.compile(r"(?=.*[0-9])(?:(?=.*[A-Fa-f])[0-9A-Fa-f]{32,}|(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]{32,})")
+
+
+def is_secret(token: str) -> bool:
+    """Whether a token by itself looks like a key: long, of mixed characters."""
+    return len(token) >= 32 and _SECRET.fullmatch(token) is not None
+
+
+def _named(word: str) -> str:
+    """The word, or a long one's digest, so that edges stay narrow and differ."""
+    return word if len(word) <= LONG else hashlib.sha256(word.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def _level(word: str) -> str:
-    return re.sub(r"[0-9]+", "0", word.lower())[:40]
+    return _named(re.sub(r"[0-9]+", "0", word.lower()))
 
 
 def _shape(token: str) -> str:
-    """Character classes of a token, runs as one."""
-    return re.sub(r"0+", "0", re.sub(r"[A-Za-z]+", "a", re.sub(r"[0-9]", "0", token)))[:60]
+    """Character classes of a token, runs as one; of a secret, its length."""
+    if is_secret(token):
+        return f"secret {len(token)}"
+    return _named(re.sub(r"0+", "0", re.sub(r"[A-Za-z]+", "a", re.sub(r"[0-9]", "0", token))))
+
+
+def _context(text: str, a: int, b: int) -> tuple[list[str], list[str]]:
+    """The two words before ``a`` and the one from ``b`` on, whole words only."""
+    lo, hi = max(0, a - BEFORE), min(len(text), b + AFTER)
+    before, after = text[lo:a].split(), text[b:hi].split()
+    if lo and before and not text[lo - 1].isspace() and not text[lo].isspace():
+        before = before[1:]
+    if hi < len(text) and after and not text[hi - 1].isspace() and not text[hi].isspace():
+        after = after[:-1]
+    return before[-2:], after[:1]
 
 
 def mentions(text: str | None, spans: list[tuple[int, int, int]]) -> list[tuple]:
@@ -123,8 +159,10 @@ def mentions(text: str | None, spans: list[tuple[int, int, int]]) -> list[tuple]
         return []
     taken = sorted((a, b, k) for k, a, b in spans)
     found = [(k, a, b) for a, b, k in taken]
+    starts = [a for a, _, _ in taken]
+    reach = list(accumulate((b for _, b, _ in taken), max))      # of the spans up to each
     # words with a digit or @ are rare: walk from mark to mark, not over every word
-    at, end_of_last, k = _HAS_MARK.search(text), 0, 0
+    at, end_of_last = _HAS_MARK.search(text), 0
     while at:
         a, b = at.start(), at.end()
         while a > end_of_last and text[a - 1] not in " \t\n\x0b\x0c\r":
@@ -136,15 +174,13 @@ def mentions(text: str | None, spans: list[tuple[int, int, int]]) -> list[tuple]
             a += 1
         while b > a and text[b - 1] in _TRIM:
             b -= 1
-        while k < len(taken) and taken[k][1] <= a:
-            k += 1
-        if b - a >= 5 and not any(x < b and a < y for x, y, _ in taken[max(0, k - 4):k + 4]):
-            found.append((-1, a, b))
+        k = bisect_left(starts, b)
+        if b - a >= 5 and not (k and reach[k - 1] > a):
+            found.append((SECRET if is_secret(text[a:b]) else -1, a, b))
         at = _HAS_MARK.search(text, end_of_last)
     out = []
     for kind, a, b in found:
-        before = text[max(0, a - 120):a].split()[-2:]
-        after = text[b:b + 80].split()[:1]
+        before, after = _context(text, a, b)
         token = text[a:b]
         out.append((kind, a, b, _level_instance(token),
                     _patterns([_level(w) for w in before], [_level(w) for w in after]), _shape(token)))
@@ -161,8 +197,7 @@ def _patterns(before: list[str], after: list[str]) -> list[str]:
 
 
 def _level_instance(token: str) -> str:
-    """A long instance is named by its digest, so that edges stay narrow."""
-    return token.lower() if len(token) <= 64 else hashlib.sha256(token.lower().encode()).hexdigest()
+    return _named(token.lower())
 
 
 def scan_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,13 +258,13 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``spans`` (base, kind number) and ``added`` (start, end, kind
-    number that the pattern stands for) for every row."""
+    number that the pattern stands for, ``SECRET`` one of them) for every row."""
     found = staged(scan_documents(df, id_col, text_col), "scan")
     each = (found.select("key", F.explode("mentions").alias("m")).select("key", "m.*")
             .withColumn("pattern", F.explode("patterns")).drop("patterns"))
     edges = staged(each.groupBy("kind", "instance", "pattern", "shape").agg(F.count("*").alias("n")), "edges")
     accepted = bootstrap(edges)
-    added = (each.where("kind < 0").drop("kind").join(accepted, ["pattern", "shape"])
+    added = (each.where((F.col("kind") < 0) | (F.col("kind") == SECRET)).drop("kind").join(accepted, ["pattern", "shape"])
              .groupBy("key", "start", "end")
              .agg((-F.max(F.struct("confidence", (-F.col("kind")).alias("k")))["k"]).alias("kind"))
              .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("added")))

@@ -153,6 +153,18 @@ def learn(df: DataFrame, labels: DataFrame, text: Column, key: Column,
     return {"weight": weight, "basis": basis, "z": z, "y": np.array([y[i] for i in ids.tolist()], np.float32)}
 
 
+def nearest(near: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the ``k`` largest values of each row; of values equal to the
+    k-th, those at the smallest positions (labelled rows are in doc_id order)."""
+    top = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(near, top, 1).min(axis=1)
+    # argpartition takes any of the tied ones: rows with more of them than places are picked anew
+    for r in np.nonzero((near >= least[:, None]).sum(axis=1) > k)[0]:
+        above = np.nonzero(near[r] > least[r])[0]
+        top[r] = np.concatenate([above, np.nonzero(near[r] == least[r])[0][:k - len(above)]])
+    return top
+
+
 def score(df: DataFrame, text: Column, keep: list[str], model: dict | None) -> DataFrame:
     """Columns ``keep`` with ``score`` for every row."""
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -166,9 +178,7 @@ def score(df: DataFrame, text: Column, keep: list[str], model: dict | None) -> D
         z = (np.sqrt(x) * m["weight"]) @ m["basis"]
         z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
         near = z @ m["z"].T
-        k = min(NEIGHBOURS, near.shape[1])
-        # the k-th largest cosine splits ties by position, that is by doc_id
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
+        top = nearest(near, min(NEIGHBOURS, near.shape[1]))
         w = np.maximum(np.take_along_axis(near, top, 1), 0.0).astype(np.float64) ** 4
         sums = w.sum(axis=1)
         out = np.where(sums > 0, (w * m["y"][top]).sum(axis=1) / np.maximum(sums, 1e-300), m["y"].mean())

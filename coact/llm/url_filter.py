@@ -66,7 +66,11 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url",
     labels = [r[0] for r in shapes.select("labels").distinct().collect()]
     chars = [r[0] for r in shapes.select("chars").distinct().collect()]
     keep = [c for c in df.columns if c not in ("host", "path", "rule", "verdict")]
-    pages = df.select(*keep, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
+    own = [f"c{k}" for k in range(len(keep))]           # no name of the input meets one used here
+    numbered = df.toDF(*(f"in{k}" for k in range(len(df.columns))))
+    at = {c: F.col(f"in{k}") for k, c in enumerate(df.columns)}
+    pages = numbered.select(*(at[c].alias(o) for c, o in zip(keep, own)),
+                            url_host(at[url]).alias("host"), url_path(at[url]).alias("path"))
 
     parts = F.split("host", r"\.", -1)
     ints = "array<int>"
@@ -92,5 +96,6 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url",
                     F.when(F.col("best.r_block"), F.lit("block"))
                     .otherwise(F.col("best.r_action")).alias("verdict")))
     return (pages.join(hits, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left")
-            .select(*keep, "host", "path", "rule",
-                    F.coalesce("verdict", F.lit(default)).alias("verdict")))
+            .select(*own, "host", "path", "rule",
+                    F.coalesce("verdict", F.lit(default)).alias("verdict"))
+            .toDF(*keep, "host", "path", "rule", "verdict"))
