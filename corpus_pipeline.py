@@ -24,9 +24,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of line runs; documents that lose every line
     go, and ``n_chars`` follows the text."""
     prepare(spark)
-    out = line_dedup.dedup_lines(docs)
-    emptied = (F.col("n_lines_removed") > 0) & (F.col("text") == "")
-    changed = F.when(F.col("n_lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    count = "n_lines_removed"
+    while count in docs.columns:
+        count += "_"
+    out = line_dedup.dedup_lines(docs, count_col=count)
+    emptied = (F.col(count) > 0) & (F.col("text") == "")
+    changed = F.when(F.col(count) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.where(~emptied).withColumn("n_chars", changed).select(*docs.columns)
 
 
