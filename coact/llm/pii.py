@@ -69,7 +69,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Tokens that may be identifiers: with a digit or @, at least five characters.
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _HAS_MARK = re.compile(r"[0-9@]")
-_TRIM = ".,;:!?()[]{}<>\"'"
+_TRIM = ".,;:!?()[]{}<>\"'#*$%&|"
 
 
 def _luhn(digits: str) -> bool:

@@ -93,6 +93,7 @@ def test_secrets_are_found_in_a_context_and_left_alone_without(spark):
 
     keys = [hexa(rng) for _ in range(30)]
     rows = [(k, f'{word()} {word()} token = "{x}" {word()}', "en") for k, x in enumerate(keys)]
+    rows[3] = (3, rows[3][1].replace('" ', '"### '), "en")       # marks may touch the closing quote
     rows += [(100 + k, f"{word()} {hexa(rng)} {word()}", "en") for k in range(30)]         # no context repeats
     out = {r.doc_id: r for r in pii.find_personal_data(frame(spark, rows)).collect()}
     for k, x in enumerate(keys):
