@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from coact.operators import matrix as mx
 from coact.operators.activity import bounded_broadcast
+from coact.operators.skew import join_many
 
 SIM_DIGITS = 9  # similarities are compared and ranked after rounding to 9 places
 
@@ -102,6 +103,29 @@ def cosine_similarity(m: DataFrame, axis: str = "rows", epsilon: float = 0.0,
                 .select("i", "j", ((F.col("dot") + eps) / F.col("ni") / F.col("nj")).alias("value")))
 
 
+def cosine_rows(m: DataFrame, requests: DataFrame, n: int, epsilon: float = 0.0) -> DataFrame:
+    """``(dot + epsilon) / |a| / |b|`` of the requested rows with every row, as the dense formula has it.
+
+    Rows without a common column have ``epsilon`` over the norms and are listed too: ``n`` cells
+    (rows ``0 .. n - 1``) for each requested ``i``, laid out from the row range, not by a cross join.
+    Only entries of requested rows meet others.  Rows without any entry have no norm and are left out,
+    requested or not; a row is not paired with itself.
+    """
+    asked = requests.select("i").distinct()
+    eps = F.lit(float(epsilon))
+    mine = m.join(asked, "i", "left_semi")
+    dots = join_many(mine.select("i", F.col("j").alias("k"), F.col("value").alias("va")),
+                     m.select(F.col("i").alias("j"), F.col("j").alias("k"), F.col("value").alias("vb")), "k")
+    dots = dots.groupBy("i", "j").agg(F.sum(F.col("va") * F.col("vb")).alias("dot"))
+    norms = m.groupBy("i").agg(F.sqrt(F.sum(F.col("value") * F.col("value")) + eps).alias("ni"))
+    norms = norms.where(F.col("ni") > 0)
+    cells = asked.join(norms, "i").select("i", "ni", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("j"))
+    other = norms.select(F.col("i").alias("j"), F.col("ni").alias("nj"))
+    return (cells.where(F.col("i") != F.col("j")).join(other, "j").join(dots, ["i", "j"], "left")
+                 .select("i", "j", ((F.coalesce("dot", F.lit(0.0)) + eps) / F.col("ni") / F.col("nj")).alias("value")))
+
+
 def rank_order(value: Column, tie: Column) -> list[Column]:
     return [F.round(value, SIM_DIGITS).desc(), tie.asc()]
 

@@ -20,11 +20,12 @@ from coact.operators import factor as fc
 from coact.operators import matrix as mx
 from coact.operators import predict as pr
 from coact.operators import serving as sv
+from coact.operators import store
 from coact.operators import weighting as wt
-from coact.operators.activity import ActivityModel, Band, most_active_items
+from coact.operators.activity import ActivityModel, Band, item_activity, most_active_items
 from coact.operators.bidiagonal import leading_triple
 from coact.operators.nearest import top_k_neighbours
-from coact.operators.similarity import cosine_similarity, top_k_per_row
+from coact.operators.similarity import cosine_rows, cosine_similarity, top_k_per_row
 from coact.plans import cf, lsa
 from coact.plans.cf import CF_BAND
 from coact.session import scratch_dir
@@ -61,6 +62,7 @@ def reset_models() -> None:
     for m in _MODELS.values():
         m.unpersist()
     _MODELS.clear()
+    _SERVED.clear()
 
 
 # --- activity tables -----------------------------------------------------------
@@ -129,6 +131,7 @@ def q_top_k_related_events(spark, sf_dir):
 
 
 EPS = 1e-9
+SMOOTHING = 1.0              # large enough to order items without a common user by their norms
 
 
 def r6(df: DataFrame, col: str = "value") -> DataFrame:
@@ -408,6 +411,15 @@ def q_related_to_item(spark, sf_dir):
     return topk.join(F.broadcast(_requests(md, 2)), "item", "left_semi")
 
 
+@query("related_with_epsilon")
+def q_related_with_epsilon(spark, sf_dir):
+    """Related items of the two most active ones by the smoothed cosine, items without a common user too."""
+    md = model(spark, sf_dir)
+    first = md.top.where(F.col("item_id") <= 2).select((F.col("item_id") - 1).cast("bigint").alias("i"))
+    sims = cosine_rows(md.matrix, first, CF_Q.top_n, epsilon=SMOOTHING)
+    return top_k_per_row(sims, CF_K, names=md.item_names, name_bound=CF_Q.top_n)
+
+
 @query("item_dictionary")
 def q_item_dictionary(spark, sf_dir):
     return model(spark, sf_dir).top.select((F.col("item_id") - 1).alias("i"), "item", "item_id")
@@ -521,6 +533,47 @@ def q_serving_roundtrip(spark, sf_dir):
                                             F.size("related").cast("bigint").alias("n_related"))
 
 
+def keyed(spark, df: DataFrame, key: str, name: str) -> store.KeyedTable:
+    """Write a keyed serving table to a fresh folder under the shared checkpoint dir."""
+    return store.create(df, scratch_dir(spark, name), key)
+
+
+@query("serving_requests")
+def q_serving_requests(spark, sf_dir):
+    """The stored history of every customer; customers outside the band have none."""
+    table = keyed(spark, sv.user_history(model(spark, sf_dir).kept_nonzero), "user", "history")
+    asked = read_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("user"))
+    return table.join_requests(asked).select("user", F.array_join("items", ",").alias("items"))
+
+
+EMPTIED_ITEMS = 10
+
+
+@query("serving_insert_empty")
+def q_serving_insert_empty(spark, sf_dir):
+    """The CF profile after its ten most active items were emptied, the items of the event
+    log inserted and the tenth item inserted again without related ones."""
+    md = model(spark, sf_dir)
+    table = keyed(spark, cf_profile(md), "item", "profile")
+    table.remove(md.top.where(F.col("item_id") <= EMPTIED_ITEMS).select("item"))
+    events = item_activity(model(spark, sf_dir, adapter="events", band=EVENTS_Q).occ_nonzero)
+    again = md.top.where(F.col("item_id") == EMPTIED_ITEMS)
+    table.insert(events.select("item", "activity").unionByName(again.select("item", "activity"))
+                 .withColumn("related", F.array().cast("array<string>")))
+    return table.read(spark).select("item", "activity", F.array_join("related", ",").alias("related"))
+
+
+@query("serving_lookup")
+def q_serving_lookup(spark, sf_dir):
+    """Profiles of the three most active items (and of one unknown name), one bucket each."""
+    md = model(spark, sf_dir)
+    table = keyed(spark, cf_profile(md), "item", "profile")
+    names = [r.item for r in md.top.where(F.col("item_id") <= 3).select("item").collect()]
+    return table.lookup(spark, [*names, "no-such-item"]).select(
+        "item", "activity", F.array_join("related", ",").alias("related"))
+
+
 def _bag(spark, sf_dir) -> DataFrame:
     md = model(spark, sf_dir)
     return sv.candidate_bag(sv.user_history(md.kept_nonzero), cf_profile(md))
@@ -756,6 +809,7 @@ LSA_Q = lsa.LSA_BAND
 LSA_K_Q = lsa.LSA_K
 
 _FACTORS: dict[tuple, fc.Factors] = {}
+_SERVED: dict[tuple, tuple[store.KeyedTable, store.KeyedTable]] = {}
 
 
 def lsa_model(spark, sf_dir) -> ActivityModel:
@@ -854,6 +908,55 @@ def q_projection_2d(spark, sf_dir):
     return sv.projection_2d(prof, exclude=outlier)
 
 
+# --- look-ups over the LSA profile, the table that is served --------------------------------------
+
+
+def _lsa_served(spark, sf_dir) -> tuple[store.KeyedTable, store.KeyedTable]:
+    """The stored LSA profile and the histories of its band, both keyed; one pair per model."""
+    md = lsa_model(spark, sf_dir)
+    own = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if own not in _SERVED:
+        _SERVED[own] = (keyed(spark, lsa_profile(spark, sf_dir), "item", "lsa_profile"),
+                        keyed(spark, sv.user_history(md.kept_nonzero), "user", "lsa_history"))
+    return _SERVED[own]
+
+
+def _lsa_bag(spark, sf_dir) -> DataFrame:
+    prof, hist = _lsa_served(spark, sf_dir)
+    return sv.candidate_bag(hist.read(spark), prof.read(spark))
+
+
+@query("lsa_serving_roundtrip")
+def q_lsa_serving_roundtrip(spark, sf_dir):
+    """Both served tables read back in full: per user and visited item its profile."""
+    prof, hist = _lsa_served(spark, sf_dir)
+    visits = hist.read(spark).select("user", F.explode("items").alias("item"))
+    return visits.join(prof.read(spark), "item").select(
+        "user", "item", "activity", F.size("related").cast("bigint").alias("n_related"),
+        F.size("vector").cast("bigint").alias("dims"))
+
+
+@query("lsa_candidate_bag")
+def q_lsa_candidate_bag(spark, sf_dir):
+    return sv.bag_multiplicity(_lsa_bag(spark, sf_dir))
+
+
+@query("lsa_recommend_sampled")
+def q_lsa_recommend_sampled(spark, sf_dir):
+    return sv.recommend_sampled(_lsa_bag(spark, sf_dir))
+
+
+@query("lsa_recommend_ranked")
+def q_lsa_recommend_ranked(spark, sf_dir):
+    return sv.recommend_ranked(_lsa_bag(spark, sf_dir))
+
+
+@query("lsa_related_answer_text")
+def q_lsa_related_answer_text(spark, sf_dir):
+    prof, _ = _lsa_served(spark, sf_dir)
+    return sv.related_answers(_item_requests(lsa_model(spark, sf_dir)), prof.read(spark))
+
+
 @query("leading_singular_value")
 def q_leading_singular_value(spark, sf_dir):
     return fc.leading_singular_value(lsa.weighted_matrix(lsa_model(spark, sf_dir)))

@@ -9,7 +9,7 @@ Integer sums are cast to BIGINT and anything involving ``ln`` is rounded.
 
 from __future__ import annotations
 
-from coact.plans.catalog import CF_K, CF_Q
+from coact.plans.catalog import CF_K, CF_Q, EMPTIED_ITEMS
 
 # --- shared CTE fragments -----------------------------------------------------
 
@@ -473,3 +473,24 @@ SQL["vector_from_dense"] = """SELECT CAST(pos - 1 AS BIGINT) AS i, round(CAST(v
 FROM (SELECT unnest(embedding) AS v, unnest(generate_series(1, len(embedding))) AS pos
       FROM (SELECT embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
             ORDER BY vec_id LIMIT 1)) WHERE v <> 0"""
+
+SQL["related_with_epsilon"] = cf(top_k_sql(CF_K, "e_sim"), """n2 AS (SELECT i, sum(value * value) AS sq FROM m GROUP BY i)""",
+                                 """own AS (SELECT x.i AS i, y.i AS j, sum(x.value * y.value) AS dot
+  FROM m x JOIN m y ON x.j = y.j WHERE x.i < 2 GROUP BY x.i, y.i)""",
+                                 """e_sim AS (SELECT a.i, b.i AS j, (coalesce(o.dot, 0) + 1.0) / sqrt(a.sq + 1.0) / sqrt(b.sq + 1.0) AS value
+  FROM n2 a CROSS JOIN n2 b LEFT JOIN own o ON o.i = a.i AND o.j = b.i WHERE a.i < 2)""")
+
+# --- keyed serving tables ------------------------------------------------------------------------
+
+SQL["serving_requests"] = cf("""SELECT concat('c', CAST(c_custkey AS VARCHAR)) AS "user", h.items FROM customer LEFT JOIN (
+  SELECT "user", string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT "user", item FROM pruned) GROUP BY "user") h
+  ON h."user" = concat('c', CAST(c_custkey AS VARCHAR))""")
+_PROFILE_TEXT = """text AS (SELECT t.item, t.item_id, t.activity, coalesce(string_agg(p.related, ',' ORDER BY p.rk), '') AS related
+FROM top t LEFT JOIN prof p ON p.item = t.item GROUP BY t.item, t.item_id, t.activity)"""
+SQL["serving_lookup"] = cf("SELECT item, activity, related FROM text WHERE item_id <= 3", COSINE, PROF, _PROFILE_TEXT)
+SQL["serving_insert_empty"] = cf(f"""SELECT item, activity, related FROM text WHERE item_id > {EMPTIED_ITEMS}
+UNION ALL SELECT item, activity, '' FROM text WHERE item_id = {EMPTIED_ITEMS}
+UNION ALL SELECT item, CAST(sum(comments) AS BIGINT), '' FROM ev_pairs WHERE net_votes <> 0 GROUP BY item""",
+                                 COSINE, PROF, _PROFILE_TEXT, LOG_EVENTS.replace("log AS", "ev_log AS", 1),
+                                 PAIRS.replace("pairs AS", "ev_pairs AS", 1).replace("FROM log", "FROM ev_log"))

@@ -70,3 +70,13 @@ def test_salted_block_self_join_matches_plain(spark):
     assert plain == salted
     got = to_dense(cosine_similarity(m, block=7, key_bound=4, include_diagonal=True), (60, 60))
     assert np.allclose(got, _np_cosine(x))
+
+
+def test_cosine_rows_lists_rows_without_overlap(spark):
+    from coact.operators.similarity import cosine_rows
+    x = np.array([[1, 2, 0, 0], [0, 0, 3, 0], [0, -1, 1, 0], [0, 0, 0, 0], [2, 0, 0, 5.0]])
+    req = spark.createDataFrame([(0,), (0,), (2,), (3,), (99,)], "i long")
+    got = {(r.i, r.j): r.value for r in cosine_rows(from_dense(spark, x), req, 5, 0.5).collect()}
+    dot, norm = x @ x.T + 0.5, np.sqrt((x ** 2).sum(1) + 0.5)
+    want = {(i, j): dot[i, j] / norm[i] / norm[j] for i in (0, 2) for j in (0, 1, 2, 4) if i != j}
+    assert got.keys() == want.keys() and all(np.isclose(got[k], want[k]) for k in want)
