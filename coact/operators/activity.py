@@ -66,8 +66,9 @@ def item_user_activity(pairs: DataFrame) -> DataFrame:
     """
     with_uid = attach_dense_ids(pairs.select("item", "user", "net_votes", "comments"),
                                 "user", "uid", descending=True)
-    occ = with_uid.where(F.col("net_votes") != 0)
-    return attach_dense_ids(occ, "item", "rid", descending=True)
+    # the item ranks come from the pairs themselves, so the user-id join runs once
+    return attach_dense_ids(with_uid.where(F.col("net_votes") != 0), "item", "rid", descending=True,
+                            keys=pairs.where(F.col("net_votes") != 0))
 
 
 def item_activity(occ: DataFrame) -> DataFrame:

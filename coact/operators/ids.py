@@ -5,8 +5,9 @@ a single task.  The rank of a row only depends on its key, so we rank the
 *distinct* keys and join the ids back.  Ranking the distinct keys is itself
 done in parallel:
 
-1. range-partition the distinct keys (Spark samples the bounds), sort each
-   partition;
+1. range-partition the distinct keys (Spark samples the bounds) into as many
+   ranges as their number needs (``KEYS_PER_RANGE`` each, by a HyperLogLog
+   count that is merged map-side), sort each partition;
 2. ``monotonically_increasing_id`` then carries the partition number in its
    upper bits and the row's position inside the sorted partition in its lower
    33 bits;
@@ -33,8 +34,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coact.session import default_parallelism, scratch_dir
+from coact.session import scratch_dir
 
+KEYS_PER_RANGE = 500_000
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -44,6 +46,12 @@ def _order(col: str, descending: bool) -> Column:
     return F.col(col).desc() if descending else F.col(col).asc()
 
 
+def range_count(keys: DataFrame, key: str) -> int:
+    """Ranges for the distinct values of ``key``: their number follows the data, not a setting."""
+    n = keys.agg(F.approx_count_distinct(key)).first()[0] or 0
+    return max(1, -(-n // KEYS_PER_RANGE))
+
+
 def dense_ids(keys: DataFrame, key: str, id_col: str, descending: bool = False,
               num_partitions: int | None = None) -> DataFrame:
     """Return ``(key, id_col)`` with ``id_col = dense_rank() over (order by key)``.
@@ -51,7 +59,7 @@ def dense_ids(keys: DataFrame, key: str, id_col: str, descending: bool = False,
     ``keys`` may contain duplicates; ids start at 1 and have no gaps.
     """
     spark = keys.sparkSession
-    n = num_partitions or default_parallelism(spark)
+    n = num_partitions or range_count(keys, key)
     order = _order(key, descending)
     ranged = (keys.select(key).distinct()
               .repartitionByRange(n, order)
@@ -74,9 +82,13 @@ def dense_ids(keys: DataFrame, key: str, id_col: str, descending: bool = False,
 
 
 def attach_dense_ids(df: DataFrame, key: str, id_col: str, descending: bool = False,
-                     **kw) -> DataFrame:
-    """``df`` with a dense-rank column over ``key`` (equi-join on the key)."""
-    ids = dense_ids(df, key, id_col, descending=descending, **kw).withColumnRenamed(key, "_key")
+                     keys: DataFrame | None = None, **kw) -> DataFrame:
+    """``df`` with a dense-rank column over ``key`` (equi-join on the key).
+
+    ``keys``: a cheaper table with the same distinct keys as ``df``, ranked in its place
+    (``df`` may be a join that should not run a second time for the ranks).
+    """
+    ids = dense_ids(df if keys is None else keys, key, id_col, descending=descending, **kw).withColumnRenamed(key, "_key")
     # null-safe: a NULL key is one more group, as in SQL dense_rank
     return df.join(ids, df[key].eqNullSafe(ids["_key"])).drop("_key")
 

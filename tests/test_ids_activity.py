@@ -121,3 +121,32 @@ def test_null_author_is_its_own_group(spark, edge):
     nulls = md.occurrences.where(F.col("user").isNull()).collect()
     assert len(nulls) == 2 and len({r.uid for r in nulls}) == 1
     assert nulls[0].uid == md.occurrences.agg(F.max("uid")).first()[0]
+
+
+def test_ranges_follow_the_number_of_keys(spark, monkeypatch):
+    from coact.operators import ids
+    keys = spark.range(5000).select(F.concat(F.lit("k"), F.col("id") % 1000).alias("k")).unionByName(
+        spark.range(1).select(F.lit(None).cast("string").alias("k")))
+    assert ids.range_count(keys, "k") == 1 and ids.range_count(keys.limit(0), "k") == 1
+    monkeypatch.setattr(ids, "KEYS_PER_RANGE", 100)
+    assert 9 <= ids.range_count(keys, "k") <= 11
+    got = [(r.k, r.n) for r in ids.dense_ids(keys, "k", "n").orderBy("n").collect()]
+    want = [None, *sorted({f"k{i}" for i in range(1000)})]
+    assert got == [(k, n) for n, k in enumerate(want, 1)]
+
+
+def test_item_ranks_do_not_rerun_the_user_join(spark, monkeypatch):
+    from coact.operators import activity, ids
+    ranked = []
+    real = ids.dense_ids
+
+    def spy(keys, *a, **kw):
+        ranked.append(keys._jdf.queryExecution().optimizedPlan().toString())
+        return real(keys, *a, **kw)
+
+    monkeypatch.setattr(ids, "dense_ids", spy)
+    pairs = spark.createDataFrame([("a", "u1", 1, 2), ("b", "u1", 0, 1), ("a", "u2", -1, 1), ("c", "u3", 2, 2)],
+                                  "item string, user string, net_votes long, comments long")
+    out = {(r.item, r.user): (r.uid, r.rid) for r in activity.item_user_activity(pairs).collect()}
+    assert out == {("a", "u1"): (3, 2), ("a", "u2"): (2, 2), ("c", "u3"): (1, 1)}
+    assert len(ranked) == 2 and not any("Join" in p for p in ranked)
