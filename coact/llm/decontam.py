@@ -3,39 +3,46 @@
 The test items are indexed, the training passages are the queries. Impacts are
 BM25 term scores divided by the item's score for its own text, so that a
 passage scores between 0 and 1 for every item and one threshold fits all.
-Passages are overlapping windows of a document's words, twice as long as the
-longest item and half a window apart: each occurrence of an item lies whole in
-one of them.
+Passages are overlapping windows of a document's words (those with more than
+punctuation, as in the items), twice as long as the longest item and half a
+window apart: each occurrence of an item lies whole in one of them.
 
 Retrieval is block-max WAND over blocks of ``BLOCK_ITEMS`` items: the sum of the
 largest impacts of a passage's terms bounds every score, the sum of the largest
 impacts inside a block bounds the scores there, and only blocks whose bound
-reaches the threshold are scored in full. So all items above the threshold are
-retrieved. Every hit is verified on the words themselves: the shares of the
-question's 5-grams and of the answer's 2-grams that the passage has. The answer
-is the last sentence of an item, at least its last ``ANSWER_WORDS`` words.
+reaches the threshold are scored; the postings of other blocks are skipped. So
+all items above the threshold are retrieved. Every hit is verified on the words
+themselves: the shares of the question's 5-grams and of the answer's 2-grams that
+the passage has. The answer is the last sentence of an item, at least its last
+``ANSWER_WORDS`` words.
 
 Index sizes: items are dealt by hash to indexes of about ``INDEX_CHARS``
 characters of item text; each is collected and broadcast on its own, and the
-documents pass once for each. A usual benchmark is one index. Documents never
-leave their partition: one pass, no shuffle of texts.
+documents pass once for each. A usual benchmark is one index. Term statistics,
+mean length and passage length are those of all items, computed by Spark, so a
+score does not depend on the number of indexes. Documents never leave their
+partition: one pass, no shuffle of texts.
 
 Defined results: null or empty texts and items never match; an item of fewer
-than ``MIN_ITEM_WORDS`` words has too little to prove a leak and is not indexed;
-repeated items each match; repeated documents each match; of an item's verified
-passages the one with the highest score is reported, of equal ones the first.
+than ``MIN_ITEM_WORDS`` words has too few for scores and matches where all its
+words stand in a row (score and shares 1); an item of one word, which has no
+question and answer, never matches; repeated items each match; repeated documents
+each match; of an item's verified passages the one with the highest score is
+reported, of equal ones the first.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hold, words_of
+from .common import hold, staged, words_of
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5              # of an item's own score
@@ -49,6 +56,7 @@ INDEX_CHARS = 16_000_000
 
 _TRIM = ".,;:!?()[]{}<>\"'"
 _CACHE_WORDS = 300_000
+_NO_WORD = -2                # stands for punctuation alone
 
 
 def normal_words(text: str | None) -> list[str]:
@@ -71,55 +79,70 @@ def grams(words: list[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(words[k:k + n]) for k in range(len(words) - n + 1)} if words else set()
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """What scores take from the items with at least ``MIN_ITEM_WORDS`` words, over all of them."""
+
+    items: int
+    words: int
+    longest: int
+    having: dict[str, int]        # items with a term; terms of one index are enough
+
+    @staticmethod
+    def of(counts: list[dict[str, int]]) -> Statistics:
+        sizes = [sum(own.values()) for own in counts]
+        return Statistics(len(counts), sum(sizes), max(sizes, default=0), dict(Counter(w for own in counts for w in own)))
+
+
 class Index:
-    """Postings with impacts, by term; block maxima; the items' grams."""
+    """Postings with impacts, by term and block; block maxima; the items' grams."""
 
-    def __init__(self, items: list[tuple[object, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[object, str]], threshold: float = THRESHOLD,
+                 statistics: Statistics | None = None):
         self.threshold = threshold
-        kept = [(i, t, normal_words(t)) for i, t in items if t]
-        kept = [(i, t, w) for i, t, w in kept if len(w) >= MIN_ITEM_WORDS]
-        self.ids = [i for i, _, _ in kept]
-        self.stride = max([MIN_STRIDE, *(len(w) for _, _, w in kept)])
+        split = [(i, t, normal_words(t)) for i, t in items if t]
+        kept = [own for own in split if len(own[2]) >= MIN_ITEM_WORDS]
+        short = [own for own in split if 2 <= len(own[2]) < MIN_ITEM_WORDS]
+        self.ids = [i for i, _, _ in kept + short]
         self.parts = [split_item(t) for _, t, _ in kept]
-        n = len(kept)
-        mean = sum(len(w) for _, _, w in kept) / max(1, n)
-        counts = [{} for _ in kept]
-        having: dict[str, int] = {}
-        for own, (_, _, words) in zip(counts, kept):
-            for w in words:
-                own[w] = own.get(w, 0) + 1
-            for w in own:
-                having[w] = having.get(w, 0) + 1
-        self.terms = {w: k for k, w in enumerate(sorted(having))}
+        counts = [dict(Counter(w)) for _, _, w in kept]
+        all_items = statistics or Statistics.of(counts)
+        n, mean = all_items.items, all_items.words / max(1, all_items.items)
+        self.stride = max(MIN_STRIDE, all_items.longest)
+        vocabulary = {w for own in counts for w in own} | {w for _, _, words in short for w in words}
+        self.terms = {w: k for k, w in enumerate(sorted(vocabulary))}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
-        for item, (own, (_, _, words)) in enumerate(zip(counts, kept)):
-            impact = {}
+        for item, own in enumerate(counts):
+            size, impact = sum(own.values()), {}
             for w, tf in own.items():
-                idf = np.log(1 + (n - having[w] + 0.5) / (having[w] + 0.5))
-                impact[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
+                idf = np.log(1 + (n - all_items.having[w] + 0.5) / (all_items.having[w] + 0.5))
+                impact[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean))
             whole = sum(impact.values())
             for w, x in impact.items():
                 postings[self.terms[w]].append((item, x / whole))
-        # a flat array for all terms: postings of term t are [begin[t], begin[t + 1])
+        # flat arrays for all terms: postings of term t are [begin[t], begin[t + 1]), its entries (one a
+        # block) [block_begin[t], block_begin[t + 1]); postings of entry e are [entry_begin[e], entry_begin[e + 1])
         self.begin = np.cumsum([0, *map(len, postings)])
         flat = [p for own in postings for p in own]
         self.item = np.array([p[0] for p in flat], np.int64)
         self.impact = np.array([p[1] for p in flat], np.float64)
-        self.blocks = -(-n // BLOCK_ITEMS)
-        self.block_begin, self.block, self.block_max, self.most = self._maxima(postings)
-
-    @staticmethod
-    def _maxima(postings):
-        begin, block, top, most = [0], [], [], []
-        for own in postings:
-            best: dict[int, float] = {}
-            for item, x in own:
-                best[item // BLOCK_ITEMS] = max(best.get(item // BLOCK_ITEMS, 0.0), x)
-            block += best.keys()
-            top += best.values()
-            most.append(max(best.values()))
-            begin.append(len(block))
-        return np.array(begin), np.array(block, np.int64), np.array(top), np.array(most)
+        self.blocks = -(-len(kept) // BLOCK_ITEMS)
+        term = np.repeat(np.arange(len(postings)), np.diff(self.begin))
+        block = self.item // BLOCK_ITEMS
+        new = np.ones(len(flat), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        starts = np.flatnonzero(new)
+        self.entry_begin = np.append(starts, len(flat))
+        self.block = block[starts]
+        self.block_max = np.maximum.reduceat(self.impact, starts) if len(starts) else np.zeros(0)
+        self.block_begin = np.searchsorted(starts, self.begin)
+        self.most = np.array([max((x for _, x in own), default=0.0) for own in postings])
+        self.short: dict[int, dict[tuple[int, ...], list[int]]] = {}
+        for k, (_, _, words) in enumerate(short, len(kept)):
+            row = tuple(self.terms[w] for w in words)
+            self.short.setdefault(len(row), {}).setdefault(row, []).append(k)
+        self.short_first = {size: np.isin(np.arange(len(self.terms)), [row[0] for row in rows])
+                            for size, rows in self.short.items()}
 
     @staticmethod
     def _spans(begin: np.ndarray, terms: np.ndarray) -> np.ndarray:
@@ -137,10 +160,8 @@ class Index:
         open_blocks = bounds >= threshold
         if not open_blocks.any():
             return []
-        at = self._spans(self.begin, terms)
-        items = self.item[at]
-        own = open_blocks[items // BLOCK_ITEMS]
-        score = np.bincount(items[own], self.impact[at[own]], len(self.ids))
+        at = self._spans(self.entry_begin, at[open_blocks[self.block[at]]])
+        score = np.bincount(self.item[at], self.impact[at], len(self.ids))
         return [(k, float(score[k])) for k in np.flatnonzero(score >= threshold).tolist()]
 
     def promising(self, terms: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -160,6 +181,14 @@ class Index:
         for k in np.flatnonzero((value[at] * first).sum(axis=1) >= self.threshold - 1e-9):
             yield int(starts[k]), terms[at[k][first[k]]]
 
+    def in_a_row(self, terms: np.ndarray) -> Iterator[int]:
+        """Short items whose words all stand in a row."""
+        for size, rows in self.short.items():
+            head = terms[:max(0, len(terms) - size + 1)]
+            at = np.flatnonzero(head >= 0)
+            for k in at[self.short_first[size][head[at]]].tolist():
+                yield from rows.get(tuple(terms[k:k + size].tolist()), ())
+
     def verified(self, text: str | None) -> Iterator[tuple[int, float, float, float]]:
         """(item, score, question share, answer share) of every passage that holds
         an item, in the order of the passages."""
@@ -170,6 +199,11 @@ class Index:
             _terms.clear()
             _terms.owner = self
         terms = np.fromiter(map(_terms.__getitem__, raw), np.int64, len(raw))
+        if (terms == _NO_WORD).any():
+            raw = [w for w, t in zip(raw, terms.tolist()) if t != _NO_WORD]
+            terms = terms[terms != _NO_WORD]
+        for item in self.in_a_row(terms):
+            yield item, 1.0, 1.0, 1.0
         for start, own in self.promising(terms):
             passage, having = None, {}
             for item, score in self.above(own, self.threshold):
@@ -204,7 +238,8 @@ class _Terms(dict):
     owner: Index | None = None
 
     def __missing__(self, word: bytes) -> int:
-        got = self.owner.terms.get(word.decode().lower().strip(_TRIM), -1)
+        bare = word.decode().lower().strip(_TRIM)
+        got = self.owner.terms.get(bare, -1) if bare else _NO_WORD
         if len(self) < _CACHE_WORDS:
             self[word] = got
         return got
@@ -213,15 +248,34 @@ class _Terms(dict):
 _terms = _Terms()
 
 
+def item_words(dealt: DataFrame) -> DataFrame:
+    """(part, n, terms) of every item: its number of words and its distinct words."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [normal_words(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(w) for w in words], pa.int64()),
+                 pa.array([sorted(set(w)) for w in words], pa.list_(pa.string()))], ["part", "n", "terms"])
+
+    return dealt.select("part", "t").mapInArrow(counted, "part long, n long, terms array<string>")
+
+
 def indexes(items: DataFrame, threshold: float, id_col: str = "item_id", text_col: str = "text") -> Iterator:
-    """Broadcast indexes of bounded size that together hold every item."""
+    """Broadcast indexes of bounded size that together hold every item, with the statistics of all."""
     own = items.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
     chars = own.agg(F.sum(F.length("t"))).first()[0] or 0
     parts = max(1, -(-chars // INDEX_CHARS))
-    dealt = own.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)))
+    dealt = own.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)).cast("long"))
+    words = staged(item_words(dealt), "item-words").where(F.col("n") >= MIN_ITEM_WORDS)
+    n, total, longest = words.agg(F.count("*"), F.sum("n"), F.max("n")).first()
+    having = words.select(F.explode("terms").alias("w")).groupBy("w").agg(F.count("*").alias("c"))
     for k in range(parts):
         rows = sorted((tuple(r) for r in dealt.where(F.col("part") == k).select("i", "t").collect()), key=repr)
-        yield items.sparkSession.sparkContext.broadcast(Index(rows, threshold))
+        mine = words.where(F.col("part") == k).select(F.explode("terms").alias("w")).distinct()
+        # as many terms as one index has
+        counts = {r.w: r.c for r in having.join(mine, "w", "left_semi").collect()}
+        yield items.sparkSession.sparkContext.broadcast(
+            Index(rows, threshold, Statistics(n, total or 0, longest or 0, counts)))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
