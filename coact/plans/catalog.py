@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from coact.functions import text as tx
 from coact.operators import factor as fc
 from coact.operators import matrix as mx
+from coact.operators import pivots as pv
 from coact.operators import predict as pr
 from coact.operators import serving as sv
 from coact.operators import store
@@ -802,6 +803,15 @@ def q_vector_neighbors(spark, sf_dir):
     return fc.rank_by_cosine(emb, "vec_id", "embedding", emb.agg(F.min("vec_id")).scalar())
 
 
+@query("vector_neighbors_topk")
+def q_vector_neighbors_topk(spark, sf_dir):
+    """The ten closest embeddings of every embedding whose id is divisible by 100, by a pivot table."""
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = emb.where(F.col("vec_id") % 100 == 0).withColumnRenamed("vec_id", "request")
+    pairs = pv.scored_pairs(emb, asked, "vec_id", "request", "embedding", CF_K, exclude_same=True)
+    return pv.top_k(pairs, CF_K).select("request", "rk", F.col("key").alias("vec_id"), F.round("sim", 6).alias("sim"))
+
+
 # --- LSA: SVD, latent space -------------------------------------------------------------------------
 
 
@@ -879,6 +889,17 @@ def q_latent_neighbors(spark, sf_dir):
     return top.join(names, "i").select(F.col("row").alias("uid"), "rk", "item", F.col("score").alias("sim"))
 
 
+@query("latent_neighbors_topk")
+def q_latent_neighbors_topk(spark, sf_dir):
+    """The first of ``latent_neighbors`` for every folded-in user, without ranking all items."""
+    f = lsa_factors(spark, sf_dir)
+    asked = fc.fold_in_vectors(spark, _user_entries(spark, sf_dir), f, -fc.LATENT_POWER)
+    pairs = pv.scored_pairs(fc.factors_frame(spark, f), asked, "i", "row", "vector", LSA_K_Q)
+    top = pv.top_k(pairs, LSA_K_Q).withColumnRenamed("key", "i")
+    names = F.broadcast(lsa_model(spark, sf_dir).item_names)
+    return top.join(names, "i").select(F.col("request").alias("uid"), "rk", "item", "sim")
+
+
 @query("svd_recommend_unseen")
 def q_svd_recommend_unseen(spark, sf_dir):
     """Estimated ratings ``U[u] S V^T`` per user: top 250 items, minus seen, first 5."""

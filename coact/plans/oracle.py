@@ -494,3 +494,10 @@ UNION ALL SELECT item, activity, '' FROM text WHERE item_id = {EMPTIED_ITEMS}
 UNION ALL SELECT item, CAST(sum(comments) AS BIGINT), '' FROM ev_pairs WHERE net_votes <> 0 GROUP BY item""",
                                  COSINE, PROF, _PROFILE_TEXT, LOG_EVENTS.replace("log AS", "ev_log AS", 1),
                                  PAIRS.replace("pairs AS", "ev_pairs AS", 1).replace("FROM log", "FROM ev_log"))
+
+SQL["vector_neighbors_topk"] = f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM e)
+SELECT request, rk, vec_id, round(sim, 6) AS sim FROM (
+  SELECT request, vec_id, sim, row_number() OVER (PARTITION BY request ORDER BY sim DESC, vec_id) AS rk FROM (
+    SELECT q.vec_id AS request, n.vec_id, round(list_dot_product(n.e, q.e) / (n.n * q.n), 9) AS sim
+    FROM n q JOIN n ON n.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0 AND q.n > 0 AND n.n > 0)) WHERE rk <= {CF_K}"""

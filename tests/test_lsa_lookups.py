@@ -80,3 +80,9 @@ def test_roundtrip_and_answers(spark, served):
     assert answers[""] == "" and "no such" in answers["no-such-item"]
     known = [k for k in answers if k in prof]
     assert len(known) == 2 and all(answers[k].split("\n")[1:] == prof[k] for k in known)
+
+
+def test_pivot_neighbours_are_the_first_of_the_full_ranking(spark):
+    full = {(r.uid, r.rk): r.sim for r in cat.q_latent_neighbors(spark, SF).where(f"rk <= {lsa.LSA_K}").collect()}
+    got = {(r.uid, r.rk): r.sim for r in cat.q_latent_neighbors_topk(spark, SF).collect()}
+    assert got.keys() == full.keys() and all(abs(got[k] - full[k]) < 1e-8 for k in full)
