@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from coact.operators import matrix as mx
 from coact.operators.similarity import SIM_DIGITS, cosine_similarity
+from coact.session import staged
 
 SPLIT_SEED = 42
 
@@ -79,9 +80,14 @@ def similarity_for(r: DataFrame, kind: str, epsilon: float = 1e-9, item_bound: i
 
 
 def _cells(rows: DataFrame, ncols: Column) -> DataFrame:
-    """(i, j) for every row id in ``rows`` and every column ``0 .. ncols - 1``,
-    generated in parallel chunks (an item row of the item kind spans all users)."""
-    return mx.expand_range(rows.select("i"), ncols, "j", keep=["i"])
+    """Every row of ``rows`` (one for each ``i``) at every column ``j = 0 .. ncols - 1``,
+    generated in parallel chunks (an item row of the item kind spans all users).
+
+    ``rows`` brings all that a cell needs of its row. Joined to the cells instead, adaptive
+    execution would take the cells, whose size it guesses from the few chunks, for a small
+    side and broadcast them through the driver.
+    """
+    return mx.expand_range(rows, ncols, "j")
 
 
 def _bias_terms(r: DataFrame, s: DataFrame) -> DataFrame:
@@ -98,11 +104,11 @@ def _bias_value(sr: str) -> Column:
 
 
 def _bias_rows(r: DataFrame, s: DataFrame) -> DataFrame:
+    s = staged(s, "similarity")
     sr = mx.multiply(s, r).withColumnRenamed("value", "sr")
     terms = _bias_terms(r, s)
-    cells = _cells(terms.select("i"), n_cols(r))
-    return (cells.join(terms, "i").join(sr, ["i", "j"], "left")
-                 .select("i", "j", _bias_value("sr").alias("value")))
+    return (_cells(terms, n_cols(r)).join(sr, ["i", "j"], "left")
+            .select("i", "j", _bias_value("sr").alias("value")))
 
 
 def predict_at(r: DataFrame, s: DataFrame, cells: DataFrame, kind: str = "user") -> DataFrame:
@@ -113,6 +119,7 @@ def predict_at(r: DataFrame, s: DataFrame, cells: DataFrame, kind: str = "user")
     (at most the band's items) for the item kind, similarities for the user kind.
     """
     o, want = _oriented(r, kind), _oriented(cells.select("i", "j", F.lit(0.0).alias("value")), kind)
+    s = staged(s, "similarity")
     shape = o.agg((F.max("j") + 1).alias("n")).scalar()
     want = want.select("i", "j").distinct().where(F.col("j") < shape)
     if kind == "item":      # columns of R^T are users
@@ -141,12 +148,12 @@ def _nearest(r: DataFrame, s: DataFrame, k: int) -> DataFrame:
 
 
 def _topk_rows(r: DataFrame, s: DataFrame, k: int) -> DataFrame:
-    nb = _nearest(r, s, k)
+    nb = staged(_nearest(r, staged(s, "similarity"), k), "nearest")
     num = mx.multiply(nb, r).withColumnRenamed("value", "num")
     den = nb.groupBy("i").agg(F.sum(F.abs("value")).alias("den"))
-    cells = _cells(r.select("i").distinct(), n_cols(r))
-    return (cells.join(den, "i").join(num, ["i", "j"], "left")
-                 .select("i", "j", (F.coalesce("num", F.lit(0.0)) / F.col("den")).alias("value")))
+    rows = r.select("i").distinct().join(den, "i")
+    return (_cells(rows, n_cols(r)).join(num, ["i", "j"], "left")
+            .select("i", "j", (F.coalesce("num", F.lit(0.0)) / F.col("den")).alias("value")))
 
 
 def _oriented(r: DataFrame, kind: str) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coact.session import staged
+
 SHARE = 2000
 FLOOR = 1000        # rows that one task may always take for one key
 
@@ -40,6 +42,10 @@ def join_many(left: DataFrame, right: DataFrame, on: str, share: int = SHARE, fl
     every block of the other, and the join runs on (key, block, block): every
     pair of rows meets once, and no task sees more than a block of either side
     for one key. Light keys are joined plainly, and the results are united.
+
+    Both sides are read several times, so they should be tables in files. The heavy
+    keys are staged: each join then carries that small table and not the frequency
+    pass, and without heavy keys the join is the plain one.
     """
     l, r = ([c for c in d.columns if c != on] for d in (left, right))
     count = left.groupBy(on).agg(F.count("*").alias("_nl")).join(
@@ -50,7 +56,10 @@ def join_many(left: DataFrame, right: DataFrame, on: str, share: int = SHARE, fl
 
     sized = count.select(on, F.ceil(F.col("_nl") / limit(left)).cast("int").alias("_bl"),
                          F.ceil(F.col("_nr") / limit(right)).cast("int").alias("_br"))
-    heavy = F.broadcast(sized.where((F.col("_bl") > 1) | (F.col("_br") > 1)))      # at most 2 x share keys
+    kept = staged(sized.where((F.col("_bl") > 1) | (F.col("_br") > 1)), "heavy")
+    if kept.isEmpty():
+        return left.join(right, on)
+    heavy = F.broadcast(kept)                                                      # at most 2 x share keys
     light = (left.join(heavy.select(on), on, "left_anti")
              .join(right.join(heavy.select(on), on, "left_anti"), on))
 
