@@ -111,3 +111,23 @@ def test_rank_by_cosine(spark):
     got = {r.id: r.sim for r in fc.rank_by_cosine(df, "id", "e", 2).collect()}
     want = e @ e[2] / np.linalg.norm(e, axis=1) / np.linalg.norm(e[2])
     assert np.allclose([got[i] for i in range(6)], np.round(want, 6))
+
+
+def test_flat_spectrum_needs_few_passes(spark, monkeypatch):
+    """The filter's products have no orthogonalisation between them: few blocks are factored."""
+    monkeypatch.setattr(sv, "PANEL_ROWS", 64)
+    monkeypatch.setattr(sv, "MIN_WIDTH", 16)
+    monkeypatch.setattr(sv, "BASIS_COLUMNS", 40)
+    blocks = []
+    kind = getattr(sv, "Subspace", None) or sv.Krylov
+    extend = kind.extend
+    monkeypatch.setattr(kind, "extend", lambda self, q: blocks.append(q.shape[1]) or extend(self, q))
+    rng = np.random.default_rng(5)
+    u, v = (np.linalg.qr(rng.standard_normal((150, 150)))[0] for _ in range(2))
+    s = np.sqrt(np.concatenate([[30.0], np.linspace(1, 0.4, 149)]))
+    dense = (u * s) @ v.T
+    _, panels, got = sv.block_svd(from_dense(spark, dense), 10)
+    assert np.allclose(got, s[:10], rtol=1e-9)
+    assert len(blocks) <= 16 and max(blocks) <= 40
+    out = np.vstack([np.frombuffer(r.u).reshape(-1, 10) for r in panels.orderBy("p").collect()])
+    assert np.allclose(np.abs((u[:, :10] * out).sum(axis=0)), 1, atol=1e-7)
