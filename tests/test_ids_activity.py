@@ -150,3 +150,32 @@ def test_item_ranks_do_not_rerun_the_user_join(spark, monkeypatch):
     out = {(r.item, r.user): (r.uid, r.rid) for r in activity.item_user_activity(pairs).collect()}
     assert out == {("a", "u1"): (3, 2), ("a", "u2"): (2, 2), ("c", "u3"): (1, 1)}
     assert len(ranked) == 2 and not any("Join" in p for p in ranked)
+
+
+def test_rows_of_a_task_follow_the_data(spark, edge, monkeypatch):
+    from coact.operators import activity
+    from coact.sources import log as src
+    log, con = edge
+    pairs = activity.pair_activity(log, 7)
+    sizes = pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) > 1 and {r.p for r in sizes} <= set(range(7))            # not coalesced by bytes
+    assert pairs.rdd.getNumPartitions() == 7
+    for band in (Band(3, 1, 3), Band(4, 2, 2)):
+        md = ActivityModel(log, band, tasks=5)
+        assert _norm(md.pruned.select("item", "user", "item_id", "net_score", "abs_score", "uid").collect()) == _norm(
+            _duck(con, 'SELECT item, "user", item_id, net_score, abs_score, uid FROM pruned', band))
+    rows = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert src.log_tasks(spark, "/root/testdata/sf0.001") is None
+    before = activity.pair_activity(src.load_log(spark, "/root/testdata/sf0.001"))
+    monkeypatch.setattr(src, "ROWS_PER_TASK", rows // 10)
+    assert src.log_tasks(spark, "/root/testdata/sf0.001") in (10, 11)
+    after = activity.pair_activity(src.load_log(spark, "/root/testdata/sf0.001"), 11)
+    assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+
+
+def test_only_pairs_of_top_items_meet_the_users(spark, edge):
+    from coact.operators import activity
+    log, _ = edge
+    md = ActivityModel(log, Band(3, 1, 3))
+    plan = activity.kept_pairs(md.pairs, md.top, md.users, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and not any("LeftSemi" in line and "user" in line for line in plan.splitlines())
