@@ -26,6 +26,8 @@ from coact.functions.scalar import safe_div
 from coact.operators import matrix as mx
 from coact.operators.similarity import SIM_DIGITS
 from coact.operators.svd import PANEL_ROWS, block_svd
+from coact.session import staged
+from coact.sources.log import spread
 
 LATENT_POWER = 0.5
 
@@ -279,52 +281,77 @@ def score_topk(spark: SparkSession, queries: DataFrame, f: Factors, k: int, scal
 
 # --- power iteration ----------------------------------------------------------------------------
 
-def leading_singular_value(a: DataFrame, epsilon: float = 1e-10, max_iter: int = 200,
-                           checkpoint_every: int = 5) -> DataFrame:
+POWER_ROWS_PER_TASK = 1_000_000      # entries that a task packs
+
+
+def _power_pass(rows: DataFrame, index: np.ndarray, u: np.ndarray, before: np.ndarray | float) -> tuple:
+    """One pass over the packed columns ``a_j`` of a matrix: ``A w`` with ``w_j = a_j . u``, ``|w|`` and
+    ``v . w``, where ``v_j = a_j . before``, or ``before`` itself if it is a number."""
+    bc = rows.sparkSession.sparkContext.broadcast((index, u, before))
+
+    def run(batches):
+        index_, u_, before_ = bc.value
+        total, squares, dot = np.zeros(len(index_)), 0.0, 0.0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            items, values = b.column(0), b.column(1)
+            ends = np.cumsum(np.diff(items.offsets.to_numpy()))
+            starts = np.r_[0, ends[:-1]]                            # no column is empty
+            at = np.searchsorted(index_, items.flatten().to_numpy())
+            x = values.flatten().to_numpy()
+            w = np.add.reduceat(x * u_[at], starts)
+            v = np.add.reduceat(x * before_[at], starts) if isinstance(before_, np.ndarray) else before_
+            squares += float(w @ w)
+            dot += float(np.sum(v * w))
+            total += np.bincount(at, weights=x * np.repeat(w, ends - starts), minlength=len(index_))
+        own = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[own, -1, -2], pa.int64()), pa.array(np.r_[total[own], squares, dot])], ["p", "x"])
+
+    out, ends = np.zeros(len(index)), [0.0, 0.0]
+    # a number for each row of the matrix
+    for r in rows.mapInArrow(run, "p long, x double").groupBy("p").agg(F.sum("x").alias("x")).toLocalIterator():
+        if r["p"] >= 0:
+            out[r["p"]] = r["x"]
+        else:
+            ends[-1 - r["p"]] = r["x"]
+    bc.unpersist()
+    return out, float(np.sqrt(ends[0])), ends[1]
+
+
+def leading_singular_value(a: DataFrame, epsilon: float = 1e-10, max_iter: int = 200) -> DataFrame:
     """Power iteration for the leading right singular vector of ``a``.
 
-    Iterates ``v <- A^T (A v) / |A^T A v|`` until ``|v . v'| > 1 - epsilon``.
-    ``v`` (one entry per column) stays a DataFrame and is kept *unnormalised*
-    with a driver-side scale factor, so each step is one job: two sparse
-    matrix-vector joins whose result is cached while the same job computes
-    ``|w|`` and ``w . v``.  Every ``checkpoint_every`` steps the vector is
-    written with a reliable ``checkpoint()`` to cut the lineage.  Returns one
-    row ``iterations, sigma, converged`` (not converged: a zero matrix); reaching
+    Iterates ``v <- A^T (A v) / |A^T A v|`` until ``|v . v'| > 1 - epsilon``, from equal
+    components.  ``v`` (one entry per column, unbounded) is never stored: it is ``A^T u`` for a
+    vector ``u`` over the rows (items, bounded by the band), so one pass over the packed columns
+    makes a component of ``v`` and of the next ``v`` where the column is, and sums the next
+    ``u``.  The columns (user rows, bounded by the band) are packed into files once; a step
+    shuffles and brings to the driver a number per row.  Returns one row
+    ``iterations, sigma, converged`` (not converged: a zero or empty matrix); reaching
     ``max_iter`` is an error.
     """
     spark = a.sparkSession
-    ncols = a.agg((F.max("j") + 1).alias("n")).first()["n"]
-    v = spark.range(ncols).select(F.col("id").alias("j"), F.lit(1.0).alias("value"))
-    scale = 1.0 / float(np.sqrt(ncols))          # true vector = scale * v
-    at = mx.transpose(a)
-    sigma, it, converged = 0.0, 0, False
-    while it < max_iter:
-        it += 1
-        u = a.join(v.withColumnRenamed("value", "vv"), "j").groupBy("i").agg(
-            F.sum(F.col("value") * F.col("vv")).alias("value"))
-        w = (at.join(u.withColumnRenamed("value", "uu").withColumnRenamed("i", "j"), "j")
-               .groupBy("i").agg(F.sum(F.col("value") * F.col("uu")).alias("value"))
-               .select(F.col("i").alias("j"), (F.col("value") * F.lit(scale)).alias("value"))
-               .persist())
-        stats = w.join(v.withColumnRenamed("value", "vv"), "j", "left").agg(
-            F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"),
-            F.sum(F.col("value") * F.coalesce("vv", F.lit(0.0))).alias("dot")).first()
-        norm = stats["norm"] or 0.0
-        old = v
+    a = a.where(F.col("i").isNotNull() & F.col("j").isNotNull() & F.col("value").isNotNull())
+    size = a.agg((F.max("j") + 1).alias("columns"), F.count("*").alias("n")).first()
+    tasks = -(-size["n"] // POWER_ROWS_PER_TASK)
+    columns = spread(mx.transpose(a), tasks if tasks > spark.sparkContext.defaultParallelism else None, "i")
+    rows = staged(mx.rows_packed(columns).select("indices", "values"), "power-columns")
+    sums = sorted((r["i"], r["value"]) for r in a.groupBy("i").agg(F.sum("value").alias("value")).toLocalIterator())
+    index = np.array([i for i, _ in sums], dtype="int64")
+    before = 1.0 / float(np.sqrt(size["columns"] or 1))             # every component of the first v
+    u = before * np.array([x for _, x in sums], dtype="float64")    # A v
+    sigma, converged = 0.0, False
+    for it in range(1, max_iter + 1):
+        following, norm, dot = _power_pass(rows, index, u, before)
         if norm == 0.0:
-            w.unpersist()
             break
-        dot = (stats["dot"] or 0.0) * scale / norm      # v_true . w / |w|
-        v, scale = w, 1.0 / norm
-        if checkpoint_every and it % checkpoint_every == 0:
-            v = w.checkpoint(eager=True)
-            w.unpersist()
-        old.unpersist()
         sigma = float(np.sqrt(norm))
-        if abs(dot) > 1 - epsilon:
+        if abs(dot) / norm > 1 - epsilon:
             converged = True
             break
+        before, u = u / norm, following / norm
     else:
         raise RuntimeError(f"power iteration: not within {epsilon:g} after {max_iter} steps")
-    v.unpersist()
     return spark.createDataFrame([(it, sigma, converged)], "iterations long, sigma double, converged boolean")
