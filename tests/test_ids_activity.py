@@ -179,3 +179,12 @@ def test_only_pairs_of_top_items_meet_the_users(spark, edge):
     md = ActivityModel(log, Band(3, 1, 3))
     plan = activity.kept_pairs(md.pairs, md.top, md.users, 3)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" in plan and not any("LeftSemi" in line and "user" in line for line in plan.splitlines())
+
+
+def test_top_items_and_users_are_computed_once(spark, edge, tmp_path):
+    log, _ = edge
+    md = ActivityModel(log, Band(3, 1, 3), stage_dir=str(tmp_path / "activity"))
+    plain = ActivityModel(log, Band(3, 1, 3))
+    for staged, lazy in ((md.top, plain.top), (md.users, plain.users)):
+        assert "Aggregate" not in staged._jdf.queryExecution().optimizedPlan().toString()
+        assert _norm(staged.collect()) == _norm(lazy.collect())
